@@ -133,12 +133,8 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[list], Sequence]], fie
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as spark.checkpoint.dir names it; set here only where it is unset, as in tests."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "/tmp/checkpoints/priceloom"
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    """The folder that all executors share, as spark.checkpoint.dir names it; one of this machine's only where that is unset, as in tests."""
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/priceloom"
 
 
 class Scratch:

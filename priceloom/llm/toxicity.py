@@ -91,7 +91,7 @@ class Toxicity:
     bias: float
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[list, list]], most: int = 2000, least_chi2: float = 20.0, l2: float = 1e-3, swap: float = 1.0, steps: int = 400) -> Toxicity:
+def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[list, list]], most: int = 2000, least_chi2: float = 20.0, l2: float = 1e-4, swap: float = 1.0, steps: int = 400) -> Toxicity:
     """Logistic loss with equal class weights, plus l2 |w|^2, plus swap times the mean square of the score change of a swap.
 
     Features: at most `most` of those that are commoner in class 1, by chi-square against rows of both classes, at least_chi2 or
