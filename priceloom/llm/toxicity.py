@@ -47,6 +47,23 @@ def features(word: str) -> tuple[int, ...]:
     return (_hash("w", w) if w else 0, *(_hash(str(n), w[:n]) if len(w) > n else 0 for n in PREFIXES))
 
 
+#: One feature for each power of two that the number of a text's distinct words reaches: long texts hold more of any words.
+LENGTHS = tuple(_hash("reaches", str(k)) for k in range(32))
+
+
+def distinct_words(text: str) -> set[str]:
+    """A text's distinct words, gathered by pieces."""
+    found: set[str] = set()
+    for piece in pieces(text):
+        found.update(WORD.findall(piece))
+    return found
+
+
+def lengths(n: int) -> tuple[int, ...]:
+    """The features of a text with n distinct words."""
+    return LENGTHS[: n.bit_length()]
+
+
 def swaps(sentence: str) -> list[str]:
     """The sentence with its identity terms replaced: the k-th copy takes the k-th other term of each list."""
     words = sentence.split()
@@ -59,16 +76,16 @@ def _sample_features():
     table = WordTable(features, WIDTH)
     known = re.compile("|".join(map(re.escape, _OTHERS)), re.I)
 
-    def distinct(text: str) -> np.ndarray:
-        parts = [np.unique(table.of(WORD.findall(x))) for x in pieces(text)]
-        found = np.unique(np.concatenate(parts))
-        return found[found > 0]
+    def distinct(text: str, more: bool = False) -> np.ndarray:
+        words = list(distinct_words(text))
+        found = np.unique(table.of(words))
+        return np.concatenate([found[found > 0], np.array(lengths(len(words)) if more else (), np.int64)])
 
     def extract(texts: list) -> list:
         own, before, after = [], [], []
         for text in texts:
             text = text or ""
-            own.append(distinct(text))
+            own.append(distinct(text, True))
             a, b = [], []
             if known.search(text):
                 for sentence in _SENTENCE.split(text):
@@ -95,7 +112,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[list, list]], m
     """Logistic loss with equal class weights, plus l2 |w|^2, plus swap times the mean square of the score change of a swap.
 
     Features: at most `most` of those that are commoner in class 1, by chi-square against rows of both classes, at least_chi2 or
-    over. Without both classes there are no features, and the score is the share of class 1, or 0.5 without any row.
+    over, and those of length. Without both classes there are no features, and the score is the share of class 1, or 0.5 without any row.
     """
     n, ones = len(y), int(y.sum())
     if not 0 < ones < n:
@@ -108,6 +125,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[list, list]], m
     chi2 = n * (a * (n - ones - b) - b * (ones - a)) ** 2 / np.maximum(1e-9, ones * (n - ones) * (a + b) * (n - a - b))
     good = np.flatnonzero((a * (n - ones) > b * ones) & (chi2 >= least_chi2))
     good = good[np.lexsort((names[good], -chi2[good]))][:most]
+    good = np.union1d(good, np.flatnonzero(np.isin(names, LENGTHS)))
     column = np.full(len(names), -1)
     column[good] = np.arange(len(good))
     chosen = {int(names[j]): k for k, j in enumerate(good)}
@@ -157,11 +175,11 @@ def _scorer(shared):
     def score(texts: list) -> list:
         out = []
         for text in texts:
-            found: set = set()
-            for piece in pieces(text or ""):
-                found.update(map(get, WORD.findall(piece)))
+            words = distinct_words(text or "")
+            found = set(map(get, words))
             found.discard(None)
-            z = model.bias + float(model.weights[sorted({k for ks in found for k in ks})].sum(dtype=np.float64)) if found else model.bias
+            at = {k for ks in found for k in ks}.union(model.features[f] for f in lengths(len(words)) if f in model.features)
+            z = model.bias + float(model.weights[sorted(at)].sum(dtype=np.float64)) if at else model.bias
             out.append(float(1 / (1 + np.exp(-np.clip(z, -500, 500)))))
         return [out]
 
@@ -169,7 +187,8 @@ def _scorer(shared):
 
 
 def score_toxicity(docs: DataFrame, model: Toxicity, text: str = "text", keys: tuple = ("doc_id",)) -> DataFrame:
-    """keys and score (0 to 1, higher: class 1 likelier) of each whole text; null and empty texts get the bias's score.
+    """keys and score (0 to 1, higher: class 1 likelier) of each whole text; null and empty texts get the bias's score. A text's
+    distinct words are held at once.
 
     The model's size is bounded by its number of features. Repeated rows each give a row, an empty table gives none; further
     columns are left out.
