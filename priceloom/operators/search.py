@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-VISIT = "struct<ord:bigint,link_ord:int,url:string>"
+VISIT = "struct<ord:int,link_ord:int,url:string>"
 
 
 def visits(candidates: DataFrame, pages: DataFrame, key: str, most: int = 35, most_links: int = 10) -> DataFrame:
     """key, ord, link_ord, url, ok: the URLs that a search without success would visit, in the order of (ord, link_ord).
 
-    candidates has key, ord, url; pages has url, ok, links (array<string>), one row for each url. Of a key the first `most`
+    ord is a candidate's rank from 1, by the ord of candidates and then the URL. candidates has key, ord, url; pages has url, ok, links (array<string>), one row for each url. Of a key the first `most`
     candidates are taken; one that was visited before, as a candidate or as a link, is skipped with its links. A candidate's page
     that is ok has its first `most_links` links visited after it (link_ord from 1; 0 is the page); links of these aren't followed.
     A URL without a page is visited and not ok. Null keys and URLs are left out; empty tables give no rows. A key's visits are
@@ -21,14 +21,14 @@ def visits(candidates: DataFrame, pages: DataFrame, key: str, most: int = 35, mo
     first = named.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy("ord", "url"))).where(F.col("k") <= most)
     known = pages.select("url", F.coalesce("ok", F.lit(False)).alias("ok"), "links")
     links = F.when(F.col("ok"), F.slice(F.filter("links", lambda x: x.isNotNull()), 1, most_links))
-    opened = first.join(known, "url", "left").select("key", F.struct("k", "ord", "url", F.coalesce(links, F.array().cast("array<string>")).alias("links")).alias("c"))
+    opened = first.join(known, "url", "left").select("key", F.struct("k", "url", F.coalesce(links, F.array().cast("array<string>")).alias("links")).alias("c"))
     start = F.array().cast(f"array<{VISIT}>")
 
     def step(done, c):
         seen = F.transform(done, lambda v: v["url"])
-        top = F.struct(c["ord"].alias("ord"), F.lit(0).alias("link_ord"), c["url"].alias("url"))
+        top = F.struct(c["k"].alias("ord"), F.lit(0).alias("link_ord"), c["url"].alias("url"))
         fresh = F.array_except(c["links"], F.concat(seen, F.array(c["url"])))  # distinct, in order
-        deeper = F.transform(fresh, lambda u: F.struct(c["ord"].alias("ord"), F.array_position(c["links"], u).cast("int").alias("link_ord"), u.alias("url")))
+        deeper = F.transform(fresh, lambda u: F.struct(c["k"].alias("ord"), F.array_position(c["links"], u).cast("int").alias("link_ord"), u.alias("url")))
         return F.when(F.array_contains(seen, c["url"]), done).otherwise(F.concat(done, F.array(top), deeper))
 
     folded = opened.groupBy("key").agg(F.sort_array(F.collect_list("c")).alias("cs"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html, money, text, urls
-from ..operators import match, tariff, upsert
+from ..operators import match, search, tariff, upsert
 from ..sources import documents
 from ..streaming import incremental
 
@@ -334,3 +334,35 @@ def incremental_upsert(spark, sf_dir):
     # Files come in any order, so an older event in a later batch must not win: the batch meets the state on event_id.
     incremental.run_available(stream, sink.latest, f"{folder}/state")
     return sink.result()
+
+
+@query(r"""
+WITH tops AS (
+  SELECT k, u, row_number() OVER (PARTITION BY k ORDER BY ord, u) AS n
+  FROM (SELECT l_suppkey AS k, 'part' || l_partkey AS u, min(l_orderkey) AS ord FROM lineitem GROUP BY ALL) QUALIFY n <= 5
+), links AS (
+  SELECT u, 'order' || o AS link, row_number() OVER (PARTITION BY u ORDER BY o) AS j
+  FROM (SELECT DISTINCT 'part' || l_partkey AS u, l_orderkey AS o FROM lineitem) QUALIFY j <= 10
+), good AS (
+  SELECT 'part' || p_partkey AS u FROM part WHERE p_size % 3 > 0
+), places AS (
+  SELECT k, u AS url, {'n': n, 'j': 0} AS place, u IN (FROM good) AS ok FROM tops
+  UNION ALL SELECT k, link, {'n': n, 'j': j}, true FROM tops JOIN good USING (u) JOIN links USING (u)
+), visits AS (
+  SELECT k, url, min(place) AS place, bool_or(ok) AS ok FROM places GROUP BY k, url
+), hits AS (
+  SELECT k, min(place) AS best FROM visits JOIN orders ON url = 'order' || o_orderkey WHERE ok AND o_totalprice > 300000 GROUP BY k
+)
+SELECT v.k AS l_suppkey, max(v.url) FILTER (v.place = h.best) AS url, count(*) AS n_tried
+FROM visits v LEFT JOIN hits h ON v.k = h.k WHERE h.best IS NULL OR v.place <= h.best GROUP BY v.k""")
+def search_first_success(spark, sf_dir):
+    """For each supplier: its first five parts as pages, the orders of a part as links, and the first dear order as success."""
+    items, parts, orders = (_t(spark, sf_dir, t) for t in ("lineitem", "part", "orders"))
+    of_part = F.concat(F.lit("part"), "l_partkey")
+    tops = items.groupBy("l_suppkey", of_part.alias("url")).agg(F.min("l_orderkey").alias("ord"))
+    links = items.groupBy(of_part.alias("url")).agg(F.slice(F.array_sort(F.collect_set("l_orderkey")), 1, 10).alias("orders"))
+    links = links.select("url", F.transform("orders", lambda o: F.concat(F.lit("order"), o.cast("string"))).alias("links"))
+    pages = parts.select(F.concat(F.lit("part"), "p_partkey").alias("url"), (F.col("p_size") % 3 > 0).alias("ok")).join(links, "url", "left")
+    pages = pages.unionByName(orders.select(F.concat(F.lit("order"), "o_orderkey").alias("url"), F.lit(True).alias("ok"), F.array().cast("array<string>").alias("links")))
+    dear = orders.where("o_totalprice > 300000").select(F.concat(F.lit("order"), "o_orderkey").alias("url"))
+    return search.first_success(search.visits(tops, pages, "l_suppkey", most=5), dear, "l_suppkey")

@@ -12,7 +12,7 @@ from priceloom.streaming.progress import ProgressSink
 def visited(tops, pages, most=35):
     """The search as a loop, for one key."""
     seen, out = set(), []
-    for n, url in tops[:most]:
+    for n, (_, url) in enumerate(tops[:most], 1):
         if url in seen:
             continue
         seen.add(url)
