@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import lru_cache, partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ BROADCAST_ROWS = 1_000_000
 GROUP = 2_000
 #: Rounds in which the members of a bucket are verified against one of them.
 STARS = 1
-#: Crowded keys up to which they are sent to the executors, 8 bytes each; beyond, all buckets are looked up, none is skipped.
+#: Crowded keys up to which they are sent to the executors, 8 bytes each; beyond, each document gets those among its own keys by a join.
 CROWDED = 1_000_000
 #: Share of a partition's segments that may get one-deletion neighbourhoods; documents that need more look up crowded buckets.
 REACH = 0.15
@@ -299,24 +300,54 @@ def _in(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of[np.minimum(np.searchsorted(of, keys), len(of) - 1)] == keys
 
 
-def _reaches(df: DataFrame, crowded, width: int, num: int) -> DataFrame:
+def _own_keys(df: DataFrame, width: int, num: int) -> DataFrame:
+    """key, rep: all keys that a Budget of the document looks for among crowded ones."""
+    schema = StructType([StructField("key", LongType()), *_schema(df, "rep")])
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for i, value in enumerate(part.column("text").to_pylist()):
+                    s = shingles(value, width)
+                    for p in partitions_of(len(s), num) if len(s) else ():
+                        seg = Segments(s, p)
+                        keys = np.unique(np.concatenate([seg.exact(empty=True)[1], seg.deletions(np.arange(p.segments))]))
+                        yield pa.RecordBatch.from_arrays([pa.array(keys), part.column("rep").take(pa.array(np.full(len(keys), i)))], ["key", "rep"])
+
+    return df.select("rep", "text").mapInArrow(run, schema)
+
+
+def _with_crowded(texts: DataFrame, keys: DataFrame, width: int, num: int, scratch: Scratch) -> DataFrame:
+    """texts with crowded: which of the document's own keys are among keys, null if none is."""
+    met = _own_keys(texts, width, num).join(keys, "key", "left_semi").groupBy("rep").agg(F.collect_set("key").alias("crowded"))
+    return texts.join(scratch.save(met, "own-crowded"), "rep", "left")
+
+
+def _crowded(batch: pa.RecordBatch, shared):
+    """Sorted crowded keys for each row: all that were broadcast, or else the row's own."""
+    if shared is not None:
+        return repeat(shared.value)
+    return (np.sort(x.values.to_numpy()) if x.is_valid else np.zeros(0, np.int64) for x in batch.column("crowded"))
+
+
+def _reaches(df: DataFrame, shared, width: int, num: int) -> DataFrame:
     """p, reach (of its segments) for each partition in which a document can't do with exact matches but with neighbourhoods."""
 
     def run(batches):
         for batch in batches:
             out = []
-            for value in batch.column("text").to_pylist():
+            for value, crowded in zip(batch.column("text").to_pylist(), _crowded(batch, shared)):
                 s = shingles(value, width)
                 for p in partitions_of(len(s), num) if len(s) else ():
-                    found = Budget(s, p, crowded.value)
+                    found = Budget(s, p, crowded)
                     if found.heavy and found.reach and found.reach <= REACH * p.segments:
                         out.append((p.number, found.reach))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["p", "reach"])
 
-    return df.select("text").mapInArrow(run, "p long, reach long")
+    return df.drop("rep").mapInArrow(run, "p long, reach long")
 
 
-def _deletion_rows(df: DataFrame, crowded, reach: dict[int, int], width: int, num: int) -> DataFrame:
+def _deletion_rows(df: DataFrame, shared, reach: dict[int, int], width: int, num: int) -> DataFrame:
     """key, rep, kind of the documents that can't do with exact matches in a partition.
 
     Of the partition's first segments, as many as any document there needs: whole segments (kind 0) and segments with an element
@@ -330,11 +361,11 @@ def _deletion_rows(df: DataFrame, crowded, reach: dict[int, int], width: int, nu
         for batch in batches:
             for part in slices(batch, "text"):
                 keys, index, kinds, heads = [], [], [], []
-                for i, value in enumerate(part.column("text").to_pylist()):
+                for i, (value, crowded) in enumerate(zip(part.column("text").to_pylist(), _crowded(part, shared))):
                     s = shingles(value, width)
                     heads.append([len(s), *_bitmap(s, SKETCH)])
                     for p in partitions_of(len(s), num) if len(s) else ():
-                        found = Budget(s, p, crowded.value)
+                        found = Budget(s, p, crowded)
                         if not found.heavy:
                             continue
                         first = reach.get(p.number, 0)
@@ -350,7 +381,7 @@ def _deletion_rows(df: DataFrame, crowded, reach: dict[int, int], width: int, nu
                     columns = np.array(heads, np.int64)[at].T
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), part.column("rep").take(pa.array(at)), pa.array(np.concatenate(kinds)), *map(pa.array, columns)], schema.fieldNames())
 
-    return df.select("rep", "text").mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def _partition(key: str):
@@ -421,8 +452,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, key: str
     short = buckets.where("n = 0").select("rep")
     heavy = scratch.save(skipped.where("skipped >= share").select("rep").unionByName(short).distinct(), "heavy")
     texts = kept.select(F.col("doc_id").alias("rep"), "text").join(small(heavy, BROADCAST_ROWS), "rep")
-    hot = ruled.where("crowded").select("key").limit(CROWDED + 1).toArrow().column("key").to_numpy()
-    hot = spark.sparkContext.broadcast(np.sort(hot) if len(hot) <= CROWDED else hot[:0])
+    crowded = ruled.where("crowded").select("key")
+    hot = crowded.limit(CROWDED + 1).toArrow().column("key").to_numpy()
+    if len(hot) <= CROWDED:
+        hot = spark.sparkContext.broadcast(np.sort(hot))
+    else:
+        hot, texts = None, scratch.save(_with_crowded(texts, crowded, width, num, scratch), "heavy-texts")
     reach = {r["p"]: r["reach"] for r in _reaches(texts, hot, width, num).groupBy("p").agg(F.max("reach").alias("reach")).collect()}
     rows = _deletion_rows(texts, hot, reach, width, num).distinct().join(comps, "rep", "left").withColumn("c", F.coalesce("comp", "rep")).drop("comp")
     rows = scratch.save(rows, "deletions")

@@ -122,6 +122,26 @@ def brute(rows, num=80):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
+def passages():
+    """Pairs of documents that are one shared passage for the larger part and differ from each other in a word of the rest."""
+    draw = random.Random(11)
+    words, passage, rows = [f"w{k}" for k in range(4000)], [f"p{k}" for k in range(30)], []
+    for _ in range(300):
+        text = [draw.choice(words) for _ in range(draw.randint(5, 6))]
+        other = list(text)
+        other[len(text) // 2] = draw.choice(words)
+        rows += [(len(rows), " ".join(passage + text)), (len(rows) + 1, " ".join(passage + other))]
+    return rows
+
+
+def test_jaccard_with_more_crowded_keys_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CROWDED", 0)
+    rows = passages()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df, bucket=1).collect()}
+    assert got == brute(rows)
+
+
 @pytest.mark.parametrize("bucket", [32, 1])
 def test_jaccard_equals_brute_force(spark, bucket):
     draw = random.Random(5)
