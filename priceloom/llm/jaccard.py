@@ -391,13 +391,13 @@ def _partition(key: str):
 def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that a document reaches by links, itself included.
 
-    Documents link when 100 x shared shingles >= num x shingles of both together. Exactly equal texts are one class; each class is
+    Documents link when 100 x shared shingles >= num x shingles of both together. Exactly equal texts with words are one class; each class is
     cut into segments for each partition of its size, and classes that share a segment meet in a bucket. In a few rounds each is
     verified against one of its bucket; classes so joined need no further proof. Then buckets that still hold several components
     list the pairs across them, up to `bucket` members outside the largest one, and those pairs are verified that share as many
     keys as similar sets must. What is more crowded is skipped for classes that can spare it, and those that can't meet by
     one-deletion neighbourhoods. So no link between components is lost.
-    Null and empty texts have 0 shingles and are linked with nothing. Rows with a null doc_id count their shingles but take no
+    Null texts and texts without words have 0 shingles and are linked with nothing. Rows with a null doc_id count their shingles but take no
     links: their component is null. Rows with equal doc_ids are one node with the links of all its texts; each row is returned.
     An empty table gives no rows; further columns are left out. One text's set is held at a time, 8 bytes a shingle.
     """
@@ -405,11 +405,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, key: str
     scratch = scratch or Scratch(spark)
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     named = source.where("doc_id IS NOT NULL")
-    hashed = scratch.save(named.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("md5")), "hashed")
+    hashed = scratch.save(named.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("md5"), F.col("text").rlike(r"[^\x20\x09-\x0D]").alias("worded")), "hashed")
     # A doc_id whose rows hold different texts stays out of classes.
     texts_of = hashed.groupBy("doc_id").agg(F.min("md5").alias("x"), F.max("md5").alias("y"), F.count("md5").alias("n"), F.count("*").alias("m"))
     mixed = small(scratch.save(texts_of.where("x <> y OR n <> m").select("doc_id"), "mixed"), BROADCAST_ROWS)
-    classes = hashed.join(mixed, "doc_id", "left_anti").where("md5 IS NOT NULL").groupBy("md5").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    classes = hashed.join(mixed, "doc_id", "left_anti").where("worded").groupBy("md5").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     several = scratch.save(classes.where("rep <> last").select("md5", "rep"), "classes")
     copies = hashed.join(small(several, BROADCAST_ROWS // 4), "md5").where("doc_id <> rep").join(mixed, "doc_id", "left_anti")
     copies = scratch.save(copies.select("doc_id", "rep"), "copies")  # a row for each row of theirs

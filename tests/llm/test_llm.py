@@ -163,6 +163,13 @@ def test_jaccard_equals_brute_force(spark, bucket):
     assert got == brute(rows)
 
 
+def test_jaccard_links_no_texts_without_words(spark):
+    rows = [(i, t) for i, t in enumerate(["", "", " ", " ", "\n", "\n", None, None, "a", "a", "\u00a0", "\u00a0"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df).collect()}
+    assert got == brute(rows) and [got[i] for i in (1, 3, 5, 7, 9, 11)] == [(0, 1), (0, 3), (0, 5), (0, 7), (1, 8), (1, 10)]
+
+
 def test_jaccard_edges(docs):
     got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs).collect())
     assert sum(got.values()) == len(TEXTS) + 2 and got[(None, 1, None)] == 1 and got[(4, 1, 4)] == 2 and got[(5, 1, 4)] == 1 and got[(0, 0, 0)] == 1
