@@ -30,8 +30,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, from no to three times."""
-    return mixing.repeat_documents(docs, mixing.mix_sources(docs, (1, 2, 3), 3.0))
+    """Each document as often as the mix takes it, from no to three times; those without doc_id too, each for itself."""
+    return mixing.repeat_documents(docs, mixing.mix_sources(docs, (1, 2, 3), 3.0, row=mixing.row_key(docs)))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from .arrow import Scratch, small
 
@@ -12,6 +13,8 @@ FAN = 64
 #: Probabilities this near to 0 or 1 count as such.
 EPS = 1e-9
 BROADCAST_ROWS = 50_000
+#: Copies of repeated rows that one task makes together.
+CHUNK = 1_000
 
 
 def words(text: str = "text") -> Column:
@@ -86,9 +89,11 @@ def _fold(units: Column, kind: str, done: str, seed: str, level: int) -> Column:
     return F.aggregate(units, zero, merge)
 
 
-def mix_sources(docs: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0, seed: str = "mix", key: str = "doc_id", source: str = "source", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0, seed: str = "mix", key: str = "doc_id", source: str = "source", text: str = "text", scratch: Scratch | None = None, row: Column | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken (copies x size) of each document.
 
+    row, if given, is put into doc_id in place of the key, which still draws; row_key() names each row, nulls or not.
+
     A document is due target / source_size copies: the whole ones are given, the fraction is a chance. Chances are rounded
     together in a reduction tree: units go by hash to leaves of about FAN, each leaf folds its units from the largest to the
     smallest, and what it leaves, one unit at most, meets the rests of FAN neighbours of its source on the next level. Words only
@@ -100,7 +105,7 @@ def mix_sources(docs: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0, s
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     hashed = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
-    sized = scratch.save(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), words(text).alias("size"), hashed.alias("u")), "sized")
+    sized = scratch.save(docs.select((F.col(key) if row is None else row).alias("doc_id"), F.col(source).alias("source"), words(text).alias("size"), hashed.alias("u")), "sized")
     targets = scratch.save(source_targets(sized, weights, cap, scratch), "targets")
     total = sized.count()
     chance = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -137,8 +142,36 @@ def mix_sources(docs: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0, s
     return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
-def repeat_documents(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """docs with each row as often as mixed has copies of its key; keys are taken to be distinct in both."""
-    n = mixed.where("copies > 0").select(F.col("doc_id").alias("mixed_key"), F.col("copies").alias("mixed_copies"))
-    joined = docs.join(small(n, 20 * BROADCAST_ROWS), F.col(key).eqNullSafe(F.col("mixed_key")))
-    return joined.withColumn("mixed_k", F.explode(F.sequence(F.lit(1).cast("long"), "mixed_copies"))).select(*docs.columns)
+def row_key(docs: DataFrame) -> Column:
+    """128 bits of hash over all columns of a row: equal for rows that are equal in all columns, nulls told apart from other values."""
+    parts = []
+    for field in docs.schema:
+        c = docs[f"`{field.name}`"]
+        nested = isinstance(field.dataType, ArrayType | MapType | StructType | VariantType)
+        parts += [c.isNull(), F.to_json(F.struct(c.alias("c")), {"ignoreNullFields": "false"}) if nested else c]
+    return F.struct(F.xxhash64(F.lit("a"), *parts).alias("a"), F.xxhash64(F.lit("b"), *parts).alias("b"))
+
+
+def repeat_documents(docs: DataFrame, mixed: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """docs with each row as often as mixed, made with row=row_key(docs), has copies of it.
+
+    Rows that are equal in all columns can't be told apart, so one of them stands for all and gets the sum of their copies.
+    """
+    scratch = scratch or Scratch(docs.sparkSession)
+    n = mixed.groupBy(F.col("doc_id").alias("mixed_key")).agg(F.sum("copies").alias("mixed_copies"), F.count("*").alias("mixed_rows"))
+    n = scratch.save(n.where("mixed_copies > 0"), "copies")
+    keyed = docs.withColumn("mixed_key", row_key(docs))
+
+    def taken(which: str) -> DataFrame:
+        return keyed.join(small(n.where(which), 20 * BROADCAST_ROWS), "mixed_key")
+
+    def times(df: DataFrame) -> DataFrame:
+        return df.withColumn("mixed_k", F.explode(F.sequence(F.lit(1).cast("long"), "mixed_copies"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    out = times(taken("mixed_rows = 1"))
+    if n.where("mixed_rows > 1").isEmpty():
+        return out
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("mixed_copies") - 1, F.lit(CHUNK).cast("long")))
+    parts = taken("mixed_rows > 1").dropDuplicates(["mixed_key"]).withColumn("mixed_start", start)
+    parts = parts.withColumn("mixed_copies", F.least(F.lit(CHUNK).cast("long"), F.col("mixed_copies") - F.col("mixed_start")))
+    return out.unionByName(times(parts.repartition("mixed_key", "mixed_start")))

@@ -216,6 +216,22 @@ def test_mix(spark, docs):
     assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
 
 
+def test_mixed_stage_with_null_ids(spark, monkeypatch):
+    import corpus_pipeline
+
+    monkeypatch.setattr(mixing, "CHUNK", 4, raising=False)
+    rows = [(i if i % 2 else None, f"t{i} " + "w " * (i % 40), f"s{i % 3}" if i % 5 else None, None if i % 7 else "x") for i in range(200)]
+    rows += [(None, "same text", "s0", None)] * 30 + [(None, None, "s1", None), (None, "", None, None), (7, "other text", "s1", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(3)
+    got = collections.Counter(map(tuple, corpus_pipeline.mixed(spark, df, "").collect()))
+    due = collections.Counter()
+    for r in mixing.mix_sources(df, row=F.struct("doc_id", "text", "source", "lang")).collect():
+        assert 0 <= r["copies"] <= 3
+        due[tuple(r["doc_id"])] += r["copies"]
+    assert got == +due and sum(got.values()) > 100 and got[(None, "same text", "s0", None)] > 1
+    assert corpus_pipeline.mixed(spark, df.where("false"), "").count() == 0
+
+
 def test_licenses(docs):
     for r in licenses.scan_licenses(docs).collect():
         if r["doc_id"] is not None:
