@@ -93,6 +93,12 @@ def norm_names(spark, sf_dir):
     return made[0].unionByName(made[1]).unionByName(made[2])
 
 
+@query(f"SELECT doc_id, {_fill(_NORM, 'text')} AS norm FROM documents")
+def norm_texts(spark, sf_dir):
+    """Whole texts of all documents, where norm_names has their beginnings only."""
+    return _t(spark, sf_dir, "documents").select("doc_id", text.norm_name(F.col("text")).alias("norm"))
+
+
 _NAMES = ("Çorum", "Şırnak", "İzmir", "Yeni Şehir", "Bolu", "Iğdır")
 _SLUGS = ("corum", "sirnak", "izmir", "yenisehir", "bolu", "igdir")
 

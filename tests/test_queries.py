@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from priceloom.plans import queries as plans
@@ -12,6 +14,15 @@ def test_every_query_has_sql():
     assert set(plans.QUERIES) == set(plans.SQL)
 
 
+def test_norm_texts_takes_whole_texts(spark):
+    sf = "/root/testdata/sf0.001"
+    got = dict(plans.QUERIES["norm_texts"](spark, sf).collect())
+    texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    plain = str.maketrans("çğıöşü", "cgiosu")
+    assert got == {i: re.sub("[^a-z0-9]+", "", (t or "").lower().replace("ß", "ss").translate(plain)) for i, t in texts.items()}
+    assert max(map(len, got.values())) > 10_000
+
+
 def test_entry(spark):
     import __spark_entry__
 
