@@ -301,10 +301,10 @@ merged AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey
 """
 
 
-def _upserted(spark, sf_dir):
+def _upserted(spark, sf_dir, old="c_custkey % 3 = 0"):
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     new = c.where("c_custkey % 2 = 0").select("c_custkey", F.concat("c_name", F.lit("*")).alias("c_name"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")).alias("c_mktsegment"))
-    return upsert.upsert(c.where("c_custkey % 3 = 0"), new, ["c_custkey"])
+    return upsert.upsert(c.where(old), new, ["c_custkey"])
 
 
 @query(_UPSERT_SQL + "SELECT * FROM merged")
@@ -317,6 +317,20 @@ def null_drop_json(spark, sf_dir):
     return _upserted(spark, sf_dir).select("c_custkey", upsert.without_nulls("c_custkey", "c_name", "c_mktsegment").alias("entry"))
 
 
+_ALL_SQL = """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name || '*' ELSE c_name END AS c_name, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer"""
+
+
+@query(_ALL_SQL)
+def upsert_replace_all(spark, sf_dir):
+    """upsert_replace with every customer on the old side."""
+    return _upserted(spark, sf_dir, "true")
+
+
+@query(f"""SELECT c_custkey, '{{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"' || coalesce(',"c_mktsegment":"' || c_mktsegment || '"', '') || '}}' AS entry FROM ({_ALL_SQL})""")
+def null_drop_json_all(spark, sf_dir):
+    return _upserted(spark, sf_dir, "true").select("c_custkey", upsert.without_nulls("c_custkey", "c_name", "c_mktsegment").alias("entry"))
+
+
 @query("SELECT count(*) AS scanned, count(*) FILTER (event_type = 'purchase') AS found_count, string_agg(DISTINCT CASE WHEN event_type = 'purchase' THEN 'u/' || user_id END, ',' ORDER BY CASE WHEN event_type = 'purchase' THEN 'u/' || user_id END) AS found FROM events")
 def run_report(spark, sf_dir):
     e = _t(spark, sf_dir, "events").select(F.lit("u").alias("il"), F.col("user_id").cast("string").alias("isim"), F.when(F.col("event_type") == "purchase", "found").otherwise("none").alias("status"))
@@ -363,6 +377,16 @@ SELECT v.k AS l_suppkey, max(v.url) FILTER (v.place = h.best) AS url, count(*) A
 FROM visits v LEFT JOIN hits h ON v.k = h.k WHERE h.best IS NULL OR v.place <= h.best GROUP BY v.k""")
 def search_first_success(spark, sf_dir):
     """For each supplier: its first five parts as pages, the orders of a part as links, and the first dear order as success."""
+    return _searched(spark, sf_dir, 5)
+
+
+@query(SQL["search_first_success"].replace("QUALIFY n <= 5\n", "QUALIFY n <= 35\n"))
+def search_first_success_35(spark, sf_dir):
+    """search_first_success over as many parts of each supplier as the operator tries by itself."""
+    return _searched(spark, sf_dir)
+
+
+def _searched(spark, sf_dir, most=35):
     items, parts, orders = (_t(spark, sf_dir, t) for t in ("lineitem", "part", "orders"))
     of_part = F.concat(F.lit("part"), "l_partkey")
     tops = items.groupBy("l_suppkey", of_part.alias("url")).agg(F.min("l_orderkey").alias("ord"))
@@ -371,4 +395,4 @@ def search_first_success(spark, sf_dir):
     pages = parts.select(F.concat(F.lit("part"), "p_partkey").alias("url"), (F.col("p_size") % 3 > 0).alias("ok")).join(links, "url", "left")
     pages = pages.unionByName(orders.select(F.concat(F.lit("order"), "o_orderkey").alias("url"), F.lit(True).alias("ok"), F.array().cast("array<string>").alias("links")))
     dear = orders.where("o_totalprice > 300000").select(F.concat(F.lit("order"), "o_orderkey").alias("url"))
-    return search.first_success(search.visits(tops, pages, "l_suppkey", most=5), dear, "l_suppkey")
+    return search.first_success(search.visits(tops, pages, "l_suppkey", most=most), dear, "l_suppkey")
