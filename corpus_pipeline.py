@@ -10,16 +10,28 @@ from priceloom.llm import bpe, jaccard, mixing, rules, toxicity
 from priceloom.llm.arrow import Scratch, crc_mod
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with names that no operator's own columns have, and the new name of each column."""
+    names = {c: f"column_{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def _back(kept: DataFrame, names: dict[str, str]) -> DataFrame:
+    return kept.select(*[F.col(new).alias(old) for old, new in names.items()])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return rules.quality_rules(docs, keys=tuple(docs.columns)).where("kept").select(*docs.columns)
+    df, names = _apart(docs)
+    return _back(rules.quality_rules(df, text=names["text"], keys=tuple(names.values())).where("kept"), names)
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learnt from labelled ones among them, scores below 0.5."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, crc_mod("doc_id", 5) != 0)
-    return toxicity.score_toxicity(docs, model, keys=tuple(docs.columns)).where(F.col("score") < 0.5).select(*docs.columns)
+    df, names = _apart(docs)
+    return _back(toxicity.score_toxicity(df, model, text=names["text"], keys=tuple(names.values())).where(F.col("score") < 0.5), names)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +43,9 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, from no to three times; those without doc_id too, each for itself."""
-    return mixing.repeat_documents(docs, mixing.mix_sources(docs, (1, 2, 3), 3.0, row=mixing.row_key(docs)))
+    df, names = _apart(docs)
+    taken = mixing.mix_sources(df, (1, 2, 3), 3.0, key=names["doc_id"], source=names["source"], text=names["text"], row=mixing.row_key(df))
+    return _back(mixing.repeat_documents(df, taken), names)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

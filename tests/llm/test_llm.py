@@ -269,6 +269,26 @@ def test_swaps_are_penalised():
     assert toxicity.swaps("The Muslim women, said.")[0] == "The christian men said."
 
 
+def test_stages_with_columns_named_as_theirs(spark, tmp_path):
+    import corpus_pipeline
+
+    draw = random.Random(4)
+    texts = [None, "", "too short", "a b " * 100] + [" ".join("".join(draw.choice("etaoinshr") for _ in range(5)) for _ in range(90)) for _ in range(20)]
+    rows = [(i if i % 4 else None, t, None if i % 3 else "s") for i, t in enumerate(texts)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = ["kept", "reason", "n_words", "score", "mixed_key", "mixed_copies", "mixed_k", "column_0"]
+    more = plain.select("*", *[F.lit(c).alias(c) for c in taken])
+    spark.createDataFrame([(i, 0) for i in range(9)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for stage in (corpus_pipeline.quality, corpus_pipeline.harmless, corpus_pipeline.distinct, corpus_pipeline.mixed):
+        got = stage(spark, more, str(tmp_path))
+        assert got.columns == more.columns
+        found = collections.Counter(map(tuple, got.collect()))
+        assert found and all(r[3:] == tuple(taken) for r in found) and stage(spark, more.where("false"), str(tmp_path)).count() == 0
+        if stage is not corpus_pipeline.mixed:
+            want = rows[4:] if stage is corpus_pipeline.quality else rows
+            assert found == collections.Counter((*r, *taken) for r in want)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
