@@ -2,42 +2,47 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StructField, StructType, VariantType
 
 #: Words of the corpus contracts: runs of anything but space and \t\n\v\f\r.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BREAK = re.compile(r"[\x20\x09-\x0D]")
-_UPPER = {c: c + 32 for c in range(65, 91)}
+_BYTE_BREAK = re.compile(rb"[\x20\x09-\x0D]")
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 PIECE_CHARS = 1 << 20
+#: Bytes that a cache of words may hold, and the longest word that one keeps.
+CACHE_BYTES = 16 << 20
+LONG_WORD = 64
 
 
 def lower_az(text: str) -> str:
     """Lower-cases A-Z only."""
-    return text.lower() if text.isascii() else text.translate(_UPPER)
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
-def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
-    """Consecutive parts of about size characters, cut at white space so that no word is split.
+def pieces(text: str | bytes, size: int = PIECE_CHARS) -> Iterator:
+    """Consecutive parts of about size characters or bytes, cut at white space so that no word is split.
 
     A run without white space stays whole, however long it is.
     """
-    at, n = 0, len(text)
+    at, n, gap = 0, len(text), _BREAK if isinstance(text, str) else _BYTE_BREAK
     while n - at > size:
-        cut = _BREAK.search(text, at + size)
+        cut = gap.search(text, at + size)
         if not cut:
             break
         yield text[at : cut.start()]
@@ -46,36 +51,93 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
 
 
 class Memo(dict):
-    """word -> value of a function, emptied when it holds cap words."""
+    """key -> value of a function. Strings over LONG_WORD characters aren't kept, and all are let go once they hold about most bytes."""
 
-    def __init__(self, fn: Callable[[str], int], cap: int = 400_000):
+    def __init__(self, fn: Callable, most: int = CACHE_BYTES):
         super().__init__()
-        self.fn, self.cap = fn, cap
-
-    def __missing__(self, word: str):
-        if len(self) >= self.cap:
-            self.clear()
-        value = self[word] = self.fn(word)
+        self.fn, self.most, self.held = fn, most, 0
+
+    def __missing__(self, key):
+        value = self.fn(key)
+        if len(key) <= LONG_WORD:
+            self.held += getsizeof(key) + getsizeof(value) + 100
+            if self.held > self.most:
+                self.clear()
+                self.held = 0
+            self[key] = value
         return value
 
 
-def word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+def word_hash(word: str | bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass") if isinstance(word, str) else word)
 
 
-@lru_cache(1)
-def hash_memo() -> Memo:
-    return Memo(word_hash)
+def release() -> None:
+    """What a task's caches and buffers held goes back to the system: a worker lives on, with other tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """64-bit hash of each word of text, in order; 8 bytes a word however long the text is."""
-    get = hash_memo().__getitem__
-    parts = []
-    for piece in pieces(text):
-        words = WORD.findall(piece)
-        parts.append(np.fromiter(map(get, words), np.uint64, len(words)))
-    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+def freeing(run: Callable) -> Callable:
+    """An Arrow function that releases memory when it ends."""
+
+    def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return freed
+
+
+class ByteHash:
+    """Hash of each word of UTF-8 text at once: sums of random numbers by byte, times a power of an odd base by place in the word.
+
+    Words of over LONG_WORD bytes are hashed one by one, since sums of that kind are weak for long strings.
+    """
+
+    CHUNK = 1 << 18
+
+    def __init__(self, seed: int = 20):
+        draw = np.random.default_rng(seed)
+        self.of_byte = draw.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.space = np.zeros(256, bool)
+        self.space[[32, *range(9, 14)]] = True
+        self.of_byte[self.space] = 0
+        base = 0x9E3779B97F4A7C15
+        self.power = self._powers(base)
+        self.inverse = self._powers(pow(base, -1, 1 << 64))
+
+    def _powers(self, base: int) -> np.ndarray:
+        out = np.full(self.CHUNK + 1, base, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+
+    def of(self, raw: bytes) -> np.ndarray:
+        """The hashes of the words of raw, in order."""
+        parts = [self._part(part) for part in pieces(raw, self.CHUNK // 2)]
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+    def _part(self, raw: bytes) -> np.ndarray:
+        n = len(raw)
+        if n > self.CHUNK:  # a run without white space reaches over a chunk's end
+            return np.array([word_hash(w) for w in raw.split()], np.uint64)
+        data = np.frombuffer(raw, np.uint8)
+        edges = np.flatnonzero(np.diff(self.space[data], prepend=True, append=True))
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.of_byte[data] * self.power[:n], out=sums[1:])
+        sizes = ends - starts
+        out = mix((sums[ends] - sums[starts]) * self.inverse[starts] + sizes.astype(np.uint64))
+        for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+            out[i] = word_hash(raw[starts[i] : ends[i]])
+        return out
+
+
+byte_hash = lru_cache(1)(ByteHash)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -90,12 +152,19 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     if len(h) < n:
         return h[:0]
     m = len(h) - n + 1
-    out = h[:m]
+    out = h[:m].copy()
     for k in range(1, n):
-        out = mix(out) * np.uint64(0x9E3779B97F4A7C15) + h[k : k + m]
+        out *= np.uint64(0xD1342543DE82EF95)
+        out += h[k : k + m]
     return mix(out)
 
 
+def distinct(h: np.ndarray) -> np.ndarray:
+    """Sorted, each value once."""
+    s = np.sort(h)
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of the batch whose values in column have about most bytes; a longer value is a part of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -129,12 +198,15 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[list], Sequence]], fie
                 made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(out, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), *made], names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(freeing(run), schema)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as spark.checkpoint.dir names it; one of this machine's only where that is unset, as in tests."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/priceloom"
+    """The folder that all executors share, as spark.checkpoint.dir names it. Only a master on this machine alone can do without."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or "/tmp/checkpoints/priceloom"
 
 
 class Scratch:
@@ -143,11 +215,15 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.at = spark, {}
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, **more: Column) -> DataFrame:
+        """df, written and read again. The rows are counted on the way, and `more` aggregates with them: see noted()."""
         path = f"{shared_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in more.items())).write.parquet(path)
         self.at[name] = path
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out.noted_ = seen.get
+        return out
 
     def drop(self, *names: str) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
@@ -156,13 +232,27 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
-def small(df: DataFrame, most: int) -> DataFrame:
-    """df marked for broadcast if it is counted to have at most `most` rows, else as it is."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def noted(df: DataFrame) -> dict:
+    """What save() counted of a table; nothing for other frames."""
+    return df.__dict__.get("noted_", {})
+
+
+def small(df: DataFrame, most: int, of: DataFrame | None = None, times: int = 1) -> DataFrame:
+    """df marked for broadcast if it has at most `most` rows, else as it is.
+
+    A saved table was counted when it was written. Another frame is counted, unless `of`, a saved table, has so few rows that
+    df, at most `times` as many, fits in any case.
+    """
+    rows = noted(df).get("rows")
+    if rows is None and of is not None and (bound := noted(of).get("rows")) is not None and bound * times <= most:
+        return F.broadcast(df)
+    if rows is None:
+        rows = df.limit(most + 1).count()
+    return F.broadcast(df) if rows <= most else df
 
 
 class WordTable:
-    """A row of small integers for each word, computed once while it is kept; emptied between pieces when cap words are held."""
+    """A row of small integers for each word, computed once while it is kept; emptied between pieces when about most bytes are held."""
 
     class _Rows(dict):
         def __init__(self, table: WordTable):
@@ -172,8 +262,8 @@ class WordTable:
         def __missing__(self, word: str) -> int:
             return self.table.add(word)
 
-    def __init__(self, fn: Callable[[str], tuple], width: int, cap: int = 300_000):
-        self.fn, self.cap = fn, cap
+    def __init__(self, fn: Callable[[str], tuple], width: int, most: int = 2 * CACHE_BYTES):
+        self.fn, self.most, self.held = fn, most, 0
         self.at = self._Rows(self)
         self.rows = np.zeros((1024, width), np.int64)
 
@@ -183,12 +273,14 @@ class WordTable:
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         self.rows[n] = self.fn(word)
         self.at[word] = n
+        self.held += getsizeof(word) + 132 + self.rows.itemsize * self.rows.shape[1]
         return n
 
     def of(self, words: list[str]) -> np.ndarray:
         """The rows of the words, in order."""
-        if len(self.at) > self.cap:
+        if self.held > self.most:
             self.at.clear()
+            self.rows, self.held = self.rows[:1024].copy(), 0
         index = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
         return self.rows[index]
 
@@ -211,3 +303,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep, rows:
     share = F.coalesce(*[F.when(F.col("y") == c, F.lit(min(1.0, rows / n))) for c, n in counts.items()], F.lit(0.0))
     chosen = small(y.where(draw < share), 4 * rows)
     return docs.select(key, text).join(chosen, key).groupBy(key).agg(F.max("y").alias("y"), F.max(text).alias(text))
+
+
+def row_key(docs: DataFrame) -> Column:
+    """128 bits of hash over all columns of a row: equal for rows that are equal in all columns, nulls told apart from other values."""
+    parts = []
+    for field in docs.schema:
+        c = docs[f"`{field.name}`"]
+        nested = isinstance(field.dataType, ArrayType | MapType | StructType | VariantType)
+        parts += [c.isNull(), F.to_json(F.struct(c.alias("c")), {"ignoreNullFields": "false"}) if nested else c]
+    return F.struct(F.xxhash64(F.lit("a"), *parts).alias("a"), F.xxhash64(F.lit("b"), *parts).alias("b"))

@@ -53,7 +53,7 @@ class Backtracker:
         self.shorter = {}
         for key, i in key_of.items():
             self.shorter[i] = next((key_of[key[:n]] for n in range(len(key) - 1, 0, -1) if key[:n] in key_of), None)
-        self.fits = Memo2(self._fits)
+        self.fits = Memo(self._fits)
         self.bytes = byte_chars()
         added = sorted(spec.get("added_tokens") or [], key=lambda x: x["id"])
         self.special = {x["content"]: x["id"] for x in added}
@@ -134,18 +134,6 @@ class Backtracker:
         return self.blob[index].tobytes()[:-1]
 
 
-class Memo2(dict):
-    def __init__(self, fn, cap: int = 1_000_000):
-        super().__init__()
-        self.fn, self.cap = fn, cap
-
-    def __missing__(self, key):
-        if len(self) >= self.cap:
-            self.clear()
-        value = self[key] = self.fn(key)
-        return value
-
-
 @lru_cache(2)
 def backtracker(path: str) -> Backtracker:
     return Backtracker(path)
@@ -153,7 +141,7 @@ def backtracker(path: str) -> Backtracker:
 
 @lru_cache(2)
 def _words(path: str) -> Memo:
-    return Memo(backtracker(path).word, 600_000)
+    return Memo(backtracker(path).word)
 
 
 def _pieces(tok, text: str) -> list[str]:

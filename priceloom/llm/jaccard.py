@@ -8,25 +8,23 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from .arrow import WORD, Scratch, grams, hash_memo, lower_az, map_texts, mix, pieces, slices, small
+from .arrow import Scratch, byte_hash, distinct, freeing, grams, map_texts, mix, noted, row_key, slices, small
 
-#: Members up to which a bucket's pairs are listed; also the most partners that one row of a larger bucket gets.
+#: Members outside a bucket's largest component up to which the pairs between components are listed; more make it crowded.
 BUCKET = 32
-#: Rows up to which ids are broadcast, about 16 MB; beyond, the tables are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Rows of ids, components or keys up to which they are broadcast, about 8 MB; beyond, the tables are joined by shuffle.
+BROADCAST_ROWS = 200_000
 #: Members that are verified against one copy of their pivot's set in one group.
-GROUP = 2_000
-#: Rounds in which the members of a bucket are verified against one of them.
-STARS = 1
+GROUP = 200
 #: Crowded keys up to which they are sent to the executors, 8 bytes each; beyond, each document gets those among its own keys by a join.
-CROWDED = 1_000_000
-#: Share of a partition's segments that may get one-deletion neighbourhoods; documents that need more look up crowded buckets.
-REACH = 0.15
+CROWDED = 200_000
+#: One document in so many is looked at for keys that very many have: those are dealt over several tasks. Results don't depend on it.
+SAMPLE = 64
 #: 64-bit words of the bitmaps that bound the differences of two documents from below: in rows of a bucket, and for pairs.
 SKETCH, WIDE = 8, 64
 #: Low bits of a key that hold its partition.
@@ -80,13 +78,8 @@ def partitions_of(n: int, num: int) -> list[Partition]:
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles; of all its words as one if it has fewer than width; none without words."""
-    get = hash_memo().__getitem__
-    parts = []
-    for piece in pieces(lower_az(text or "")):
-        words = WORD.findall(piece)
-        parts.append(np.fromiter(map(get, words), np.uint64, len(words)))
-    h = np.concatenate(parts)
-    return np.unique(grams(h, min(width, len(h)))) if len(h) else h
+    h = byte_hash().of((text or "").encode("utf-8", "surrogatepass").lower())  # bytes lower-case A-Z alone
+    return distinct(grams(h, min(width, len(h)))) if len(h) else h
 
 
 class Segments:
@@ -123,13 +116,14 @@ def _schema(df: DataFrame, key: str, *more: tuple) -> StructType:
     return StructType([StructField("rep", df.schema[key].dataType)] + [StructField(n, t) for n, t in more])
 
 
-def _signatures(df: DataFrame, key: str, text: str, width: int, num: int) -> DataFrame:
-    """key, rep, n: a row for each segment with elements, and for each document one with n = its number of shingles + 1.
+def _signatures(df: DataFrame, key: str, text: str, width: int, num: int, hot=None) -> DataFrame:
+    """key, lane, rep, n: a row for each segment with elements, and for each document one with n = its number of shingles + 1.
 
     A segment's -n is how many of such keys a similar set must share at least: those that its partition spares, less the
-    document's empty ones; 0 if they are as many or more. The keys of the other rows mean nothing.
+    document's empty ones; 0 if they are as many or more. The keys of the other rows mean nothing. lane is 0 but for the hot keys
+    (sorted, broadcast), whose rows are dealt over lanes from 1 on.
     """
-    schema = StructType([StructField("key", LongType()), *_schema(df, key), StructField("n", LongType())])
+    schema = StructType([StructField("key", LongType()), StructField("lane", IntegerType()), *_schema(df, key), StructField("n", LongType())])
 
     def run(batches):
         for batch in batches:
@@ -140,16 +134,21 @@ def _signatures(df: DataFrame, key: str, text: str, width: int, num: int) -> Dat
                     for p in partitions_of(len(s), num) if len(s) else ():
                         chosen, made = Segments(s, p).exact()
                         keys.append(made)
-                        index.append(np.full(len(made), i))
+                        index.append(np.full(len(made), i, np.int32))
                         ns.append(np.full(len(made), min(0, p.segments - len(chosen) - p.spare)))
                     keys.append(mix(s.sum(dtype=np.uint64, keepdims=True) + np.uint64(i)).astype(np.int64))
-                    index.append(np.array([i]))
+                    index.append(np.array([i], np.int32))
                     ns.append(np.array([len(s) + 1]))
                 if keys:
-                    ids = part.column(key).take(pa.array(np.concatenate(index)))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), ids, pa.array(np.concatenate(ns))], ["key", "rep", "n"])
+                    at, found = np.concatenate(index), np.concatenate(keys)
+                    lanes = np.zeros(len(found), np.int32)
+                    if hot is not None and len(hot.value):
+                        lanes[_in(found, hot.value)] = 1
+                        lanes *= 1 + mix(at.astype(np.uint64) + found.astype(np.uint64)).astype(np.int32) % 509
+                    ids = part.column(key).take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(lanes), ids, pa.array(np.concatenate(ns))], schema.fieldNames())
 
-    return df.select(key, text).mapInArrow(run, schema)
+    return df.select(key, text).mapInArrow(freeing(run), schema)
 
 
 def _sets(df: DataFrame, key: str, text: str, groups: str, width: int) -> DataFrame:
@@ -168,7 +167,16 @@ def _sets(df: DataFrame, key: str, text: str, groups: str, width: int) -> DataFr
                 for i in range(0, len(rows), 512):
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i : i + 512]), kinds)], names)
 
-    return df.select(key, text, groups).mapInArrow(run, schema)
+    return df.select(key, text, groups).mapInArrow(freeing(run), schema)
+
+
+def similar(a: np.ndarray, b: np.ndarray, num: int) -> bool:
+    """Whether two sorted sets have at least num hundredths of their union in common; empty ones never do."""
+    least, most = sorted((len(a), len(b)))
+    if not least or least * 100 < num * most:
+        return False
+    same = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    return 100 * same >= num * (len(a) + len(b) - same)
 
 
 def _verify(sets: DataFrame, num: int) -> DataFrame:
@@ -187,20 +195,12 @@ def _verify(sets: DataFrame, num: int) -> DataFrame:
                 s = np.frombuffer(raw, np.uint64)
                 if not member:
                     pivots.append(s)
-                    continue
-                for p in pivots:
-                    least, most = sorted((len(p), len(s)))
-                    if least * 100 < num * most or not least:
-                        continue
-                    both = np.searchsorted(p, s)
-                    same = int((p[np.minimum(both, len(p) - 1)] == s).sum())
-                    if 100 * same >= num * (len(p) + len(s) - same):
-                        a.append(pivot)
-                        b.append(rep)
-                        break
+                elif any(similar(p, s, num) for p in pivots):
+                    a.append(pivot)
+                    b.append(rep)
             yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
 
-    return sets.mapInArrow(run, schema)
+    return sets.mapInArrow(freeing(run), schema)
 
 
 def _bitmap(s: np.ndarray, words: int) -> list[int]:
@@ -221,18 +221,18 @@ def _bitmaps(width: int):
 def likely(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, num: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) that sizes and bitmaps of the documents don't rule out."""
     ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).join(small(scratch.save(ids, f"{name}-ids"), BROADCAST_ROWS), "rep")
+    texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).join(small(ids, BROADCAST_ROWS, pairs, 2), "rep")
     maps = map_texts(texts, partial(_bitmaps, width), [StructField("size", LongType()), StructField("map", ArrayType(LongType()))], ("rep",)).dropDuplicates(["rep", "map"])
-    maps = small(scratch.save(maps, f"{name}-maps"), BROADCAST_ROWS // 20)
+    maps = small(scratch.save(maps, f"{name}-maps"), BROADCAST_ROWS // 16)
     of = lambda side: maps.select(F.col("rep").alias(side), F.col("size").alias(f"size_{side}"), F.col("map").alias(f"map_{side}"))
     differ = F.aggregate(F.zip_with("map_a", "map_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     close = differ * (100 + num) <= (F.col("size_a") + F.col("size_b")) * (100 - num)
-    return scratch.save(pairs.join(of("a"), "a").join(of("b"), "b").where(close).select("a", "b").distinct(), f"{name}-likely")
+    of_a, of_b = (F.broadcast(of(c)) if noted(maps).get("rows", BROADCAST_ROWS) <= BROADCAST_ROWS // 16 else of(c) for c in "ab")
+    return scratch.save(pairs.join(of_a, "a").join(of_b, "b").where(close).select("a", "b").distinct(), f"{name}-likely")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, num: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b), distinct, whose whole texts are similar. A pivot a of many pairs is copied to a group for each GROUP of them."""
-    pairs = likely(pairs, docs, key, text, width, num, scratch, name)
     sizes = pairs.groupBy("a").agg(F.count("*").alias("members"))
     dealt = pairs.join(sizes, "a").withColumn("groups", F.ceil(F.col("members") / GROUP))
     dealt = dealt.select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("salt"))
@@ -245,37 +245,38 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int,
     return scratch.save(_verify(met, num).distinct(), f"{name}-links")
 
 
-def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, name: str, most: int | None = None) -> DataFrame:
     """rep, comp: each end of the links (a, b) with the smallest end that it reaches, by alternating large and small stars.
 
     Stars are minimum aggregates joined back, so no node's neighbours meet in one place; a round's edges are written and read again.
+    With at most `most` rounds comp is one that rep reaches, not always the smallest.
     """
     edges = scratch.save(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), f"{name}-edges")
     before, held, k = None, f"{name}-edges", 0
-    while True:
+    while k != most:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         star = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         k += 1
-        edges = scratch.save(star, f"{name}-star{k}")
+        edges = scratch.save(star, f"{name}-star{k}", h=F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
         scratch.drop(held)
         held = f"{name}-star{k}"
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if now == before:
+        if noted(edges) == before:
             break
-        before = now
-    return edges.select(F.col("u").alias("rep"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("rep"), F.col("v").alias("comp")).distinct())
+        before = noted(edges)
+    roots = edges.select(F.col("v").alias("rep"), F.col("v").alias("comp"))
+    both = edges.select(F.col("u").alias("rep"), F.col("v").alias("comp")).unionByName(roots)
+    return scratch.save(both.groupBy("rep").agg(F.min("comp").alias("comp")), f"{name}-comps")
 
 
 class Budget:
     """What a document's segments of one partition can be asked for: costs are crowded buckets, which are never looked up.
 
-    A segment that is crowded or empty is skipped (budget 0), another is matched exactly (1); among the first segments of the
-    partition it is matched with one element taken out on either side too (2), if none of what then is left is crowded or empty.
-    Sets in which no such match is found differ in the sum of the budgets at least. reach is how many of the first segments must
-    have neighbourhoods for that sum to exceed the differences of similar sets; None if all don't do.
+    A segment that is crowded or empty is skipped (budget 0), another is matched exactly (1). A segment is matched with one element
+    taken out on either side too (2), if none of what then is left is crowded or empty. Sets in which no such match is found differ
+    in the sum of the budgets at least. heavy: exact matches alone don't reach over the differences of similar sets.
     """
 
     def __init__(self, s: np.ndarray, p: Partition, crowded: np.ndarray):
@@ -288,9 +289,12 @@ class Budget:
         self.near[self.seg.at[bad]] = False
         self.taken, self.of = taken[~bad], self.seg.at[~bad]
         self.heavy = int(self.skipped.sum()) >= p.spare
-        total = int((~self.skipped).sum()) + np.cumsum(self.near)
-        enough = np.flatnonzero(total > p.differences)
-        self.reach = int(enough[0]) + 1 if len(enough) else None
+
+    def reach(self, order: np.ndarray) -> int | None:
+        """How many segments, in the given order, must have neighbourhoods for the sum to exceed the differences; None if all don't do."""
+        total = int((~self.skipped).sum()) + np.cumsum(self.near[order])
+        enough = np.flatnonzero(total > self.p.differences)
+        return int(enough[0]) + 1 if len(enough) else None
 
 
 def _in(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -300,109 +304,233 @@ def _in(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of[np.minimum(np.searchsorted(of, keys), len(of) - 1)] == keys
 
 
-def _own_keys(df: DataFrame, width: int, num: int) -> DataFrame:
-    """key, rep: all keys that a Budget of the document looks for among crowded ones."""
-    schema = StructType([StructField("key", LongType()), *_schema(df, "rep")])
+class Neighbourhoods:
+    """One-deletion neighbourhoods of the documents (rep, text) that can't do with exact matches because of crowded buckets.
+
+    A partition's segments are allocated by counted cost: those first whose deletions are fewest for each document that gains by
+    them. All documents of a partition use as many segments as the one that needs most.
+    """
+
+    def __init__(self, texts: DataFrame, crowded: DataFrame, width: int, num: int, scratch: Scratch):
+        self.spark, self.width, self.num, self.scratch = texts.sparkSession, width, num, scratch
+        found = crowded.limit(CROWDED + 1).toArrow().column("key").to_numpy()
+        self.shared = None
+        if len(found) <= CROWDED:
+            self.shared = self.spark.sparkContext.broadcast(np.sort(found))
+        else:
+            own = self._own_keys(texts).join(crowded, "key", "left_semi").groupBy("rep").agg(F.collect_set("key").alias("crowded"))
+            texts = texts.join(scratch.save(own, "own-crowded"), "rep", "left")
+        self.texts = scratch.save(texts, "heavy-texts")
+
+    def _own_keys(self, texts: DataFrame) -> DataFrame:
+        """key, rep: all keys that a Budget of the document looks for among crowded ones."""
+        schema, width, num = StructType([StructField("key", LongType()), *_schema(texts, "rep")]), self.width, self.num
+
+        def run(batches):
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    for i, value in enumerate(part.column("text").to_pylist()):
+                        s = shingles(value, width)
+                        for p in partitions_of(len(s), num) if len(s) else ():
+                            seg = Segments(s, p)
+                            keys = np.unique(np.concatenate([seg.exact(empty=True)[1], seg.deletions(np.arange(p.segments))]))
+                            yield pa.RecordBatch.from_arrays([pa.array(keys), part.column("rep").take(pa.array(np.full(len(keys), i)))], ["key", "rep"])
+
+        return texts.select("rep", "text").mapInArrow(freeing(run), schema)
+
+    def _heavy(self, make, schema: StructType) -> DataFrame:
+        """Rows that make(i, set, Budget) gives as arrays, of each heavy document's partitions; the first column comes from rep by i."""
+        width, num, shared = self.width, self.num, self.shared
+
+        def run(batches):
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    index, columns = [], []
+                    crowded = repeat(shared.value) if shared is not None else (np.sort(x.values.to_numpy()) if x.is_valid else np.zeros(0, np.int64) for x in part.column("crowded"))
+                    for i, (value, hot) in enumerate(zip(part.column("text").to_pylist(), crowded)):
+                        s = shingles(value, width)
+                        for p in partitions_of(len(s), num) if len(s) else ():
+                            found = Budget(s, p, hot)
+                            if found.heavy:
+                                made = make(s, found)
+                                index.append(np.full(len(made[0]), i))
+                                columns.append(made)
+                    if columns:
+                        ids = part.column("rep").take(pa.array(np.concatenate(index)))
+                        yield pa.RecordBatch.from_arrays([ids, *(pa.array(np.concatenate(c)) for c in zip(*columns))], schema.fieldNames())
+
+        return self.texts.mapInArrow(freeing(run), schema)
+
+    def allocate(self) -> tuple[DataFrame, dict[int, np.ndarray]]:
+        """rep, p, reach of heavy documents (-1: no allocation does), and the segments of each partition that get neighbourhoods.
+
+        The driver gets a row for each segment of a partition: together a few times the size of the largest set.
+        """
+        long = lambda *names: StructType([*_schema(self.texts, "rep"), *(StructField(n, LongType()) for n in names)])
+        costs = self._heavy(lambda s, b: (np.full(b.p.segments, b.p.number), np.arange(b.p.segments), b.seg.sizes.astype(np.int64), b.near.astype(np.int64)), long("p", "segment", "size", "gain"))
+        counted = costs.groupBy("p", "segment").agg(F.sum("size").alias("cost"), F.sum("gain").alias("gain"))
+        rows = counted.toArrow()
+        p, segment, cost, gain = (rows.column(c).to_numpy() for c in ("p", "segment", "cost", "gain"))
+        orders = {}
+        for number in np.unique(p).tolist():
+            own = np.flatnonzero(p == number)
+            own = own[np.lexsort((segment[own], cost[own] / np.maximum(gain[own], 0.5)))]
+            orders[number] = segment[own]
+        shared = self.spark.sparkContext.broadcast(orders)
+        need = self._heavy(lambda s, b: (np.array([b.p.number]), np.array([b.reach(shared.value[b.p.number]) or -1])), long("p", "reach"))
+        need = self.scratch.save(need, "reaches")
+        most = {r["p"]: r["reach"] for r in need.groupBy("p").agg(F.max("reach").alias("reach")).collect()}
+        return need, {number: order[: max(0, most.get(number, 0))] for number, order in orders.items()}
+
+    def rows(self, chosen: dict[int, np.ndarray]) -> DataFrame:
+        """rep, key, kind, size, map: of the chosen segments, those that aren't crowded whole (kind 0) and with an element taken out (1)."""
+        shared = self.spark.sparkContext.broadcast(chosen)
+
+        def make(s: np.ndarray, b: Budget) -> tuple:
+            wanted = np.zeros(b.p.segments, bool)
+            wanted[shared.value[b.p.number]] = True
+            whole, taken = b.keys[wanted & ~b.skipped], np.unique(b.taken[wanted[b.of]])
+            n = len(whole) + len(taken)
+            maps = np.tile(np.array(_bitmap(s, SKETCH), np.int64), (n, 1))
+            return np.concatenate([whole, taken]), np.repeat([0, 1], [len(whole), len(taken)]), np.full(n, len(s)), *maps.T
+
+        fields = ["key", "kind", "size", *_MAP]
+        return self._heavy(make, StructType([*_schema(self.texts, "rep"), *(StructField(n, LongType()) for n in fields)]))
+
+
+_MAP = [f"x{k}" for k in range(SKETCH)]
+
+
+def _close(num: int, other: str) -> Column:
+    """Whether sizes and bitmaps of two rows, the other's columns with a suffix, allow similar sets."""
+    differ = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(x + other))) for x in _MAP), F.lit(0))
+    sizes = F.col("size"), F.col("size" + other)
+    return (differ * (100 + num) <= (sizes[0] + sizes[1]) * (100 - num)) & (F.least(*sizes) * 100 >= F.greatest(*sizes) * num)
+
+
+def _met(left: DataFrame, right: DataFrame, on: str, where: str, num: int) -> DataFrame:
+    """a, b: pairs of rows with equal keys for which where holds (columns of right end in _2), of different components and close."""
+    other = right.select(*[F.col(c).alias(f"{c}_2") for c in right.columns])
+    met = left.join(other, (left[on] == other[f"{on}_2"]) & F.expr(f"c <> c_2 AND ({where})") & _close(num, "_2"))
+    return met.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b"))
+
+
+def _elements(texts: DataFrame, width: int) -> DataFrame:
+    """rep, g, size, x0..: a row for each shingle, with the set's size and bitmap."""
+    schema = StructType([*_schema(texts, "rep"), *(StructField(n, LongType()) for n in ["g", "size", *_MAP])])
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 for i, value in enumerate(part.column("text").to_pylist()):
                     s = shingles(value, width)
-                    for p in partitions_of(len(s), num) if len(s) else ():
-                        seg = Segments(s, p)
-                        keys = np.unique(np.concatenate([seg.exact(empty=True)[1], seg.deletions(np.arange(p.segments))]))
-                        yield pa.RecordBatch.from_arrays([pa.array(keys), part.column("rep").take(pa.array(np.full(len(keys), i)))], ["key", "rep"])
-
-    return df.select("rep", "text").mapInArrow(run, schema)
-
-
-def _with_crowded(texts: DataFrame, keys: DataFrame, width: int, num: int, scratch: Scratch) -> DataFrame:
-    """texts with crowded: which of the document's own keys are among keys, null if none is."""
-    met = _own_keys(texts, width, num).join(keys, "key", "left_semi").groupBy("rep").agg(F.collect_set("key").alias("crowded"))
-    return texts.join(scratch.save(met, "own-crowded"), "rep", "left")
-
-
-def _crowded(batch: pa.RecordBatch, shared):
-    """Sorted crowded keys for each row: all that were broadcast, or else the row's own."""
-    if shared is not None:
-        return repeat(shared.value)
-    return (np.sort(x.values.to_numpy()) if x.is_valid else np.zeros(0, np.int64) for x in batch.column("crowded"))
-
-
-def _reaches(df: DataFrame, shared, width: int, num: int) -> DataFrame:
-    """p, reach (of its segments) for each partition in which a document can't do with exact matches but with neighbourhoods."""
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for value, crowded in zip(batch.column("text").to_pylist(), _crowded(batch, shared)):
-                s = shingles(value, width)
-                for p in partitions_of(len(s), num) if len(s) else ():
-                    found = Budget(s, p, crowded)
-                    if found.heavy and found.reach and found.reach <= REACH * p.segments:
-                        out.append((p.number, found.reach))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["p", "reach"])
+                    columns = [s.astype(np.int64), np.full(len(s), len(s)), *np.tile(np.array(_bitmap(s, SKETCH), np.int64), (len(s), 1)).T]
+                    yield pa.RecordBatch.from_arrays([part.column("rep").take(pa.array(np.full(len(s), i))), *map(pa.array, columns)], schema.fieldNames())
 
-    return df.drop("rep").mapInArrow(run, "p long, reach long")
+    return texts.select("rep", "text").mapInArrow(freeing(run), schema)
 
 
-def _deletion_rows(df: DataFrame, shared, reach: dict[int, int], width: int, num: int) -> DataFrame:
-    """key, rep, kind of the documents that can't do with exact matches in a partition.
+def _residual(texts: DataFrame, comps: DataFrame, width: int, num: int, bucket: int, scratch: Scratch) -> DataFrame:
+    """a, b: candidates among documents of which crowded segments hold so much that no allocation of neighbourhoods does.
 
-    Of the partition's first segments, as many as any document there needs: whole segments (kind 0) and segments with an element
-    taken out (1), those that aren't crowded. Documents that would need more come with their skipped segments as well (2).
-    size and x0.. are the document's number of shingles and a bitmap of them: two differ in as many shingles at least as in bits.
+    Their shingles are counted among them and ordered by count: similar sets share a shingle of both sets' first
+    size - ceil(num size / 100) + 1. Rare ones (bucket documents at most) list their pairs. Two sets that share common shingles
+    alone are similar only if either is similar to the smallest set with the same common shingles as the other, and those two to
+    each other: so each document meets one document for each different set of common shingles, not all that have it.
     """
-    fixed = ["kind", "size", *(f"x{k}" for k in range(SKETCH))]
-    schema = StructType([StructField("key", LongType()), StructField("rep", df.schema["rep"].dataType), *(StructField(c, LongType()) for c in fixed)])
-
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                keys, index, kinds, heads = [], [], [], []
-                for i, (value, crowded) in enumerate(zip(part.column("text").to_pylist(), _crowded(part, shared))):
-                    s = shingles(value, width)
-                    heads.append([len(s), *_bitmap(s, SKETCH)])
-                    for p in partitions_of(len(s), num) if len(s) else ():
-                        found = Budget(s, p, crowded)
-                        if not found.heavy:
-                            continue
-                        first = reach.get(p.number, 0)
-                        groups = [(found.keys[:first][~found.skipped[:first]], 0), (found.taken[found.of < first], 1)]
-                        if not found.reach or found.reach > first:
-                            groups.append((found.keys[found.skipped], 2))
-                        for k, kind in groups:
-                            keys.append(k)
-                            index.append(np.full(len(k), i))
-                            kinds.append(np.full(len(k), kind))
-                if keys:
-                    at = np.concatenate(index)
-                    columns = np.array(heads, np.int64)[at].T
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), part.column("rep").take(pa.array(at)), pa.array(np.concatenate(kinds)), *map(pa.array, columns)], schema.fieldNames())
-
-    return df.mapInArrow(run, schema)
+    rows = scratch.save(_elements(texts, width), "elements")
+    counts = scratch.save(rows.groupBy("g").agg(F.count("*").alias("df")), "element-counts")
+    ranked = rows.join(counts, "g").groupBy("rep", "size", *_MAP).agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("s"))
+    length = F.col("size") - F.ceil(F.col("size") * num / 100) + 1
+    common = F.xxhash64(F.filter("s", lambda x: x["df"] > bucket))
+    docs = ranked.select("rep", "size", *_MAP, common.alias("common"), F.slice("s", 1, length.cast("int")).alias("s"))
+    docs = docs.join(comps, "rep", "left").withColumn("c", F.coalesce("comp", "rep")).drop("comp")
+    prefix = scratch.save(docs.select("rep", "c", "size", *_MAP, "common", F.inline("s")), "prefixes")
+    rare, often = prefix.where(F.col("df") <= bucket), prefix.where(F.col("df") > bucket)
+    least = often.groupBy("g", "common").agg(F.min(F.struct("size", "rep", "c", *_MAP)).alias("m")).select("g", "m.*")
+    return _met(rare, rare, "g", "rep < rep_2", num).unionByName(_met(often, scratch.save(least, "least"), "g", "true", num))
 
 
 def _partition(key: str):
     return F.col(key).bitwiseAND(F.lit((1 << PARTITION_BITS) - 1)).alias("p")
 
 
+class Links:
+    """The stages of jaccard_components over kept, one document for each class of equal texts."""
+
+    def __init__(self, kept: DataFrame, rows: int, width: int, num: int, bucket: int, scratch: Scratch):
+        self.kept, self.rows, self.width, self.num, self.bucket, self.scratch = kept, rows, width, num, bucket, scratch
+
+    def hot_keys(self):
+        """Broadcast, sorted: keys of which a sample of documents holds many; at most 10,000 times the keys of a document."""
+        sample = self.kept.where(F.pmod(F.xxhash64(F.lit("hot"), "doc_id"), F.lit(SAMPLE)) == 0)
+        keys = _signatures(sample, "doc_id", "text", self.width, self.num).where("n <= 0").groupBy("key").count()
+        most = max(SAMPLE, self.rows // SAMPLE // 10_000)
+        found = keys.where(F.col("count") >= most).select("key").toArrow().column("key").to_numpy()
+        return self.kept.sparkSession.sparkContext.broadcast(np.sort(found))
+
+    def buckets(self) -> DataFrame:
+        """key, rep, n of _signatures: rows whose key another row has (shared), and those of the documents' sizes."""
+        sigs = _signatures(self.kept, "doc_id", "text", self.width, self.num, self.hot_keys())
+        met = sigs.withColumn("g", F.count("*").over(Window.partitionBy("key", "lane")))
+        return self.scratch.save(met.where("g > 1 OR n >= 0 OR lane > 0").withColumn("shared", F.expr("n <= 0 AND (g > 1 OR lane > 0)")).drop("g", "lane"), "buckets")
+
+    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
+        return verified(pairs, self.kept, "doc_id", "text", self.width, self.num, self.scratch, name)
+
+    def stars(self, rows: DataFrame) -> DataFrame:
+        """Links between each member (key, rep, share) of a bucket and its smallest one."""
+        pivots = self.scratch.save(rows.groupBy("key").agg(F.min("rep").alias("a")), "pivots")
+        seen = rows.join(pivots, "key").where("a <> rep").groupBy("a", F.col("rep").alias("b"), _partition("key")).agg(F.count("*").alias("k"), F.max("share").alias("share"))
+        return self.verified(self.scratch.save(seen.where("k >= share").select("a", "b").distinct(), "star-pairs"), "star")
+
+    def place(self, rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """comps (rep, comp) so far; rows with theirs as c, those of buckets that hold several; and these buckets' keys with main
+        (the component with most members) and crowded: whether over bucket members belong to others."""
+        comps = small(components(links, self.scratch, "star", 2), BROADCAST_ROWS)
+        placed = rows.join(comps, "rep", "left").withColumn("c", F.coalesce("comp", "rep")).drop("comp")
+        counted = placed.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("all")).where("all > top.k")
+        ruled = self.scratch.save(counted.select("key", F.col("top.c").alias("main"), (F.col("all") - F.col("top.k") > self.bucket).alias("crowded")), "ruled")
+        return comps, self.scratch.save(placed.join(ruled, "key"), "open"), ruled
+
+    def across(self, open_: DataFrame, skipped: DataFrame) -> DataFrame:
+        """a, b: pairs of different components that share as many keys that aren't crowded as similar sets must."""
+        few = open_.where("NOT crowded").withColumn("p", _partition("key"))
+        few = few.join(small(skipped.select("rep", "p", "skipped"), BROADCAST_ROWS, skipped), ["rep", "p"], "left").withColumn("share", F.col("share") - F.coalesce("skipped", F.lit(0)))
+        left, right = few.where("c <> main"), few.select("key", F.col("rep").alias("rep2"), F.col("c").alias("c2"), F.col("share").alias("share2"))
+        met = left.join(right, "key").where("c <> c2 AND (c2 = main OR rep < rep2)")
+        shared = met.groupBy(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b"), "p").agg(F.count("*").alias("k"), F.max(F.greatest("share", "share2")).alias("share"))
+        return shared.where("k >= share").select("a", "b")
+
+    def near(self, heavy: DataFrame, ruled: DataFrame, comps: DataFrame) -> DataFrame:
+        """a, b: candidates among the heavy documents, by neighbourhoods or, where these don't do, by counted shingles."""
+        texts = self.kept.select(F.col("doc_id").alias("rep"), "text").join(small(heavy, BROADCAST_ROWS), "rep")
+        made = Neighbourhoods(texts, ruled.where("crowded").select("key"), self.width, self.num, self.scratch)
+        need, chosen = made.allocate()
+        rows = made.rows(chosen).distinct().join(comps, "rep", "left").withColumn("c", F.coalesce("comp", "rep")).drop("comp")
+        rows = self.scratch.save(rows, "deletions")
+        found = _met(rows.where("kind = 0"), rows.where("kind = 1"), "key", "true", self.num)
+        beyond = self.scratch.save(need.where("reach < 0").select("rep").distinct(), "beyond")
+        if not noted(beyond)["rows"]:
+            return found
+        rest = made.texts.join(small(beyond, BROADCAST_ROWS), "rep", "left_semi")
+        return found.unionByName(_residual(rest, comps, self.width, self.num, self.bucket, self.scratch))
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that a document reaches by links, itself included.
 
-    Documents link when 100 x shared shingles >= num x shingles of both together. Exactly equal texts with words are one class; each class is
-    cut into segments for each partition of its size, and classes that share a segment meet in a bucket. In a few rounds each is
-    verified against one of its bucket; classes so joined need no further proof. Then buckets that still hold several components
-    list the pairs across them, up to `bucket` members outside the largest one, and those pairs are verified that share as many
-    keys as similar sets must. What is more crowded is skipped for classes that can spare it, and those that can't meet by
-    one-deletion neighbourhoods. So no link between components is lost.
+    Documents link when 100 x shared shingles >= num x shingles of both together. Exactly equal texts with words are one class; each
+    class is cut into segments for each partition of its size, and classes that share a segment meet in a bucket. There they are
+    verified against one of them; classes so joined need no further proof. Buckets that still hold several components list the pairs across them, up to `bucket` members outside the largest one, and those pairs are
+    verified that share as many keys as similar sets must. What is more crowded is skipped for classes that can spare it; those
+    that can't meet by one-deletion neighbourhoods of segments chosen by cost, and those with too little outside crowded segments
+    by counted shingles. So no link between components is lost.
     Null texts and texts without words have 0 shingles and are linked with nothing. Rows with a null doc_id count their shingles but take no
     links: their component is null. Rows with equal doc_ids are one node with the links of all its texts; each row is returned.
     An empty table gives no rows; further columns are left out. One text's set is held at a time, 8 bytes a shingle.
     """
-    spark = docs.sparkSession
-    scratch = scratch or Scratch(spark)
+    scratch = scratch or Scratch(docs.sparkSession)
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     named = source.where("doc_id IS NOT NULL")
     hashed = scratch.save(named.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("md5"), F.col("text").rlike(r"[^\x20\x09-\x0D]").alias("worded")), "hashed")
@@ -411,67 +539,27 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, key: str
     mixed = small(scratch.save(texts_of.where("x <> y OR n <> m").select("doc_id"), "mixed"), BROADCAST_ROWS)
     classes = hashed.join(mixed, "doc_id", "left_anti").where("worded").groupBy("md5").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     several = scratch.save(classes.where("rep <> last").select("md5", "rep"), "classes")
-    copies = hashed.join(small(several, BROADCAST_ROWS // 4), "md5").where("doc_id <> rep").join(mixed, "doc_id", "left_anti")
+    copies = hashed.join(small(several, BROADCAST_ROWS), "md5").where("doc_id <> rep").join(mixed, "doc_id", "left_anti")
     copies = scratch.save(copies.select("doc_id", "rep"), "copies")  # a row for each row of theirs
-    leave = small(copies.select("doc_id").distinct(), BROADCAST_ROWS)
-    kept = named.join(leave, "doc_id", "left_anti")
-
-    by_key = Window.partitionBy("key")
-    sigs = _signatures(kept, "doc_id", "text", width, num)
-    met = sigs.withColumn("g", F.count("*").over(by_key)).where("g > 1 OR n >= 0")
-    buckets = scratch.save(met, "buckets")
-    rows = buckets.where("n <= 0 AND g > 1").select("key", "rep", (-F.col("n")).alias("share"))
-
-    # Stars: members of a bucket against one of them, a first time the smallest, then others, until components stop to meet.
-    links, open_, comps = None, rows.withColumn("c", F.col("rep")), None
-    for k in range(STARS):
-        order = F.col("rep") if k == 0 else F.xxhash64(F.lit(k), "rep")
-        pivots = open_.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "c")).alias("pivot")).select("key", F.col("pivot.rep").alias("pivot"), F.col("pivot.c").alias("c_pivot"))
-        seen = open_.join(pivots, "key").where("c <> c_pivot").groupBy(F.col("pivot").alias("a"), F.col("rep").alias("b"), _partition("key")).agg(F.count("*").alias("k"), F.max("share").alias("share"))
-        pairs = scratch.save(seen.where("k >= share").select("a", "b").distinct(), f"star{k}")
-        found = verified(pairs, kept, "doc_id", "text", width, num, scratch, f"star{k}")
-        links = found if links is None else links.unionByName(found)
-        comps = small(scratch.save(components(links, scratch, f"part{k}"), f"part{k}"), BROADCAST_ROWS)
-        before = (open_ if k else rows).drop("c")
-        placed = before.join(comps, "rep", "left").withColumn("c", F.coalesce("comp", "rep")).drop("comp")
-        odd = scratch.save(placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key"), f"odd{k}")
-        open_ = scratch.save(placed.join(small(odd, BROADCAST_ROWS), "key", "left_semi"), f"open{k}")
-
-    # Up to bucket members, or up to bucket of them outside the largest component: pairs across components that share enough keys.
-    by_comp = open_.groupBy("key", "c").agg(F.count("*").alias("k"))
-    top = by_comp.groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("all"))
-    ruled = scratch.save(top.select("key", F.col("top.c").alias("main"), (F.col("all") - F.col("top.k") > bucket).alias("crowded")), "ruled")
-    crowd = open_.join(ruled.where("crowded").select("key"), "key", "left_semi").select("rep", "key", "share")
+    kept = named.join(small(copies.select("doc_id").distinct(), BROADCAST_ROWS, copies), "doc_id", "left_anti")
+
+    job = Links(kept, noted(hashed)["rows"], width, num, bucket, scratch)
+    buckets = job.buckets()
+    rows = buckets.where("shared").select("key", "rep", (-F.col("n")).alias("share"))
+    links = job.stars(rows)
+    comps, open_, ruled = job.place(rows, links)
+    crowd = open_.where("crowded")
     skipped = scratch.save(crowd.groupBy("rep", _partition("key")).agg(F.count("*").alias("skipped"), F.max("share").alias("share")), "skipped")
-    few = open_.join(ruled.where("NOT crowded").select("key", "main"), "key").withColumn("p", _partition("key"))
-    few = few.join(small(skipped.select("rep", "p", "skipped"), BROADCAST_ROWS), ["rep", "p"], "left").withColumn("share", F.col("share") - F.coalesce("skipped", F.lit(0)))
-    left, right = few.where("c <> main"), few.select("key", F.col("rep").alias("rep2"), F.col("c").alias("c2"), F.col("share").alias("share2"))
-    met = left.join(right, "key").where("c <> c2 AND (c2 = main OR rep < rep2)")
-    shared = met.groupBy(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b"), "p").agg(F.count("*").alias("k"), F.max(F.greatest("share", "share2")).alias("share"))
-    across = shared.where("k >= share").select("a", "b")
-    short = buckets.where("n = 0").select("rep")
+    short = buckets.where("n = 0").select("rep")  # so many empty segments that a similar set needn't share one with elements
     heavy = scratch.save(skipped.where("skipped >= share").select("rep").unionByName(short).distinct(), "heavy")
-    texts = kept.select(F.col("doc_id").alias("rep"), "text").join(small(heavy, BROADCAST_ROWS), "rep")
-    crowded = ruled.where("crowded").select("key")
-    hot = crowded.limit(CROWDED + 1).toArrow().column("key").to_numpy()
-    if len(hot) <= CROWDED:
-        hot = spark.sparkContext.broadcast(np.sort(hot))
-    else:
-        hot, texts = None, scratch.save(_with_crowded(texts, crowded, width, num, scratch), "heavy-texts")
-    reach = {r["p"]: r["reach"] for r in _reaches(texts, hot, width, num).groupBy("p").agg(F.max("reach").alias("reach")).collect()}
-    rows = _deletion_rows(texts, hot, reach, width, num).distinct().join(comps, "rep", "left").withColumn("c", F.coalesce("comp", "rep")).drop("comp")
-    rows = scratch.save(rows, "deletions")
-    other = rows.select(*[F.col(c).alias(c if c == "key" else f"{c}_2") for c in rows.columns])
-    differ = sum((F.bit_count(F.col(f"x{k}").bitwiseXOR(F.col(f"x{k}_2"))) for k in range(SKETCH)), F.lit(0))
-    close = (differ * (100 + num) <= (F.col("size") + F.col("size_2")) * (100 - num)) & (F.least("size", "size_2") * 100 >= F.greatest("size", "size_2") * num)
-    near = rows.join(other, (rows["key"] == other["key"]) & F.expr("c <> c_2 AND ((kind = 0 AND kind_2 = 1) OR (kind = 2 AND kind_2 = 2 AND rep < rep_2))") & close)
-    near = near.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b"))
-    more = scratch.save(across.unionByName(near).distinct(), "across")
-    last = verified(more, kept, "doc_id", "text", width, num, scratch, "across")
+    pairs = job.across(open_, skipped)
+    if noted(heavy)["rows"]:
+        pairs = pairs.unionByName(job.near(heavy, ruled, comps))
+    close = likely(scratch.save(pairs.distinct(), "across"), kept, "doc_id", "text", width, num, scratch, "across")
+    last = job.verified(close, "across")
 
     same = copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    all_links = links.unionByName(last).unionByName(same)
-    final = scratch.save(components(all_links, scratch, "final"), "final")
+    final = components(links.unionByName(last).unionByName(same), scratch, "final")
     sizes = buckets.where("n > 0").select(F.col("rep").alias("doc_id"), (F.col("n") - 1).alias("n_shingles"))
     of_class = sizes.withColumnRenamed("doc_id", "rep").distinct()
     out = sizes.unionByName(copies.join(of_class, "rep").select("doc_id", "n_shingles"))
@@ -481,11 +569,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, key: str
     return out.unionByName(unnamed.select(F.col("rep").alias("doc_id"), (F.col("n") - 1).alias("n_shingles"), F.lit(None).cast(source.schema["doc_id"].dataType).alias("component_id")))
 
 
-
 def keep_one(docs: DataFrame, found: DataFrame, scratch: Scratch, key: str = "doc_id") -> DataFrame:
-    """docs without those that aren't the smallest of their component, and one row for each key that stays; null keys stay as they are."""
+    """docs without those that aren't the smallest of their component, and one row for each key that stays; null keys stay as they are.
+
+    Of several rows with one key that stays the one with the smallest hash of all its columns is taken, so reruns agree.
+    """
     lost = scratch.save(found.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "lost")
-    left = docs.join(small(lost, BROADCAST_ROWS), key, "left_anti").select(*docs.columns)
+    left = docs.join(small(lost, BROADCAST_ROWS), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     if found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").isEmpty():
         return left
-    return left.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(left.where(F.col(key).isNull()))
+    named = left.where(F.col(key).isNotNull())
+    one = named.groupBy(key).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in named.columns]), row_key(named)).alias("kept_row")).select("kept_row.*")
+    return one.unionByName(left.where(F.col(key).isNull()))

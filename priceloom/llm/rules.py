@@ -10,9 +10,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField
 
-from .arrow import WORD, grams, hash_memo, map_texts, pieces
+from .arrow import WORD, byte_hash, grams, map_texts
 
 SYMBOLS = "#*$%&|<>"
+BLANK = " \t\n\v\f\r"
 
 
 @dataclass(frozen=True)
@@ -20,8 +21,8 @@ class Bands:
     """Limits on compressed / raw bytes.
 
     whole: (least bytes, lowest, highest ratio) by length of the document, the last whose least bytes it reaches holds. Short
-    texts compress less, so their bands lie higher. chunk_bytes, chunk_low, chunk_high: for each full chunk of fixed size;
-    a document is rejected when over chunk_share of its full chunks lie outside.
+    texts compress less, so their bands lie higher. chunk_bytes, chunk_low, chunk_high: for each chunk of fixed size, the last of
+    which ends with the text and may overlap the one before; a document is rejected when over chunk_share of them lie outside.
     """
 
     whole: tuple = ((0, 0.10, 1.30), (256, 0.20, 0.95), (1024, 0.18, 0.85), (4096, 0.15, 0.75), (16384, 0.12, 0.70))
@@ -52,7 +53,8 @@ def _rules(bands: Bands):
         n = len(raw)
         ratio = len(zstd.compress(raw)) / n if n else None
         size = bands.chunk_bytes
-        parts = [len(zstd.compress(raw[i : i + size])) / size for i in range(0, n - size + 1, size)]
+        starts = [*range(0, n - size + 1, size), *([n - size] if n > size and n % size else [])]
+        parts = [len(zstd.compress(raw[i : i + size])) / size for i in starts]
         low, high = next((lo, hi) for least, lo, hi in reversed(bands.whole) if n >= least)
         outside = sum(not bands.chunk_low <= x <= bands.chunk_high for x in parts)
         why = None
@@ -66,15 +68,11 @@ def _rules(bands: Bands):
 
     def measure(texts: list) -> list:
         rows = []
-        get = hash_memo().__getitem__
         for text in texts:
             text = text or ""
-            n_chars, hashes = 0, []
-            for piece in pieces(text):
-                words = WORD.findall(piece)
-                n_chars += sum(map(len, words))
-                hashes.append(np.fromiter(map(get, words), np.uint64, len(words)))
-            h = np.concatenate(hashes)
+            raw = text.encode("utf-8", "surrogatepass")
+            h = byte_hash().of(raw)
+            n_chars = len(text) - sum(map(text.count, BLANK))
             seen, again = set(), 0
             for line in text.split("\n"):
                 if WORD.search(line):
@@ -82,7 +80,7 @@ def _rules(bands: Bands):
                     seen.add(line)
             repeat = _repeated(h)
             failed = len(h) < 50 or 100 * repeat > 50 * len(h)
-            ratio, least, most, why = verdict(text.encode("utf-8", "surrogatepass"))
+            ratio, least, most, why = verdict(raw)
             rows.append((len(h), n_chars, sum(map(text.count, SYMBOLS)), again, repeat, failed, not failed and why is None, ratio, least, most, "base" if failed else why))
         return list(zip(*rows)) or [[]] * 11
 
@@ -94,7 +92,7 @@ def quality_rules(df: DataFrame, bands: Bands = Bands(), text: str = "text", key
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; base_failed (under 50 words, or over half of the words in
     repeated 3-word windows); kept: neither base_failed nor outside a compression band. zstd_ratio, chunk_min, chunk_max
-    (null without bytes or full chunks) and reason (null if kept) follow. Null texts count as empty, which base_failed rejects.
+    (null without bytes or chunks: shorter texts have none) and reason (null if kept) follow. Null texts count as empty, which base_failed rejects.
     Long texts are hashed piecewise; every byte is compressed. Repeated rows each give a row, an empty table gives none;
     further columns are left out.
     """
