@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
-from .arrow import Scratch, small
+from .arrow import Scratch, row_key, small
 
 #: Units that one task holds together: those of a leaf or node of the reduction tree.
 FAN = 64
@@ -35,17 +34,17 @@ def _ranked(stats: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def source_targets(sized: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0, scratch: Scratch | None = None) -> DataFrame:
-    """source, source_size and target of each source of (source, size).
+    """source, source_size, source_rows and target of each source of (source, size).
 
     Sources by code point, null last, weigh as weights repeat, and share the sum of all sizes; a target over cap times its
     source's size stops there and the excess is shared anew by weight. Only sums come to the driver: one level a round, at which
     uncapped targets stand per weight, until no more sources reach their cap.
     """
     scratch = scratch or Scratch(sized.sparkSession)
-    stats = scratch.save(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "stats")
+    stats = scratch.save(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows")), "stats")
     placed = _ranked(stats, scratch)
     weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("place") % len(weights) + 1).cast("int"))
-    placed = scratch.save(placed.select("source", "source_size", weight.alias("weight")), "weights")
+    placed = scratch.save(placed.select("source", "source_size", "source_rows", weight.alias("weight")), "weights")
     most = F.col("source_size") * cap
     level, capped = 0.0, -1
     while True:
@@ -54,102 +53,122 @@ def source_targets(sized: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.
         if r["n"] == capped or not r["open"]:
             break
         level, capped = (r["all"] - (r["held"] or 0.0)) / r["open"], r["n"]
-    return placed.select("source", "source_size", F.least(most, F.lit(level) * F.col("weight")).cast("double").alias("target"))
+    return placed.select("source", "source_size", "source_rows", F.least(most, F.lit(level) * F.col("weight")).cast("double").alias("target"))
 
 
 def _uniform(*parts) -> Column:
     return F.xxhash64(*parts).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
 
 
-def _fold(units: Column, kind: str, done: str, seed: str, level: int) -> Column:
+def _fold(units: Column, kind: str, done: str, seed: str, level: int, last: Column) -> Column:
     """Pairs the units of a sorted array in turn; struct(done, left): decided units, and the one whose chance is still between.
 
     Of two units with chances p, q and sizes s, t, either s(1-p) and tq, or sp and t(1-q) are compared, and the smaller number of
-    words moves: at random, so that neither chance changes on average and s p + t q never does. One chance gets to 0 or 1.
+    words moves: at random, so that neither chance changes on average and s p + t q never does. One chance gets to 0 or 1. The
+    random number is that of the unit which has waited longer: it goes on in one direction, up or down, until it is whole, so a
+    large unit is settled by several smaller ones instead of being moved to and fro by them. In the last fold of a source, a unit
+    that all smaller ones together could settle in one direction only takes that one.
     """
-    zero = F.struct(F.array().cast(f"array<{done}>").alias("done"), F.lit(None).cast(kind).alias("left"))
+    sum_of = lambda f: F.aggregate(units, F.lit(0.0), lambda t, x: t + x["size"] * f(x["p"]))
+    give, take = sum_of(lambda p: p), sum_of(lambda p: 1 - p)
+    zero = F.struct(F.array().cast(f"array<{done}>").alias("done"), F.lit(None).cast(kind).alias("left"), give.alias("give"), take.alias("take"))
 
     def out(u: Column, add: Column) -> Column:
-        return F.struct(u["doc_id"].alias("doc_id"), u["size"].alias("size"), u["base"].alias("base"), add.cast("long").alias("add"))
+        return F.struct(*[u[c].alias(c) for c in _DONE], add.cast("long").alias("add"))
 
     def merge(acc: Column, x: Column) -> Column:
         i = acc["left"]
         i_up, j_down = i["size"] * (1 - i["p"]), x["size"] * x["p"]
         i_down, j_up = i["size"] * i["p"], x["size"] * (1 - x["p"])
         up, down = F.least(i_up, j_down), F.least(i_down, j_up)
-        rises = _uniform(F.lit(seed), F.lit(level), i["u"], x["u"]) * (up + down) < down
+        can_rise, can_fall = i_up <= acc["give"] + EPS, i_down <= acc["take"] + EPS
+        drawn = _uniform(F.lit(seed), F.lit(level), i["u"]) * (up + down) < down
+        rises = F.when(last & (can_rise != can_fall), can_rise).otherwise(drawn)
         i_ends = F.when(rises, i_up <= j_down).otherwise(i_down <= j_up)
         p = F.when(rises & i_ends, (j_down - i_up) / x["size"]).when(rises, i["p"] + j_down / i["size"]).when(i_ends, x["p"] + i_down / x["size"]).otherwise(i["p"] - j_up / i["size"])
         ended, stays = F.when(i_ends, i).otherwise(x), F.when(i_ends, x).otherwise(i)
         whole = (p <= EPS) | (p >= 1 - EPS)
         met = F.concat(acc["done"], F.array(out(ended, rises == i_ends)), F.when(whole, F.array(out(stays, p > 0.5))).otherwise(F.array().cast(f"array<{done}>")))
-        on = F.when(~whole, F.struct(stays["neg"].alias("neg"), stays["u"].alias("u"), stays["doc_id"].alias("doc_id"), stays["size"].alias("size"), stays["base"].alias("base"), p.alias("p")))
-        return F.when(i.isNull(), F.struct(acc["done"].alias("done"), x.alias("left"))).otherwise(F.struct(met.alias("done"), on.alias("left")))
+        on = F.when(~whole, F.struct(*[stays[c].alias(c) for c in _UNIT], p.alias("p")))
+        rest = (acc["give"] - x["size"] * x["p"]).alias("give"), (acc["take"] - x["size"] * (1 - x["p"])).alias("take")
+        return F.when(i.isNull(), F.struct(acc["done"].alias("done"), x.alias("left"), *rest)).otherwise(F.struct(met.alias("done"), on.alias("left"), *rest))
 
     return F.aggregate(units, zero, merge)
 
 
+#: Of a unit: n equal rows, of which `more` get a copy besides their base ones, and one more does if the unit's chance turns to 1.
+_DONE = ("doc_id", "size", "base", "n", "more")
+_UNIT = ("neg", "u", *_DONE)
+
+
+def _rows_of(units: DataFrame) -> DataFrame:
+    """A row for each of a unit's equal rows, with its copies. Many are made in parts of CHUNK, dealt over the tasks."""
+    one = units.where("n = 1").withColumn("copies", F.col("base") + F.col("more") + F.col("add"))
+    several = units.where("n > 1")
+    if several.isEmpty():
+        return one
+    up = F.col("more") + F.col("add")
+    kinds = F.array(F.struct((F.col("base") + 1).alias("copies"), up.alias("k")), F.struct(F.col("base").alias("copies"), (F.col("n") - up).alias("k")))
+    parts = several.select("*", F.inline(F.filter(kinds, lambda x: x["k"] > 0)))
+    parts = parts.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1, F.lit(CHUNK).cast("long"))))
+    parts = parts.repartition("doc_id", "copies", "start").withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(CHUNK).cast("long"), F.col("k") - F.col("start")))))
+    return one.unionByName(parts.select(*one.columns))
+
+
 def mix_sources(docs: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0, seed: str = "mix", key: str = "doc_id", source: str = "source", text: str = "text", scratch: Scratch | None = None, row: Column | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken (copies x size) of each document.
 
     row, if given, is put into doc_id in place of the key, which still draws; row_key() names each row, nulls or not.
 
     A document is due target / source_size copies: the whole ones are given, the fraction is a chance. Chances are rounded
-    together in a reduction tree: units go by hash to leaves of about FAN, each leaf folds its units from the largest to the
-    smallest, and what it leaves, one unit at most, meets the rests of FAN neighbours of its source on the next level. Words only
-    move between units of one source, so taken words miss a target by less than the size of the last unit, which is decided by
-    its chance. All randomness is a hash of seed, level and units: reruns agree, whatever the partitions.
-    Texts without words have size 0 and take nothing. A null source is a source, the last. Repeated rows are units of their own
-    with equal hashes; null keys are told apart by their text. An empty table gives no rows; further columns are left out.
+    together in a reduction tree: a source's units go by hash to leaves of about FAN, each leaf folds its units from the largest to
+    the smallest, and what it leaves, one unit at most, meets the rests of FAN neighbours of its source on the next level. Words only
+    move between units of one source; the last unit of a source goes to the nearer of 0 and 1, so taken words miss a target by half
+    of that unit's size at most. All randomness is a hash of seed, level and units: reruns agree, whatever the partitions.
+    Texts without words have size 0 and take nothing. A null source is a source, the last; null keys are told apart by their text.
+    Rows with equal key, source and text are one unit of n rows: n times the fraction is split into whole copies, for so many of
+    these rows, and one chance, so no leaf gets them row by row. An empty table gives no rows; further columns are left out.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     hashed = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
     sized = scratch.save(docs.select((F.col(key) if row is None else row).alias("doc_id"), F.col(source).alias("source"), words(text).alias("size"), hashed.alias("u")), "sized")
     targets = scratch.save(source_targets(sized, weights, cap, scratch), "targets")
-    total = sized.count()
     chance = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    base = F.floor(chance + EPS).cast("long")
     t = small(targets, BROADCAST_ROWS)
-    units = sized.join(t.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left").drop("of").withColumn("base", base)
-    units = units.withColumn("p", F.when(F.col("size") > 0, F.greatest(F.lit(0.0), chance - F.col("base"))).otherwise(0.0))
+    units = sized.groupBy("doc_id", "source", "size", "u").agg(F.count("*").alias("n"))
+    units = units.join(t.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+    units = units.withColumn("base", F.floor(chance + EPS).cast("long"))
+    due = F.when(F.col("size") > 0, F.greatest(F.lit(0.0), chance - F.col("base")) * F.col("n")).otherwise(0.0)
+    units = units.withColumn("more", F.floor(due + EPS).cast("long")).withColumn("p", F.greatest(F.lit(0.0), due - F.col("more")))
     of_source = ["source", "source_size", "target"]
     open_ = F.col("p") > EPS
-    results = [units.where(~open_).select("doc_id", "size", "base", F.lit(0).cast("long").alias("add"), *of_source)]
-    groups = max(1, -(-total // FAN))
-    fields = ("neg", "u", "doc_id", "size", "base", "p")
-    rest = units.where(open_).select(F.pmod("u", F.lit(groups)).alias("group"), *of_source, F.struct((-F.col("size")).alias("neg"), "u", "doc_id", "size", "base", "p").alias("unit"))
+    results = [units.where(~open_).select(*_DONE, F.lit(0).cast("long").alias("add"), *of_source)]
+    groups = max(1, -(-(targets.agg(F.max("source_rows")).first()[0] or 0) // FAN))  # of the largest source
+    parts = F.ceil(F.col("source_rows") / FAN)
+    unit = F.struct((-F.col("size")).alias("neg"), *_UNIT[1:], "p").alias("unit")
+    rest = units.where(open_).select(F.pmod("u", parts).alias("group"), parts.alias("parts"), *of_source, unit)
     kind = rest.schema["unit"].dataType.simpleString()
-    done = f"struct<doc_id:{sized.schema['doc_id'].dataType.simpleString()},size:bigint,base:bigint,add:bigint>"
+    done = f"struct<doc_id:{sized.schema['doc_id'].dataType.simpleString()},{','.join(f'{c}:bigint' for c in _DONE[1:])},add:bigint>"
     level = 0
     while True:
-        met = rest.groupBy("group", *of_source).agg(F.sort_array(F.collect_list("unit")).alias("units"))
-        made = scratch.save(met.select("group", *of_source, _fold(F.col("units"), kind, done, seed, level).alias("made")), f"level{level}")
-        results.append(made.select(F.explode("made.done").alias("d"), *of_source).select("d.doc_id", "d.size", "d.base", "d.add", *of_source))
+        met = rest.groupBy("group", "parts", *of_source).agg(F.sort_array(F.collect_list("unit")).alias("units"))
+        folded = _fold(F.col("units"), kind, done, seed, level, F.col("parts") == 1)
+        made = scratch.save(met.select("group", "parts", *of_source, folded.alias("made")), f"level{level}")
+        results.append(made.select(F.explode("made.done").alias("d"), *of_source).select("d.*", *of_source))
         left = made.where("made.left IS NOT NULL")
         if groups == 1:
-            u = F.col("made.left")
-            add = (_uniform(F.lit(seed), F.lit("last"), u["u"]) < u["p"]).cast("long")
-            results.append(left.select(u["doc_id"].alias("doc_id"), u["size"].alias("size"), u["base"].alias("base"), add.alias("add"), *of_source))
+            results.append(left.select(*[F.col(f"made.left.{c}").alias(c) for c in _DONE], (F.col("made.left.p") >= 0.5).cast("long").alias("add"), *of_source))
             break
         groups = -(-groups // FAN)
-        rest = left.select((F.col("group") % groups).alias("group"), *of_source, F.struct(*[F.col(f"made.left.{f}").alias(f) for f in fields]).alias("unit"))
+        parts = F.ceil(F.col("parts") / FAN)
+        rest = left.select((F.col("group") % parts).alias("group"), parts.alias("parts"), *of_source, F.struct(*[F.col(f"made.left.{f}").alias(f) for f in (*_UNIT, "p")]).alias("unit"))
         level += 1
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
-    copies = F.col("base") + F.col("add")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
-
-
-def row_key(docs: DataFrame) -> Column:
-    """128 bits of hash over all columns of a row: equal for rows that are equal in all columns, nulls told apart from other values."""
-    parts = []
-    for field in docs.schema:
-        c = docs[f"`{field.name}`"]
-        nested = isinstance(field.dataType, ArrayType | MapType | StructType | VariantType)
-        parts += [c.isNull(), F.to_json(F.struct(c.alias("c")), {"ignoreNullFields": "false"}) if nested else c]
-    return F.struct(F.xxhash64(F.lit("a"), *parts).alias("a"), F.xxhash64(F.lit("b"), *parts).alias("b"))
+    out = _rows_of(out)
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def repeat_documents(docs: DataFrame, mixed: DataFrame, scratch: Scratch | None = None) -> DataFrame:
