@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import partial
 
@@ -10,9 +11,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField
 
-from .arrow import WORD, Memo, WordTable, labelled_sample, map_texts, pieces
+from .arrow import WORD, Memo, Scratch, WordTable, labelled_sample, map_texts, pieces
 
 #: Terms for groups of people, by language; a term is swapped for others of its list.
 IDENTITY = (
@@ -72,33 +74,39 @@ def swaps(sentence: str) -> list[str]:
     return [" ".join(where[i][k % len(where[i])] if i in where else x for i, x in enumerate(words)) for k in range(most)]
 
 
+def _distinct(table: WordTable, text: str, more: bool = False) -> np.ndarray:
+    words = list(distinct_words(text))
+    found = np.unique(table.of(words))
+    return np.concatenate([found[found > 0], np.array(lengths(len(words)) if more else (), np.int64)])
+
+
 def _sample_features():
     table = WordTable(features, WIDTH)
-    known = re.compile("|".join(map(re.escape, _OTHERS)), re.I)
+    return lambda texts: [pa.array([_distinct(table, text or "", True) for text in texts], pa.list_(pa.int64()))]
 
-    def distinct(text: str, more: bool = False) -> np.ndarray:
-        words = list(distinct_words(text))
-        found = np.unique(table.of(words))
-        return np.concatenate([found[found > 0], np.array(lengths(len(words)) if more else (), np.int64)])
 
-    def extract(texts: list) -> list:
-        own, before, after = [], [], []
+def _swap_products(shared):
+    """For each text: the products of its swaps' changes of features, as places i, j and sums over the swaps, and the number of swaps."""
+    table, chosen = WordTable(features, WIDTH), shared.value
+    known = re.compile("|".join(map(re.escape, _OTHERS)), re.I)
+
+    def products(texts: list) -> list:
+        rows = []
         for text in texts:
-            text = text or ""
-            own.append(distinct(text, True))
-            a, b = [], []
-            if known.search(text):
-                for sentence in _SENTENCE.split(text):
-                    for other in swaps(sentence) if known.search(sentence) else ():
-                        old, new = distinct(sentence), distinct(other)
-                        a.append(np.setdiff1d(old, new).tolist())
-                        b.append(np.setdiff1d(new, old).tolist())
-            before.append(a)
-            after.append(b)
-        lists = pa.list_(pa.list_(pa.int64()))
-        return [pa.array(own, pa.list_(pa.int64())), pa.array(before, lists), pa.array(after, lists)]
-
-    return extract
+            sums: Counter = Counter()
+            n = 0
+            for sentence in _SENTENCE.split(text) if text and known.search(text) else ():
+                for other in swaps(sentence) if known.search(sentence) else ():
+                    n += 1
+                    old, new = set(_distinct(table, sentence).tolist()), set(_distinct(table, other).tolist())
+                    change = [(chosen[f], 1.0 if f in old else -1.0) for f in old ^ new if f in chosen]
+                    for i, x in change:
+                        for j, y in change:
+                            sums[i, j] += x * y
+            rows.append(([i for i, _ in sums], [j for _, j in sums], list(sums.values()), n))
+        return list(zip(*rows)) or [[]] * 4
+
+    return products
 
 
 @dataclass(frozen=True)
@@ -108,16 +116,12 @@ class Toxicity:
     bias: float
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[list, list]], most: int = 2000, least_chi2: float = 20.0, l2: float = 1e-4, swap: float = 1.0, steps: int = 400) -> Toxicity:
-    """Logistic loss with equal class weights, plus l2 |w|^2, plus swap times the mean square of the score change of a swap.
-
-    Features: at most `most` of those that are commoner in class 1, by chi-square against rows of both classes, at least_chi2 or
-    over, and those of length. Without both classes there are no features, and the score is the share of class 1, or 0.5 without any row.
-    """
+def choose(rows: list[np.ndarray], y: np.ndarray, most: int = 2000, least_chi2: float = 20.0) -> dict[int, int]:
+    """Features and their places: at most `most` of those that are commoner in class 1, by chi-square against rows of both classes, at
+    least_chi2 or over, and those of length. None without both classes."""
     n, ones = len(y), int(y.sum())
     if not 0 < ones < n:
-        share = min(max(ones / n, 1e-6), 1 - 1e-6) if n else 0.5
-        return Toxicity({}, np.zeros(0), float(np.log(share / (1 - share))))
+        return {}
     owner = np.repeat(np.arange(n), [len(r) for r in rows])
     names, place = np.unique(np.concatenate(rows), return_inverse=True)
     a = np.bincount(place, y[owner], len(names))  # class 1 with it
@@ -126,42 +130,57 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[list, list]], m
     good = np.flatnonzero((a * (n - ones) > b * ones) & (chi2 >= least_chi2))
     good = good[np.lexsort((names[good], -chi2[good]))][:most]
     good = np.union1d(good, np.flatnonzero(np.isin(names, LENGTHS)))
-    column = np.full(len(names), -1)
-    column[good] = np.arange(len(good))
-    chosen = {int(names[j]): k for k, j in enumerate(good)}
-    hit = column[place] >= 0
-    row, col = owner[hit], column[place][hit]  # the ones of the sparse 0/1 matrix
-    d = np.zeros((len(pairs), len(good)), np.float32)
-    for i, (old, new) in enumerate(pairs):
-        for f in old:
-            if f in chosen:
-                d[i, chosen[f]] += 1
-        for f in new:
-            if f in chosen:
-                d[i, chosen[f]] -= 1
-    d = d[np.any(d != 0, axis=1)]
+    return {int(names[j]): k for k, j in enumerate(good)}
+
+
+def fit(rows: list[np.ndarray], y: np.ndarray, chosen: dict[int, int], products: dict[tuple[int, int], float] | None = None, swapped: int = 0, l2: float = 1e-4, swap: float = 1.0, steps: int = 400) -> Toxicity:
+    """Logistic loss with equal class weights, plus l2 |w|^2, plus swap times the mean square of the score change of a swap.
+
+    products: for places i, j the sum over all swaps of the products of their changes; swapped: the number of swaps. A mean square
+    of changes needs no more of them. Without both classes the score is the share of class 1, or 0.5 without any row.
+    """
+    n, ones = len(y), int(y.sum())
+    if not 0 < ones < n:
+        share = min(max(ones / n, 1e-6), 1 - 1e-6) if n else 0.5
+        return Toxicity({}, np.zeros(0), float(np.log(share / (1 - share))))
+    found = [np.array([chosen[f] for f in r.tolist() if f in chosen], np.int64) for r in rows]
+    row, col = np.repeat(np.arange(n), [len(f) for f in found]), np.concatenate(found)  # the ones of the sparse 0/1 matrix
+    at = np.array(list(products or ()), np.int64).reshape(-1, 2)
+    value = np.array(list((products or {}).values()), float)
     weight = np.where(y == 1, 0.5 / ones, 0.5 / (n - ones))
-    w, bias = np.zeros(len(good)), 0.0
-    m, v, rate = np.zeros(len(good) + 1), np.zeros(len(good) + 1), 0.1
+    w, bias = np.zeros(len(chosen)), 0.0
+    m, v, rate = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1), 0.1
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[col], n) + bias, -30, 30)))
         g = weight * (p - y)
-        gradient = np.append(np.bincount(col, g[row], len(good)) + l2 * w + (2 * swap / max(1, len(pairs))) * (d.T @ (d @ w)), g.sum())
+        moved = np.bincount(at[:, 0], value * w[at[:, 1]], len(chosen))
+        gradient = np.append(np.bincount(col, g[row], len(chosen)) + l2 * w + 2 * swap / max(1, swapped) * moved, g.sum())
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, bias = w - step[:-1], bias - step[-1]
     return Toxicity(chosen, w.astype(np.float32), float(bias))
 
 
-def train(docs: DataFrame, labels: DataFrame, keep, rows: int = 2000, label: str = "toxic", key: str = "doc_id", text: str = "text") -> Toxicity:
-    """A model from about `rows` labelled documents of each class (the bound on what the driver gets), whole texts, those that keep holds for."""
-    sample = labelled_sample(docs, labels, label, keep, rows, key, text)
-    longs = ArrayType(LongType())
-    got = map_texts(sample, _sample_features, [StructField("own", longs), StructField("old", ArrayType(longs)), StructField("new", ArrayType(longs))], (key, "y"), text).toArrow().sort_by(key)
+def train(docs: DataFrame, labels: DataFrame, keep, rows: int = 2000, label: str = "toxic", key: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> Toxicity:
+    """A model from about `rows` labelled documents of each class (the bound on what the driver gets), whole texts, those that keep holds for.
+
+    Swaps stay in the tasks: of them the driver gets sums of products by pairs of features, so at most the square of the number of
+    features that identity terms have.
+    """
+    spark = docs.sparkSession
+    sample = (scratch or Scratch(spark)).save(labelled_sample(docs, labels, label, keep, rows, key, text), "labelled")
+    got = map_texts(sample, _sample_features, [StructField("own", ArrayType(LongType()))], (key, "y"), text).toArrow().sort_by(key)
     own = got.column("own").combine_chunks()
     flat, at = own.flatten().to_numpy(), np.concatenate([[0], np.cumsum(own.value_lengths().to_numpy())]).astype(int) if len(own) else np.zeros(1, int)
-    pairs = [p for olds, news in zip(got.column("old").to_pylist(), got.column("new").to_pylist()) for p in zip(olds, news)]
-    return fit([flat[a:b] for a, b in zip(at, at[1:])], got.column("y").to_numpy(), pairs)
+    found, y = [flat[a:b] for a, b in zip(at, at[1:])], got.column("y").to_numpy()
+    chosen = choose(found, y)
+    shared = spark.sparkContext.broadcast(chosen)
+    fields = [StructField("i", ArrayType(IntegerType())), StructField("j", ArrayType(IntegerType())), StructField("v", ArrayType(DoubleType())), StructField("n", LongType())]
+    swaps_of = map_texts(sample, partial(_swap_products, shared), fields, (key,), text)
+    swaps_of = (scratch or Scratch(spark)).save(swaps_of.where("n > 0"), "swaps")
+    sums = swaps_of.select(F.inline(F.arrays_zip("i", "j", "v"))).groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+    swapped = swaps_of.agg(F.sum("n")).first()[0] or 0
+    return fit(found, y, chosen, {(r["i"], r["j"]): r["v"] for r in sums}, swapped)
 
 
 def _scorer(shared):
@@ -170,7 +189,7 @@ def _scorer(shared):
     def places(word: str) -> tuple | None:
         return tuple(model.features[f] for f in features(word) if f in model.features) or None
 
-    get = Memo(places, 600_000).__getitem__
+    get = Memo(places).__getitem__
 
     def score(texts: list) -> list:
         out = []
