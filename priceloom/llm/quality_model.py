@@ -27,7 +27,7 @@ class _Kinds(dict):
 
 
 _KINDS = _Kinds()
-_SHAPES = Memo(lambda kinds: xxhash.xxh3_64_intdigest(re.sub(r"(.)\1+", r"\1+", kinds).encode()) >> 1, 100_000)
+_SHAPES = Memo(lambda kinds: xxhash.xxh3_64_intdigest(re.sub(r"(.)\1+", r"\1+", kinds).encode()) >> 1, 4 << 20)
 
 
 def _row(word: str) -> tuple[int, int]:
@@ -36,14 +36,14 @@ def _row(word: str) -> tuple[int, int]:
 
 
 class Indicators:
-    """The distinct features of a text: words, shapes and their 2- and 3-grams, and runs of words seen before in it.
+    """The distinct features of a text: words and their 2-grams, shapes and their 2- and 3-grams, and runs of words seen before in it.
 
     For the last, each 3-gram of words that occurred earlier in the text is marked; n marks in a row are one n-gram of marks.
     A long text is taken by pieces with the last two words carried over.
     """
 
     def __init__(self):
-        self.table = WordTable(_row, 2, 700_000)
+        self.table = WordTable(_row, 2)
         self.place = np.zeros(DIM, np.int32)
 
     def of(self, text: str) -> np.ndarray:
@@ -52,7 +52,7 @@ class Indicators:
             rows = np.concatenate([last, self.table.of(WORD.findall(piece)).astype(np.uint64)])
             word, shape = rows[len(last) :, 0], rows[:, 1]
             words.append(word)
-            for salt, h in enumerate((word, shape[len(last) :], grams(shape, 2), grams(shape, 3))):
+            for salt, h in enumerate((word, shape[len(last) :], grams(shape, 2), grams(shape, 3), grams(rows[-len(word) - 1 :, 0], 2))):
                 found.append(self._distinct(self._bucket(h, salt)))
             last = rows[-2:]
         marks = self._again(np.concatenate(words))
