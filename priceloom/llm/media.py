@@ -83,8 +83,21 @@ def write_container(payload: bytes) -> bytes:
     return b"".join((ftyp, index, head, payload))
 
 
+#: Boxes inside each other up to which a file is walked; real files have about ten.
+DEPTH = 32
+
+
+def _table(body: memoryview, at: int, kind: str, width: int = 1) -> np.ndarray:
+    """Rows of a table whose 32-bit count stands before at; the count is held against the box before anything is allocated."""
+    n = struct.unpack_from(">I", body, at - 4)[0]
+    if n * width * np.dtype(kind).itemsize > len(body) - at:
+        raise ValueError("a table is longer than its box")
+    return np.frombuffer(body, kind, n * width, at).astype(np.int64)
+
+
 @dataclass
 class Track:
+    number: int = 0
     handler: str = ""
     codec: str = ""
     width: int = 0
@@ -92,43 +105,68 @@ class Track:
     timescale: int = 0
     duration: int = 0
     tables: dict[bytes, memoryview] = field(default_factory=dict)
-
-    def samples(self) -> tuple[np.ndarray, np.ndarray]:
-        """Offset and size of each sample, from the size, chunk and offset tables."""
-        t = self.tables
-        size, n = struct.unpack_from(">II", t[b"stsz"], 4)
-        sizes = np.full(n, size, np.int64) if size else np.frombuffer(t[b"stsz"], ">u4", n, 12).astype(np.int64)
-        wide = b"co64" in t
-        where = t[b"co64" if wide else b"stco"]
-        chunks = np.frombuffer(where, ">u8" if wide else ">u4", struct.unpack_from(">I", where, 4)[0], 8).astype(np.int64)
-        runs = np.frombuffer(t[b"stsc"], ">u4", 3 * struct.unpack_from(">I", t[b"stsc"], 4)[0], 8).reshape(-1, 3).astype(np.int64)
+    runs: list[tuple] = field(default_factory=list)  # of fragments: (offsets, sizes, ticks, numbers of sync samples)
+
+    def sizes(self, most: int) -> np.ndarray:
+        """Sizes of the samples of the sample tables, which lie in a file of most bytes."""
+        if b"stz2" in self.tables:
+            body = self.tables[b"stz2"]
+            bits, n = struct.unpack_from(">BI", body, 7)
+            if bits not in (4, 8, 16) or (n * bits + 7) // 8 > len(body) - 12:
+                raise ValueError("a table of small sizes is broken")
+            if bits == 4:
+                pairs = np.frombuffer(body, np.uint8, (n + 1) // 2, 12)
+                return np.stack([pairs >> 4, pairs & 15], 1).ravel()[:n].astype(np.int64)
+            return np.frombuffer(body, f">u{bits // 8}", n, 12).astype(np.int64)
+        body = self.tables[b"stsz"]
+        size, n = struct.unpack_from(">II", body, 4)
+        if not size:
+            return _table(body, 12, ">u4")
+        if n * size > most:
+            raise ValueError("samples hold more than the file")
+        return np.full(n, size, np.int64)
+
+    def samples(self, most: int) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
+        """Offset and size of each sample, ticks of all, and numbers from 0 of those to start from: of the tables, then of fragments."""
+        parts = [self._of_tables(most)] if self.tables.keys() & {b"stsz", b"stz2"} else []
+        parts += self.runs
+        if not parts:
+            raise ValueError("no samples are described")
+        before = np.cumsum([0, *(len(p[0]) for p in parts)])
+        offsets, sizes = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        return offsets, sizes, sum(p[2] for p in parts), np.concatenate([p[3] + n for p, n in zip(parts, before)])
+
+    def _of_tables(self, most: int) -> tuple:
+        t, sizes = self.tables, self.sizes(most)
+        n = len(sizes)
+        chunks = _table(t[b"co64"], 8, ">u8") if b"co64" in t else _table(t[b"stco"], 8, ">u4")
+        runs = _table(t[b"stsc"], 8, ">u4", 3).reshape(-1, 3)
         last = np.append(runs[1:, 0], len(chunks) + 1)
-        per_chunk = np.repeat(runs[:, 1], last - runs[:, 0])
-        if len(per_chunk) != len(chunks) or per_chunk.sum() != n:
+        if len(runs) and (runs[0, 0] != 1 or (last <= runs[:, 0]).any()) or len(chunks) and not len(runs):
+            raise ValueError("runs of chunks don't rise")
+        per_chunk = np.repeat(runs[:, 1], last - runs[:, 0]) if len(chunks) else np.zeros(0, np.int64)
+        if per_chunk.sum() != n:
             raise ValueError("chunk and sample tables disagree")
-        before = np.concatenate([[0], np.cumsum(sizes)[:-1]])  # bytes of the samples before
-        first = np.concatenate([[0], np.cumsum(per_chunk)[:-1]])
-        chunk_start = before[first[per_chunk > 0]]
-        offsets = np.repeat(chunks[per_chunk > 0] - chunk_start, per_chunk[per_chunk > 0]) + before
-        return offsets, sizes
-
-    def sync(self, n: int) -> np.ndarray:
-        """Numbers from 0 of the samples to start from; all of them without a sync table."""
-        table = self.tables.get(b"stss")
-        if table is None:
-            return np.arange(n)
-        return np.frombuffer(table, ">u4", struct.unpack_from(">I", table, 4)[0], 8).astype(np.int64) - 1
-
-    def ticks(self) -> int:
-        table = self.tables[b"stts"]
-        runs = np.frombuffer(table, ">u4", 2 * struct.unpack_from(">I", table, 4)[0], 8).reshape(-1, 2).astype(np.int64)
-        return int((runs[:, 0] * runs[:, 1]).sum())
-
-
-def walk(data: memoryview, start: int = 0, end: int | None = None, path: tuple = ()) -> Iterator[tuple[tuple, memoryview]]:
-    """(path of box kinds, body) of each box, nested ones after the box that holds them; 64-bit and open sizes are understood."""
-    end = len(data) if end is None else end
-    while start + 8 <= end:
+        before = np.concatenate([[0], np.cumsum(sizes)])  # bytes of the samples before
+        first = np.concatenate([[0], np.cumsum(per_chunk)[:-1]]) if len(per_chunk) else per_chunk
+        full = per_chunk > 0
+        offsets = np.repeat(chunks[full] - before[first[full]], per_chunk[full]) + before[:-1]
+        times = _table(t[b"stts"], 8, ">u4", 2).reshape(-1, 2)
+        if times[:, 0].sum() != n:
+            raise ValueError("time and sample tables disagree")
+        sync = np.arange(n) if b"stss" not in t else _table(t[b"stss"], 8, ">u4") - 1
+        if len(sync) and not 0 <= sync.min() <= sync.max() < n:
+            raise ValueError("the sync table names a sample that isn't there")
+        return offsets, sizes, sum(a * b for a, b in times.tolist()), sync
+
+
+def walk(data: memoryview) -> Iterator[tuple[tuple, int, memoryview]]:
+    """(path of box kinds, place, body) of each box, nested ones after the box that holds them; 64-bit and open sizes are understood."""
+    open_ = [(0, len(data), ())]
+    while open_:
+        start, end, path = open_.pop()
+        if start + 8 > end:
+            continue
         size, kind = struct.unpack_from(">I4s", data, start)
         head = 8
         if size == 1:
@@ -139,30 +177,91 @@ def walk(data: memoryview, start: int = 0, end: int | None = None, path: tuple =
             size = end - start
         if size < head or start + size > end:
             raise ValueError("a box reaches beyond what holds it")
-        yield (*path, kind), data[start + head : start + size]
+        yield (*path, kind), start, data[start + head : start + size]
+        open_.append((start + size, end, path))
         if kind in NESTED:
-            yield from walk(data, start + head + NESTED[kind], start + size, (*path, kind))
-        start += size
+            if len(path) + 1 >= DEPTH:
+                raise ValueError("boxes are nested too deeply")
+            open_.append((start + head + NESTED[kind], start + size, (*path, kind)))
+
+
+class _Fragments:
+    """Runs of samples in movie fragments, laid out by the defaults of the movie, the fragment's track and the run itself."""
+
+    def __init__(self, most: int):
+        self.most, self.defaults = most, {}
+        self.moof = self.next = self.number = 0
+        self.own: tuple = ()
+
+    def box(self, path: tuple, start: int, body: memoryview, tracks: list[Track]) -> None:
+        kind = path[-1]
+        if kind == b"trex":
+            number, _, *rest = struct.unpack_from(">5I", body, 4)
+            self.defaults[number] = tuple(rest)  # ticks, size, flags
+        elif kind == b"moof":
+            self.moof, self.next = start, start
+        elif kind == b"tfhd":
+            flags, self.number = struct.unpack_from(">I", body)[0] & 0xFFFFFF, struct.unpack_from(">I", body, 4)[0]
+            at = 8
+            if flags & 1:
+                self.next, at = struct.unpack_from(">Q", body, at)[0], at + 8
+            elif flags & 0x20000:
+                self.next = self.moof
+            self.base = self.next
+            at += 4 * bool(flags & 2)
+            own = list(self.defaults.get(self.number, (0, 0, 0)))
+            for k, flag in enumerate((8, 16, 32)):
+                if flags & flag:
+                    own[k], at = struct.unpack_from(">I", body, at)[0], at + 4
+            self.own = tuple(own)
+        elif kind == b"trun" and self.own:
+            self._run(body, next((t for t in tracks if t.number == self.number), None))
+
+    def _run(self, body: memoryview, track: Track | None) -> None:
+        flags, n = struct.unpack_from(">I", body)[0] & 0xFFFFFF, struct.unpack_from(">I", body, 4)[0]
+        at, first_flags = 8, None
+        if flags & 1:
+            self.next, at = self.base + struct.unpack_from(">i", body, at)[0], at + 4
+        if flags & 4:
+            first_flags, at = struct.unpack_from(">I", body, at)[0], at + 4
+        held = [k for k, flag in enumerate((0x100, 0x200, 0x400, 0x800)) if flags & flag]
+        if n * 4 * len(held) > len(body) - at or n > self.most:
+            raise ValueError("a run is longer than its box or the file")
+        rows = np.frombuffer(body, ">u4", n * len(held), at).reshape(n, -1).astype(np.int64) if held else None
+        ticks, sizes, marks = (rows[:, held.index(k)] if k in held else np.full(n, self.own[k], np.int64) for k in range(3))
+        if first_flags is not None and n:
+            marks = marks.copy()
+            marks[0] = first_flags
+        if int(sizes.sum()) > self.most:
+            raise ValueError("samples hold more than the file")
+        ends = self.next + np.cumsum(sizes)
+        if track is not None:
+            track.runs.append((ends - sizes, sizes, int(ticks.sum()), np.flatnonzero(marks & 0x10000 == 0)))
+        self.next = int(ends[-1]) if n else self.next
 
 
 def read_tracks(data: bytes) -> list[Track]:
     tracks: list[Track] = []
-    for path, body in walk(memoryview(data)):
-        kind = path[-1]
+    fragments = _Fragments(len(data))
+    for path, start, body in walk(memoryview(data)):
+        kind, parent = path[-1], path[-2] if len(path) > 1 else b""
+        fragments.box(path, start, body, tracks)
         if kind == b"trak":
             tracks.append(Track())
         elif not tracks or b"trak" not in path:
             continue
         track = tracks[-1]
-        if kind == b"hdlr":
+        if kind == b"tkhd":
+            track.number = struct.unpack_from(">I", body, 20 if body[0] else 12)[0]
+        elif kind == b"hdlr" and parent == b"mdia":  # a data handler may stand in minf
             track.handler = bytes(body[8:12]).decode("latin-1")
         elif kind == b"mdhd":
             track.timescale, track.duration = struct.unpack_from(">IQ", body, 20) if body[0] else struct.unpack_from(">II", body, 12)
         elif kind == b"stsd":
             track.codec = bytes(body[12:16]).decode("latin-1")
-            if track.handler == "vide":
+            if track.handler == "vide" and len(body) >= 44:
                 track.width, track.height = struct.unpack_from(">HH", body, 40)
-        elif path[-2] == b"stbl":
+        elif parent == b"stbl":
             track.tables[kind] = body
     return tracks
 
@@ -172,11 +271,10 @@ def _describe(data: bytes) -> dict:
     track = next((t for t in tracks if t.handler == "vide"), tracks[0] if tracks else None)
     if track is None:
         raise ValueError("no track")
-    offsets, sizes = track.samples()
-    if len(offsets) and int((offsets + sizes).max()) > len(data):
+    offsets, sizes, ticks, keys = track.samples(len(data))
+    if len(offsets) and (int((offsets + sizes).max()) > len(data) or int(offsets.min()) < 0):
         raise ValueError("a sample lies beyond the file")
-    keys = track.sync(len(offsets))
-    return {"track": track, "offsets": offsets, "sizes": sizes, "keys": keys}
+    return {"track": track, "offsets": offsets, "sizes": sizes, "ticks": ticks, "keys": keys}
 
 
 def _writer():
@@ -206,7 +304,7 @@ def _reader(digests: bool):
                 d = _describe(data)
                 track, offsets, sizes, keys = d["track"], d["offsets"], d["sizes"], d["keys"]
                 ranges = [{"offset": int(o), "length": int(s)} for o, s in zip(offsets[keys], sizes[keys])]
-                ticks = track.ticks()
+                ticks = d["ticks"]
                 row[:8] = [track.codec.strip(), track.width, track.height, len(offsets), track.timescale, ticks / track.timescale if track.timescale else None, int(sizes.sum()), ranges]
                 if digests:
                     sha, crc_tail, view = hashlib.sha256(), b"", memoryview(data)
@@ -215,7 +313,7 @@ def _reader(digests: bool):
                         crc_tail = (crc_tail + bytes(view[max(start, start + length - 16) : start + length]))[-16:]
                     row[8], row[9] = sha.hexdigest(), zlib.crc32(crc_tail)
                     row[10] = hashlib.sha256(data).hexdigest()
-            except (ValueError, KeyError, IndexError, struct.error) as e:
+            except (ValueError, KeyError, IndexError, OverflowError, struct.error) as e:
                 row[11] = f"{type(e).__name__}: {e}"
             rows.append(row)
         columns = list(zip(*rows)) or [[]] * 12
@@ -238,7 +336,8 @@ def _joined(offsets: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
 def describe_media(df: DataFrame, media: str = "media", keys: tuple = ("doc_id",), digests: bool = False) -> DataFrame:
     """codec, width, height, n_samples, timescale, seconds, sample_bytes, keyframes (byte ranges) and error of each file.
 
-    The boxes are walked and the sample tables decoded; payload bytes are neither decoded nor copied. Of several tracks the first
+    The boxes are walked, and the sample tables and runs of fragments decoded; payload bytes are neither decoded nor copied. Counts
+    are held against the bytes that are there before anything is allocated, so a file costs a few times its size at most. Of several tracks the first
     with pictures counts, else the first. digests adds sha256, tail_crc32 (of the last 16 bytes) of the samples and file_sha256.
     A null or broken file gives a row with nulls and its error. Repeated rows each give a row, an empty table gives none; further
     columns are left out.

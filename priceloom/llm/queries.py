@@ -40,7 +40,7 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.store_texts(sized, keys=("doc_id", "n_bytes"))
     stored = stored.withColumn("media_bytes", F.octet_length("media").cast("long"))
     read = media.feature(media.describe_media(stored, keys=("doc_id", "n_bytes", "media_bytes"), digests=True))
-    return read.select("doc_id", "n_bytes", F.col("sample_bytes").alias("payload_bytes"), F.col("sha256").alias("payload_sha256"), "tail_crc32", "media_bytes", F.col("file_sha256").alias("media_sha256"), "feature")
+    return read.select("doc_id", "n_bytes", F.col("sample_bytes").alias("payload_bytes"), F.col("sha256").alias("payload_sha256"), "tail_crc32", "media_bytes", F.col("file_sha256").alias("media_sha256"), "feature", "codec", "seconds", "keyframes")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
