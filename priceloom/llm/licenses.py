@@ -85,9 +85,75 @@ SENTENCES = (
     ("proprietary", "proprietary", r"proprietary and confidential"),
     ("proprietary", "unauthorized", r"unauthorized copying of this file"),
     ("copyright", "copyright", r"copyright (?:c )?(?:19|20)\d\d"),
-    ("spdx", "spdx", r"spdx license identifier (?:\S+ ?){1,6}"),
+    ("apache", "apache", r"you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org"),
+    ("apache", "contributor", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable (?:copyright|patent) license"),
+    ("mit", "sublicense", r"to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", "substantial", r"the above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies or substantial portions of the software"),
+    ("mit", "noninfringement", r"the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("bsd", "redistributions", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions", r"redistributions in binary form must reproduce the above copyright notice this list of conditions"),
+    ("bsd-3-clause", "endorse", r"may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-4-clause", "acknowledgement", r"must display the following acknowledgement this product includes software developed by"),
+    ("isc", "author", r"the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("zlib", "misrepresented", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", "altered", r"altered source versions must be plainly marked as such"),
+    ("gpl", "foundation", r"as published by the free software foundation either version \d of the license or (?:at your option )?any later version"),
+    ("gpl", "merchantability", r"without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details"),
+    ("gpl", "gnu", r"you should have received a copy of the gnu general public license along with this program"),
+    ("lgpl", "lesser", r"you should have received a copy of the gnu lesser general public license along with this (?:library|program)"),
+    ("lgpl", "library", r"this library is free software you can redistribute it and or modify it"),
+    ("agpl", "affero", r"you should have received a copy of the gnu affero general public license along with this program"),
+    ("agpl", "network", r"your modified version must prominently offer all users interacting with it remotely through a computer network"),
+    ("gfdl", "document", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("gfdl", "invariant", r"with no invariant sections no front cover texts and no back cover texts"),
+    ("mpl", "mozilla", r"this source code form is subject to the terms of the mozilla public license"),
+    ("mpl", "mpl", r"if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("epl", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("cddl", "distribution", r"the contents of this file are subject to the terms of the common development and distribution license"),
+    ("bsl", "boost", r"distributed under the boost software license"),
+    ("ms-pl", "governs", r"this license governs use of the accompanying software if you use the software you accept this license"),
+    ("artistic", "perl", r"under the same terms as perl itself"),
+    ("artistic", "artistic", r"you may distribute under the terms of (?:either the gnu general public license or )?the artistic license"),
+    ("ofl", "font", r"this font software is licensed under the sil open font license"),
+    ("ofl", "reserved", r"no modified version of the font software may use the reserved font name"),
+    ("cc-by", "credit", r"you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    ("cc-by-sa", "remix", r"if you remix transform or build upon the material you must distribute your contributions under the same license"),
+    ("cc-by-nc", "commercial", r"you may not use the material for commercial purposes"),
+    ("cc-by-nd", "modified", r"if you remix transform or build upon the material you may not distribute the modified material"),
+    ("cc0", "waived", r"has waived all copyright and related or neighboring rights"),
+    ("cc", "creative", r"this work is licensed under a creative commons"),
+    ("public-domain", "domain", r"this (?:work|file|software|program|code) is (?:hereby )?(?:in|released (?:in)?to|placed in(?:to)?) the public domain"),
+    ("public-domain", "domain", r"the author(?:s)? (?:has|have|hereby)? ?(?:dedicated?|disclaims? copyright)[\w ]{0,60}public domain"),
+    ("unlicense", "anyone", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", "fuck", r"you just do what the fuck you want to"),
+    ("beerware", "beer", r"if we meet some day and you think this stuff is worth it you can buy me a beer in return"),
+    ("json", "evil", r"the software shall be used for good not evil"),
+    ("openssl", "openssl", r"this product includes software developed by the openssl project"),
+    ("php", "php", r"this product includes php software freely available from"),
+    ("python", "psf", r"psf hereby grants licensee a nonexclusive royalty free world wide license"),
+    ("ruby", "ruby", r"ruby is copyrighted free software by yukihiro matsumoto"),
+    ("curl", "appear", r"permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("commercial", "commercial", r"for (?:personal and )?non commercial use only"),
+    ("evaluation", "evaluation", r"for evaluation purposes only"),
+    ("no-redistribution", "without", r"may not (?:be )?(?:copied reproduced or )?redistributed? (?:in any form )?without (?:the )?(?:prior )?(?:express )?(?:written )?(?:permission|consent)"),
+    ("trademark", "trademark", r"is a (?:registered )?trademark of"),
+    ("trademark", "trademarks", r"are (?:registered )?trademarks of"),
+    ("patent", "patents", r"(?:protected by|covered by) (?:one or more )?(?:us |u s )?patents"),
+    ("license-file", "see", r"see (?:the )?(?:accompanying )?licen[cs]e(?: txt| md)?(?: file)? for (?:license |licensing )?(?:details|information|terms)"),
+    ("license-file", "license", r"found in the license file(?: in the root directory of this source tree)?"),
+    ("dual", "dual", r"(?:is )?dual licensed under"),
 )
 
+#: Identifiers of the public license list that follow "SPDX-License-Identifier:".
+SPDX = """
+0BSD AFL-2.1 AFL-3.0 AGPL-1.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.0 Apache-1.1 Apache-2.0 APSL-2.0 Artistic-1.0 Artistic-2.0 Beerware BSD-1-Clause
+BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear BSD-4-Clause BSL-1.0 BUSL-1.1 CAL-1.0 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0
+CC-BY-NC-SA-4.0 CC-BY-ND-4.0 CC-BY-SA-3.0 CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 CDDL-1.1 CECILL-2.1 CPL-1.0 curl ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.1 EUPL-1.2
+GFDL-1.2-only GFDL-1.3-only GFDL-1.3-or-later GPL-1.0-only GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later HPND ISC JSON LGPL-2.0-only
+LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later LPL-1.02 LPPL-1.3c MIT MIT-0 MPL-1.1 MPL-2.0 MS-PL MS-RL MulanPSL-2.0 NCSA ODbL-1.0 OFL-1.1
+OpenSSL OSL-3.0 PHP-3.01 PostgreSQL Python-2.0 QPL-1.0 Ruby SGI-B-2.0 SSPL-1.0 Sleepycat Unicode-3.0 Unlicense UPL-1.0 Vim W3C WTFPL X11 Zlib ZPL-2.1
+""".split()
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -105,7 +171,7 @@ def _keyword(words: str) -> str:
 
 @lru_cache(1)
 def rules() -> tuple[Rule, ...]:
-    """All signature rules in order: base phrases, names with versions, names, sentences."""
+    """All signature rules in order: base phrases, names with versions, names, identifiers, sentences."""
     out = [Rule(0, label, re.escape(phrase).replace(r"\ ", " "), _keyword(phrase), 1.0) for phrase, label in BASE]
     for label, names, versions in FAMILIES:
         for name in names:
@@ -123,6 +189,9 @@ def rules() -> tuple[Rule, ...]:
                 for v in CC_VERSIONS:
                     out.append(Rule(1, f"{label}-{v.replace(' ', '.')}", rf"{head} {term} (?:license |international |unported |version |v )*v?{v}", key, 0.95))
                 out.append(Rule(2, label, rf"{head} {term}(?: license)?", key, 0.8))
+    for name in SPDX:
+        label = re.sub("-(only|or-later)$", "", name).lower().removesuffix(".0")
+        out.append(Rule(1, label, "spdx license identifier " + " ".join(TOKEN.findall(name.lower())), "spdx", 0.98))
     out += [Rule(4, label, pattern, keyword, 0.6) for label, keyword, pattern in SENTENCES]
     return tuple(out)
 
