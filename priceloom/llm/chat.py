@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from .arrow import map_texts
-from .tokens import safe_pieces
+from .arrow import freeing, map_texts
+from .tokens import SETTLED, safe_pieces, with_special
 
 PIECE_CHARS = 4 << 20
 
@@ -71,42 +71,80 @@ def _tokenizer(path: str):
     return tok
 
 
-def _encode(tok, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and (first, end) characters of the tokens. A text of over PIECE_CHARS is cut where tokens end in any case."""
-    ids, spans, at = [], [], 0
-    for piece in safe_pieces(text, PIECE_CHARS):
-        made = tok.encode(piece, add_special_tokens=False)
-        ids.append(np.array(made.ids, np.int32))
-        spans.append(np.array(made.offsets, np.int64).reshape(-1, 2) + at)
-        at += len(piece)
-    return np.concatenate(ids), np.concatenate(spans)
+class _Encoder:
+    """Ids and (first, end) characters of a text's tokens.
 
+    Where the vocabulary is of the kind that tiktoken reads alike (tokens._fast) and the text holds characters of settled classes
+    only, that library encodes; spans then follow from the tokens' lengths in bytes. The tokenizers library does the rest.
+    """
 
-def _mask(spans: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def __init__(self, path: str):
+        self.tok = _tokenizer(path)
+        own = {x: self.tok.token_to_id(x) for x in (START, TEXT, END)}
+        self.fast = with_special(path, own)
+        if self.fast:
+            self.sizes = np.zeros(self.fast.max_token_value + 1, np.int64)
+            for token, i in self.fast._mergeable_ranks.items():
+                self.sizes[i] = len(token)
+            for token, i in own.items():
+                self.sizes[i] = len(token)
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A text of over PIECE_CHARS is cut where tokens end in any case."""
+        parts, at = [], 0
+        for piece in safe_pieces(text, PIECE_CHARS):
+            ids, first, end = self._quick(piece) if self.fast and not SETTLED.search(piece) else self._slow(piece)
+            parts.append((ids, first + at, end + at))
+            at += len(piece)
+        return parts[0] if len(parts) == 1 else tuple(map(np.concatenate, zip(*parts)))
+
+    def _quick(self, text: str) -> tuple:
+        ids = np.array(self.fast.encode(text, allowed_special="all"), np.int32)
+        sizes = self.sizes[ids]
+        end = np.cumsum(sizes)
+        first = end - sizes
+        if not text.isascii():
+            number = np.cumsum(np.frombuffer(text.encode(), np.uint8) & 0xC0 != 0x80) - 1  # of the character that holds a byte
+            first, end = number[first], number[end - 1] + 1
+        return ids, first.astype(np.int32), end.astype(np.int32)
+
+    def _slow(self, text: str) -> tuple:
+        made = self.tok.encode(text, add_special_tokens=False)
+        spans = np.array(made.offsets, np.int32).reshape(-1, 2)
+        return np.array(made.ids, np.int32), spans[:, 0], spans[:, 1]
+
+
+def _mask(first: np.ndarray, end: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Whether a token lies in one of the sorted spans: by binary search for the last that starts at or before it."""
-    if not len(starts) or not len(spans):
-        return np.zeros(len(spans), bool)
-    at = np.searchsorted(starts, spans[:, 0], "right") - 1
-    return (at >= 0) & (spans[:, 1] <= ends[at]) & (spans[:, 1] > spans[:, 0])
+    if not len(starts) or not len(first):
+        return np.zeros(len(first), bool)
+    at = np.searchsorted(starts, first, "right") - 1
+    return (at >= 0) & (end <= ends[at]) & (end > first)
 
 
-def _formatter(path: str, loss_roles: frozenset):
-    tok = _tokenizer(path)
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else [], kind))
 
-    def form(values: list) -> list:
-        texts, ids, masks, firsts, ends = [], [], [], [], []
-        for turns in values:
-            r = render([(t["role"] or "", t["text"] or "") for t in turns or []])
+
+def _formatter(path: str, loss_roles: frozenset):
+    encode = _Encoder(path)
+
+    def form(column: pa.ListArray) -> list:
+        said = column.flatten()
+        turns = list(zip(said.field("role").to_pylist(), said.field("text").to_pylist()))
+        texts, ids, masks, firsts, ends, at = [], [], [], [], [], 0
+        for n in column.value_lengths().to_pylist():
+            r = render(turns[at : at + n])
+            at += n
             learn = np.array([role in loss_roles for role in r.roles], bool)
-            found, spans = _encode(tok, r.text)
-            mask = _mask(spans, np.array(r.starts, np.int64)[learn], np.array(r.ends, np.int64)[learn])
+            found, first, end = encode(r.text)
             texts.append(r.text)
             ids.append(found)
-            masks.append(mask)
-            firsts.append(spans[:, 0].astype(np.int32))
-            ends.append(spans[:, 1].astype(np.int32))
-        ints = pa.list_(pa.int32())
-        return [texts, pa.array(ids, ints), pa.array([m.tolist() for m in masks], pa.list_(pa.bool_())), pa.array(firsts, ints), pa.array(ends, ints)]
+            masks.append(_mask(first, end, np.array(r.starts, np.int64)[learn], np.array(r.ends, np.int64)[learn]))
+            firsts.append(first)
+            ends.append(end)
+        return [texts, _lists(ids, pa.int32()), _lists(masks, pa.bool_()), _lists(firsts, pa.int32()), _lists(ends, pa.int32())]
 
     return form
 
@@ -128,7 +166,7 @@ def format_conversations(df: DataFrame, path: str, loss_roles: tuple = ("assista
 
 
 def map_lists(df: DataFrame, make, fields: list[StructField], keys: tuple, column: str) -> DataFrame:
-    """As map_texts for a column of lists or structs: a few rows at a time."""
+    """As map_texts for a column of lists or structs, a few rows at a time, which the function gets as an Arrow array."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     source = df.select(*keys, column)
@@ -142,32 +180,29 @@ def map_lists(df: DataFrame, make, fields: list[StructField], keys: tuple, colum
             step = max(1, min(256, batch.num_rows * (4 << 20) // max(1, batch.nbytes)))
             for i in range(0, batch.num_rows, step):
                 part = batch.slice(i, step)
-                out = work(part.column(column).to_pylist())
+                out = work(part.column(column))
                 made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(out, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), *made], names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(freeing(run), schema)
 
 
 def _digester():
     import hashlib
 
-    def digest(values: list) -> list:
-        rows = []
-        for v in values:
-            text, mask = v["formatted"], np.array(v["loss_mask"], bool)
+    def digest(made: pa.StructArray) -> list:
+        texts, lists = made.field("formatted").to_pylist(), [made.field(c) for c in ("loss_mask", "token_first", "token_end")]
+        masks, firsts, ends = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+        rows, at = [], 0
+        for text, n in zip(texts, lists[0].value_lengths().to_pylist()):
             turns = parse(text)
-            sha = hashlib.sha256()
-            for role, said in turns:
-                sha.update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
-            first, end = np.array(v["token_first"], np.int64)[mask], np.array(v["token_end"], np.int64)[mask]
+            sha = hashlib.sha256("".join(f"{role}\n{said}\n" for role, said in turns).encode("utf-8", "surrogatepass"))
+            mask = masks[at : at + n]
+            first, end = firsts[at : at + n][mask], ends[at : at + n][mask]
+            at += n
             # Tokens that hold parts of one character have the same span; runs of touching spans are joined and read once.
-            covered = np.zeros(len(text) + 1, np.int64)
-            np.add.at(covered, first, 1)
-            np.add.at(covered, end, -1)
-            under = np.cumsum(covered[:-1]) > 0
-            edges = np.flatnonzero(np.diff(np.concatenate([[False], under, [False]]).astype(np.int8)))
-            learned = [unescape(text[a:b]) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
+            new = np.flatnonzero(np.concatenate([[True], first[1:] > end[:-1]])) if len(first) else first
+            learned = [unescape(text[a:b]) for a, b in zip(first[new].tolist(), end[np.append(new[1:], len(first)) - 1].tolist())] if len(first) else []
             loss = hashlib.sha256("".join(learned).encode("utf-8", "surrogatepass")).hexdigest()
             rows.append((len(turns), sha.hexdigest(), sum(map(len, learned)), loss, len(text)))
         return list(zip(*rows)) or [[]] * 5

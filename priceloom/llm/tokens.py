@@ -14,14 +14,14 @@ from pyspark.sql.types import LongType, StructField
 
 from .arrow import map_texts
 
-BATCH_CHARS = 1 << 20
+BATCH_BYTES = 1 << 20
 PIECE_CHARS = 1 << 18
 
 #: A byte-level pre-tokeniser never joins a character with the white space after it, so each change from another character to
 #: white space is a safe boundary: the parts encode as they do within the whole.
 _SAFE = re.compile(r"(?<=\S)(?=[ \n])")
 #: Up to here letters, digits and white space are the same in every version of Unicode that the two libraries use.
-_SETTLED = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\u024f\u2010-\u2027]")
+SETTLED = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\u024f\u2010-\u2027]")
 #: The pattern of byte-level pre-tokenisers of this kind, a fixed value.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -51,20 +51,25 @@ def safe_pieces(text: str, size: int = PIECE_CHARS):
 
 
 def _batches(parts: list[tuple[int, str]], most: int):
-    """Groups of parts of about most characters together."""
+    """Groups of parts of about most bytes of UTF-8 together."""
     held, size = [], 0
     for part in parts:
-        if held and size + len(part[1]) > most:
+        n = len(part[1]) if part[1].isascii() else len(part[1].encode("utf-8", "surrogatepass"))
+        if held and size + n > most:
             yield held
             held, size = [], 0
         held.append(part)
-        size += len(part[1])
+        size += n
     if held:
         yield held
 
 
 @lru_cache(4)
 def _fast(path: str):
+    return with_special(path, {})
+
+
+def with_special(path: str, special: dict[str, int]):
     """The same vocabulary as ranks for tiktoken, which encodes several times as fast; None where the file isn't of that kind."""
     spec = json.load(open(path, encoding="utf-8"))
     model, before = spec["model"], spec["pre_tokenizer"] or {}
@@ -79,7 +84,7 @@ def _fast(path: str):
 
     back = {c: b for b, c in byte_chars().items()}
     ranks = {bytes(map(back.__getitem__, token)): i for token, i in vocab.items()}
-    return tiktoken.Encoding("own", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def byte_chars() -> dict[int, str]:
@@ -100,16 +105,16 @@ def _counter(path: str):
         quick, slow = [], []
         for i, text in enumerate(texts):
             for piece in safe_pieces(text or ""):
-                if fast is None or _SETTLED.search(piece):
+                if fast is None or SETTLED.search(piece):
                     slow.append((i, piece))
                     continue
                 parts = split.split(piece) if split else [piece]
                 out[i] += len(parts) - 1
                 quick += [(i, part) for part in parts if part]
-        for group in _batches(quick, BATCH_CHARS):
+        for group in _batches(quick, BATCH_BYTES):
             for (i, _), ids in zip(group, fast.encode_ordinary_batch([x for _, x in group], num_threads=1)):
                 out[i] += len(ids)
-        for group in _batches(slow, BATCH_CHARS):
+        for group in _batches(slow, BATCH_BYTES):
             for (i, _), made in zip(group, tok.encode_batch([x for _, x in group], add_special_tokens=False)):
                 out[i] += len(made.ids)
         return [out]
@@ -122,7 +127,7 @@ def count_tokens(df: DataFrame, path: str, limit: int = 1024, text: str = "text"
 
     path: a byte-level BPE file of the tokenizers library. No begin, end or added tokens, no truncation; special strings inside
     texts are single tokens, as by the library's default. Null and empty texts have 0 bytes and tokens. Long texts are cut at
-    safe boundaries (one without any stays whole) and batches hold BATCH_CHARS. Rows with equal keys or texts each give a row;
+    safe boundaries (one without any stays whole) and batches hold about BATCH_BYTES. Rows with equal keys or texts each give a row;
     an empty table gives none; further columns are left out.
     """
     n = f"{text}_bytes_"
