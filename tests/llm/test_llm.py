@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -56,6 +57,14 @@ def test_bpe(docs):
     assert bpe.bpe_round_trip(empty(docs), path).count() == 0
 
 
+def test_tokens_of_random_texts():
+    path = P.path("byte_bpe_50k.json")
+    lib, count, draw = Tokenizer.from_file(path), tokens._counter(path), random.Random(4)
+    vocab = sorted(lib.get_vocab())
+    texts = ["".join(draw.choice(["a", " ", "\n", "é", "日", "'s", "7", "!", "<|endoftext|>", "\u00a0", "Ⅷ", draw.choice(vocab)]) for _ in range(draw.randint(0, 90))) for _ in range(2000)]
+    assert count(texts)[0].tolist() == [len(lib.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_bpe_random_words():
     path = P.path("word_bpe_49k.json")
     lib, encode, draw = Tokenizer.from_file(path), bpe._encoder(path, True, False), random.Random(3)
@@ -97,6 +106,71 @@ def test_media_reads_other_layouts(spark):
     assert all(got[i]["error"] for i in range(1, len(bad) + 1))
 
 
+def box(kind, *parts):
+    return media._box(kind, *parts)
+
+
+def u32(*values):
+    return struct.pack(f">{len(values)}I", *values)
+
+
+def movie(stbl, more=b"", mvex=b"", minf=b""):
+    handler = media._full(b"hdlr", bytes(4), b"vide", bytes(12))
+    trak = box(b"trak", media._full(b"tkhd", u32(0, 0, 7, 0, 0)), box(b"mdia", media._full(b"mdhd", u32(0, 0, 10, 0)), handler, box(b"minf", minf, box(b"stbl", *stbl))))
+    return box(b"ftyp", b"isom", u32(0)) + box(b"moov", trak, mvex) + more
+
+
+ENTRY = media._full(b"stsd", u32(1), box(b"avc1", bytes(24), struct.pack(">HH", 64, 48), bytes(40)))
+
+
+def test_media_hostile_and_odd_files(spark):
+    deep = b""
+    for _ in range(2000):
+        deep = box(b"moov", deep)
+    tables = lambda size, sync=u32(1, 1), kind=b"stsz": [ENTRY, media._full(b"stts", u32(1, 4, 3)), media._full(b"stss", sync), media._full(b"stsc", u32(1, 1, 4, 1)), media._full(kind, size), media._full(b"stco", u32(1, 8))]
+    data_handler = media._full(b"hdlr", bytes(4), b"alis", bytes(12))
+    trun = media._full(b"trun", u32(3), struct.pack(">i", 0), u32(5, 7, 9), flags=0x201)
+    moof = box(b"moof", box(b"traf", media._full(b"tfhd", u32(7, 0x10000), flags=0x20020), trun))
+    fragment = movie([ENTRY], moof + box(b"mdat", bytes(50)), box(b"mvex", media._full(b"trex", u32(7, 1, 2, 5, 0))))
+    files = {
+        "deep": deep,
+        "huge": movie(tables(u32(1, 0xFFFFFFFF))),
+        "longer": movie(tables(u32(0, 1 << 30))),
+        "zero": movie(tables(u32(2, 4), u32(1, 0))),
+        "small": movie(tables(u32(4, 4) + bytes([0x12, 0x34]), kind=b"stz2")),
+        "handler": movie(tables(u32(2, 4)), minf=data_handler),
+        "fragment": fragment,
+    }
+    df = spark.createDataFrame(list(files.items()), "name string, media binary")
+    got = {r["name"]: r for r in media.describe_media(df, keys=("name",)).collect()}
+    assert all(got[x]["error"] for x in ("deep", "huge", "longer", "zero"))
+    assert (got["small"]["n_samples"], got["small"]["sample_bytes"], got["small"]["error"]) == (4, 10, None)
+    assert (got["handler"]["width"], got["handler"]["height"], got["handler"]["seconds"]) == (64, 48, 1.2)
+    r, moof_at = got["fragment"], fragment.index(b"moof") - 4
+    assert (r["n_samples"], r["sample_bytes"], r["seconds"], r["keyframes"], r["error"]) == (3, 21, 0.6, [], None)
+    made = media._describe(fragment)
+    assert made["offsets"].tolist() == [moof_at, moof_at + 5, moof_at + 12]
+
+
+def test_media_tables_against_a_reader_by_entry():
+    draw = random.Random(8)
+    for _ in range(30):
+        chunks = [draw.randint(1, 4) for _ in range(draw.randint(1, 6))]
+        sizes = [draw.randint(1, 9) for _ in range(sum(chunks))]
+        starts = [draw.randint(0, 300) for _ in chunks]
+        runs = [(k + 1, c, 1) for k, c in enumerate(chunks) if not k or chunks[k - 1] != c]
+        sync = sorted(draw.sample(range(1, len(sizes) + 1), draw.randint(0, len(sizes))))
+        stbl = [ENTRY, media._full(b"stts", u32(1, len(sizes), 2)), media._full(b"stss", u32(len(sync), *sync)), media._full(b"stsc", u32(len(runs)), *(u32(*r) for r in runs)), media._full(b"stsz", u32(0, len(sizes), *sizes)), media._full(b"stco", u32(len(chunks), *starts))]
+        want, k = [], 0
+        for start, count in zip(starts, chunks):
+            for _ in range(count):
+                want.append((start, sizes[k]))
+                start += sizes[k]
+                k += 1
+        d = media._describe(movie(stbl, bytes(400)))
+        assert list(zip(d["offsets"].tolist(), d["sizes"].tolist())) == want and d["keys"].tolist() == [x - 1 for x in sync] and d["ticks"] == 2 * len(sizes)
+
+
 def brute(rows, num=80):
     sets = {}
     for i, t in rows:
@@ -163,6 +237,28 @@ def test_jaccard_equals_brute_force(spark, bucket):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("sample", [64, 1])
+def test_jaccard_of_families_near_the_threshold(spark, monkeypatch, sample):
+    """Copies of a few texts whose pairs lie on both sides of the threshold, beside texts that are mostly one shared passage."""
+    monkeypatch.setattr(jaccard, "SAMPLE", sample)
+    monkeypatch.setattr(jaccard, "GROUP", 5)
+    draw = random.Random(17)
+    words, rows = [f"w{k}" for k in range(3000)], []
+    for size in (40, 160):
+        text = [draw.choice(words) for _ in range(size)]
+        for _ in range(70):
+            copy = list(text)
+            for _ in range(draw.randint(0, size // 20)):
+                copy[draw.randrange(size)] = draw.choice(words)
+            rows.append((len(rows), " ".join(copy)))
+    for _ in range(60):
+        own = [draw.choice(words) for _ in range(draw.randint(1, 9))]
+        rows.append((len(rows), " ".join(text[:60] + own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df, bucket=2).collect()}
+    assert got == brute(rows)
+
+
 def test_jaccard_links_no_texts_without_words(spark):
     rows = [(i, t) for i, t in enumerate(["", "", " ", " ", "\n", "\n", None, None, "a", "a", "\u00a0", "\u00a0"])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -197,6 +293,28 @@ def test_rules_bands(spark):
     assert got[1]["reason"] == "incompressible" and not got[1]["kept"] and got[2]["kept"] and got[3]["n_dup_lines"] == 2
 
 
+def test_rules_verdicts_by_brute_force():
+    draw, bands = random.Random(6), rules.Bands()
+    prose = lambda n: " ".join("".join(draw.choice("etaoinshr") for _ in range(draw.randint(1, 7))) for _ in range(n))
+    texts = [prose(draw.choice([40, 60, 300, 900, 3000])) for _ in range(40)] + ["ab cd ef " * 40 + prose(60), prose(900) + " spam and eggs" * 300, prose(700) + "".join(chr(draw.randint(33, 700)) for _ in range(4000)), "\n".join([prose(9)] * 4 + [" ", " "] + [prose(50)])]
+    zstd = rules.zstandard.ZstdCompressor(level=bands.level)
+    for t, row in zip(texts, zip(*rules._rules(bands)(texts))):
+        raw = t.encode()
+        ratio = len(zstd.compress(raw)) / len(raw)
+        low, high = [(lo, hi) for least, lo, hi in bands.whole if len(raw) >= least][-1]
+        chunks = [raw[i : i + 4096] for i in range(0, len(raw), 4096)]
+        if len(raw) > 4096:
+            chunks[-1] = raw[-4096:]
+        out = [not bands.chunk_low <= len(zstd.compress(c)) / 4096 <= bands.chunk_high for c in chunks if len(c) == 4096]
+        w = WORD.findall(t)
+        n = collections.Counter(zip(w, w[1:], w[2:]))
+        covered = {i + k for i, g in enumerate(zip(w, w[1:], w[2:])) if n[g] > 1 for k in range(3)}
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        bad = len(w) < 50 or 2 * len(covered) > len(w)
+        assert row[3] == len(lines) - len(set(lines)) and row[4] == len(covered)
+        assert (row[5], row[6]) == (bad, not bad and low <= ratio <= high and sum(out) <= bands.chunk_share * len(out))
+
+
 def test_mix(spark, docs):
     draw = random.Random(2)
     rows = [(i, " ".join("w" for _ in range(draw.randint(0, 80))), f"s{min(4, int(draw.expovariate(0.7)))}" if i % 9 else None) for i in range(1500)]
@@ -216,6 +334,21 @@ def test_mix(spark, docs):
     assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
 
 
+def test_mix_of_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 1000)
+    many = spark.range(100_000).select(F.lit(7).alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s0").alias("source"))
+    more = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("w "), F.expr("repeat('x ', CAST(id % 50 AS INT))")).alias("text"), F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("source"))
+    got = mixing.mix_sources(many.unionByName(more))
+    sums = got.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.count("*").alias("n"), F.max(F.col("taken") - 3 * F.col("size")).alias("over")).collect()
+    assert sum(r["n"] for r in sums) == 100_400
+    assert all(abs(r["taken"] - r["target"]) <= 0.01 * r["target"] and r["over"] <= 0 for r in sums)
+
+
+def test_mix_targets_on_small_tables(spark):
+    got = queries.op7_source_mix(spark, "/root/testdata/sf0.01").groupBy("source_size", "target").agg(F.sum("taken").alias("t")).collect()
+    assert all(abs(r["t"] - r["target"]) <= 0.01 * r["target"] for r in got)
+
+
 def test_mixed_stage_with_null_ids(spark, monkeypatch):
     import corpus_pipeline
 
@@ -242,6 +375,36 @@ def test_licenses(docs):
     assert row[1:6] == (4, 0, 13, ["apache-2", "cc-by-nc", "mit"], ["apache-2", "cc-by-nc", "cc-by-nc-4.0", "gpl-3", "mit"])
 
 
+def slow_licenses(text):
+    """Base places word by word; all rules on all texts, without the prefilter; suppression by comparing each pair."""
+    words = licenses.TOKEN.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    places, labels = [], set()
+    for phrase, label in licenses.BASE:
+        p = phrase.split()
+        hits = [k for k in range(len(words)) if words[k : k + len(p)] == p]
+        places += hits
+        labels |= {label} if hits else set()
+    padded = f" {' '.join(words)} "
+    found = [(r.priority, m.start() - m.end(), m.start(), n, m.end(), r.label) for n, r in enumerate(licenses.rules()) if r.priority for m in re.finditer(rf"(?<= )(?:{r.pattern})(?= )", padded)]
+    kept = []
+    for x in sorted(found):
+        if not any(k[2] <= x[2] and x[4] <= k[4] for k in kept):
+            kept.append(x)
+    return (len(words), len(places), min(places, default=None), max(places, default=None), sorted(labels), sorted(labels | {k[5] for k in kept}))
+
+
+def test_licenses_against_slow_rules():
+    draw = random.Random(9)
+    bits = [phrase for phrase, _ in licenses.BASE] + ["MIT License", "gpl v2 or later", "GNU General Public License version 3", "apache-2.0", "Creative Commons Attribution 4.0", "cc by-nc-sa 3.0", "SPDX-License-Identifier: GPL-2.0-or-later", "SPDX-License-Identifier: MIT", "all rights reserved", "the", "license", "é", "by", "x11 license", "bsd 3 clause", "see the LICENSE file for details", "is a registered trademark of", "Under the MIT"]
+    bits += [re.sub(r"[(]\?[:P<>\w]*|[|?)].*", "", p).strip() for _, _, p in licenses.SENTENCES]
+    texts = [None, ""] + [" ".join(draw.choice(bits) for _ in range(draw.randint(0, 14))) for _ in range(300)]
+    got = list(zip(*licenses._scanner()(texts)))
+    for text, row in zip(texts, got):
+        assert row[:6] == slow_licenses(text), text
+    for rule in licenses.rules():
+        assert re.search(rf"\b{rule.keyword}\b", rule.pattern), rule
+
+
 def test_models(spark, docs):
     all_docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     held = crc_mod("doc_id", 3) == 1
@@ -260,13 +423,71 @@ def test_models(spark, docs):
     assert toxicity.train(all_docs, labels.where("false"), ~held).bias == pytest.approx(0.0)
 
 
-def test_swaps_are_penalised():
+def test_swaps_are_penalised(spark):
     rows = [np.array([1, 2]), np.array([2, 3]), np.array([1, 9]), np.array([4, 5])] * 40
     y = np.array([1, 0, 1, 0] * 40)
-    free = toxicity.fit(rows, y, [], swap=0.0)
-    held = toxicity.fit(rows, y, [([1], [])] * 10, swap=50.0)
-    assert abs(held.weights[held.features[1]]) < 0.5 * abs(free.weights[free.features[1]])
+    chosen = toxicity.choose(rows, y)
+    at = chosen[1]
+    free = toxicity.fit(rows, y, chosen)
+    held = toxicity.fit(rows, y, chosen, {(at, at): 10.0}, 10, swap=50.0)
+    assert abs(held.weights[at]) < 0.5 * abs(free.weights[at])
     assert toxicity.swaps("The Muslim women, said.")[0] == "The christian men said."
+    # Sums of products from tasks are those of the swaps one by one.
+    words = ["women", "men", "black", "zzz", "said"]
+    table = toxicity.WordTable(toxicity.features, toxicity.WIDTH)
+    places = {int(f): k for k, f in enumerate(toxicity._distinct(table, " ".join(words)))}
+    text = "Black women said zzz. Men said. " * 50 + "No such word"
+    shared = spark.sparkContext.broadcast(places)
+    (i, j, v, n), _ = list(zip(*toxicity._swap_products(shared)([text, None])))
+    want = np.zeros((len(places), len(places)))
+    made = 0
+    for sentence in toxicity._SENTENCE.split(text):
+        for other in toxicity.swaps(sentence):
+            d = np.zeros(len(places))
+            for f, k in places.items():
+                d[k] = (f in toxicity._distinct(table, sentence)) - float(f in toxicity._distinct(table, other))
+            want += np.outer(d, d)
+            made += 1
+    got = np.zeros_like(want)
+    got[list(i), list(j)] = v
+    assert n == made and np.allclose(got, want)
+
+
+def test_fits_against_slow_solvers():
+    draw = np.random.default_rng(3)
+    rows = [np.unique(draw.integers(0, 12, 5)) for _ in range(60)]
+    y = np.array([int((r < 5).sum() + draw.random() > 2.2) for r in rows])
+    # The hinge loss: no small step from the solution in any direction of a thousand lowers the objective by more than its tolerance.
+    model = quality_model.fit(rows, y, epochs=400)
+    x = np.zeros((60, 13))
+    for k, r in enumerate(rows):
+        x[k, r] = np.sqrt(model.squares[r])
+        x[k, :12] *= np.sign(np.divide(model.weights[:12], 1.0, where=True))
+    p, q = 1 + sum(np.isin(range(12), r) for r, l in zip(rows, y) if l), 1 + sum(np.isin(range(12), r) for r, l in zip(rows, y) if not l)
+    ratio = np.log(p / (y.sum() + 1)) - np.log(q / (60 - y.sum() + 1))
+    assert np.allclose(np.sqrt(model.squares[:12]), np.abs(ratio), atol=1e-5)
+    x = np.array([[*(ratio * np.isin(range(12), r)), 1.0] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sign, cost = np.where(y == 1, 1, -1), np.where(y == 1, 60 / (2 * y.sum()), 60 / (2 * (60 - y.sum())))
+    loss = lambda w: 0.5 * w @ w + (cost * np.maximum(0, 1 - sign * (x @ w))).sum()
+    found = np.array([*(model.weights[:12] / ratio), model.bias])
+    slow = np.zeros(13)
+    best = loss(slow)
+    for t in range(1, 40001):
+        slow = slow - 0.5 / np.sqrt(t) * 0.05 * (slow - ((cost * sign * (sign * (x @ slow) < 1)) @ x))
+        best = min(best, loss(slow))
+    assert loss(found) <= best + 0.02 * abs(best)
+    # The logistic loss: Adam's end against plain gradient descent.
+    chosen = toxicity.choose(rows, y, least_chi2=0.0)
+    tox = toxicity.fit(rows, y, chosen, l2=0.01)
+    hot = np.array([[f in r for f in chosen] for r in rows], float)
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (60 - y.sum()))
+    w, b = np.zeros(len(chosen)), 0.0
+    for _ in range(30000):
+        g = weight * (1 / (1 + np.exp(-(hot @ w + b))) - y)
+        w, b = w - 0.3 * (hot.T @ g + 0.01 * w), b - 0.3 * g.sum()
+    value = lambda w, b: (weight * np.logaddexp(0, np.where(y == 1, -1, 1) * (hot @ w + b))).sum() + 0.005 * w @ w
+    assert value(tox.weights, tox.bias) <= value(w, b) + 1e-3
 
 
 def test_stages_with_columns_named_as_theirs(spark, tmp_path):
