@@ -5,7 +5,7 @@ from __future__ import annotations
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -52,10 +52,22 @@ def search_queries(province: Column) -> Column:
     return F.array(F.concat(province, F.lit(" polisevi 2026 fiyat listesi")), F.concat(province, F.lit(" polisevi konaklama ücretleri 2026")))
 
 
-def link_wanted(href: Column, text: Column, url: Column) -> Column:
-    """Whether a link's address or text has one of LINK_WORDS and its absolute URL is in the domain."""
+def link_wanted(href: Column, text: Column, url: Column, words: tuple = LINK_WORDS, domain: str = "pol.tr") -> Column:
+    """Whether a link's address or text has one of the words and its absolute URL is in the domain."""
     blob = F.lower(F.concat_ws(" ", href, text))
-    return blob.rlike("|".join(LINK_WORDS)) & netloc(url).endswith("pol.tr")
+    return blob.rlike("|".join(words)) & netloc(url).endswith(domain)
+
+
+def page_links(parsed: DataFrame, key: str, wanted, most: int = 40) -> DataFrame:
+    """key, rank and link: of each page of parse_pages (with url) the links that wanted(href, text, absolute URL) holds for.
+
+    Links are absolute, without fragments and repeats, in the page's order, the first `most`. A page's own links alone are held together.
+    """
+    links = parsed.select(key, "url", F.posexplode("parsed.links").alias("at", "x"))
+    full = links.withColumn("link", join_url(F.col("url"), F.col("x.href")))
+    kept = full.where(wanted(F.col("x.href"), F.col("x.text"), F.col("link"))).withColumn("link", no_fragment(F.col("link")))
+    firsts = kept.groupBy(key, "link").agg(F.min("at").alias("at")).groupBy(key).agg(F.slice(F.sort_array(F.collect_list(F.struct("at", "link"))), 1, most).alias("links"))
+    return firsts.select(key, F.posexplode("links").alias("rank", "y")).select(key, (F.col("rank") + 1).alias("rank"), F.col("y.link").alias("link"))
 
 
 def unwrap_redirect(href: Column) -> Column:

@@ -15,13 +15,13 @@ BROADCAST_ROWS = 100_000
 WANTED, UNWANTED = r"polis", r"d[uü][gğ][uü]n|salon|spor|yemek|kayak|kongre|pekom|moral"
 
 
-def kind_filter(name: Column, kind: Column) -> Column:
-    return name.rlike("(?iu)" + WANTED) | (F.lower(F.coalesce(kind, F.lit(""))) == "polisevi")
+def kind_filter(name: Column, kind: Column, wanted: str = WANTED, kind_is: str = "polisevi") -> Column:
+    return name.rlike("(?iu)" + wanted) | (F.lower(F.coalesce(kind, F.lit(""))) == kind_is)
 
 
-def candidate_filter(name: Column) -> Column:
+def candidate_filter(name: Column, wanted: str = WANTED, unwanted: str = UNWANTED) -> Column:
     name = F.coalesce(name, F.lit(""))
-    return name.rlike("(?iu)" + WANTED) & ~name.rlike("(?iu)" + UNWANTED)
+    return name.rlike("(?iu)" + wanted) & ~name.rlike("(?iu)" + unwanted)
 
 
 def score(blob: Column, core_of_host: Column, name: Column, core: Column) -> Column:

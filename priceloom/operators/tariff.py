@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from ..functions.money import AMOUNT, range_of, scan_money
+from ..functions.html import parse_pages
+from ..functions.money import range_of, scan_money
 from ..functions.text import bind, fold
 
 ROLES = ("kurum", "kamu", "sivil")
@@ -143,106 +141,101 @@ def tax_note(text: Column) -> Column:
     return _first(text, TAX, "")
 
 
-def gates_probe(html: Column, text: Column) -> Column:
+#: Words on lodging, and of averages and estimates; names of rooms, of other things, and of guests.
+TOPIC, GUESS = r"konaklama|oda|fiyat|ücret|ucret", r"ortalama\s*(öğretmenevi|ogretmenevi)|tahmini\s*aral"
+ROOM, OTHER = r"oda|yatak|suit|süit|su[iı]t|vip|aile|double|m[uü]stakil", r"ek yatak|çamaşır|camasir|[uü]t[uü]|oda kart|kahvalt"
+GUEST = r"onayl[ıi]|misafir"
+
+
+def gates_probe(html: Column, text: Column, year: str = YEAR, topic: str = TOPIC, guess: str = GUESS) -> Column:
     """The year in source and text, a word on lodging, and no averages or estimates."""
-    topic, guess = r"konaklama|oda|fiyat|ücret|ucret", r"ortalama\s*(öğretmenevi|ogretmenevi)|tahmini\s*aral"
-    return html.contains(YEAR) & text.contains(YEAR) & _like(text, topic) & ~_like(text, guess)
-
-
-_MONEY = re.compile(AMOUNT, re.I)
-_ROOM = re.compile(r"oda|yatak|suit|süit|su[iı]t|vip|aile|double|m[uü]stakil", re.I)
-_OTHER = re.compile(r"ek yatak|çamaşır|camasir|[uü]t[uü]|oda kart|kahvalt", re.I)
-_BUCKETS = StructType([StructField(r, ArrayType(DoubleType())) for r in ROLES])
-
-
-def _lines(text: str) -> list[str]:
-    cut = re.sub(r"(?<=\d)\s*(TL\b|₺)", lambda m: f" {m[1].upper()}\n", text, flags=re.I)
-    lines = [x.strip() for x in re.split(r"[\n\r]+", cut) if x.strip()]
-    return lines if len(lines) >= 8 else [x.strip() for x in re.split(r"\s{2,}|\n", text) if x.strip()]
-
-
-def _stacked(lines: list[str], amounts: list[list[float]]) -> dict:
-    """Room names followed by three rising prices on lines of their own; a full triple is consumed, otherwise the next line is tried."""
-    out: dict = {r: [] for r in ROLES}
-    anchor = [bool(_ROOM.search(x)) and not m for x, m in zip(lines, amounts)]
-    at = 0
-    while at < len(lines):
-        after = at + 1
-        if anchor[at] and not _OTHER.search(lines[at]):
-            found: list[float] = []
-            to = at + 1
-            while to < len(lines) and len(found) < 3 and not anchor[to]:
-                m = amounts[to]
-                if m:
-                    price = m[-1] if len(m) >= 3 else m[0]
-                    if not SCAN.floor <= price <= SCAN.top:
-                        break
-                    found.append(price)
-                to += 1
-                if not m and to - at > 6:
-                    break
-            if len(found) == 3 and found == sorted(found) and found[2] <= 5 * max(found[0], 1):
-                for role, price in zip(ROLES, found):
-                    out[role].append(price)
-                after = to
-        at = after
-    return out
+    return html.contains(year) & text.contains(year) & _like(text, topic) & ~_like(text, guess)
+
+
+def parse_of_year(pages: DataFrame, profile: Profile) -> DataFrame:
+    """parse_pages with html_year: whether the source has the year. Pages without it needn't be parsed for the probe."""
+    marked = pages.withColumn("html_year", F.coalesce(F.col("html").contains(YEAR), F.lit(False)))
+    return parse_pages(marked.where("html_year") if profile.name == "probe" else marked)
+
+
+def text_lines(text: Column) -> Column:
+    """The lines of a text, where an amount with a currency mark ends one; texts of under eight such lines are cut at wide gaps instead."""
+    lines = lambda x, cut: F.filter(F.transform(F.split(x, FLAGS + cut), lambda y: F.regexp_replace(y, r"(?U)^\s+|\s+$", "")), lambda y: y != "")
+    by_mark = lines(F.regexp_replace(text, FLAGS + r"(?<=\d)\s*(TL\b|₺)", " $1\n"), r"[\n\r]+")
+    return bind(by_mark, lambda x: F.when(F.size(x) >= 8, x).otherwise(lines(text, r"\s{2,}|\n")))
 
 
 def stacked_prices(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with stacked: struct(kurum, kamu, sivil) of price arrays from texts without tables, by a scan over each text's lines.
+    """df with stacked: struct(kurum, kamu, sivil) of price arrays from texts without tables.
 
+    A line that names a room and has no amount opens a section, which ends before the next such line. Of a section the first three
+    lines with amounts count if they are room prices that don't fall and rise to five times the first at most; from the sixth line
+    of the section on, a line without an amount before the third price ends it. All of it is narrow: arrays of the text's own row.
     Texts without the year, a word on members and one on guests have empty buckets, as null texts do.
     """
-    schema = StructType([*df.schema.fields, StructField("stacked", _BUCKETS)])
-    kind = pa.struct([(r, pa.list_(pa.float64())) for r in ROLES])
-    hints = {r: re.compile(p, re.I) for r, p in SCAN_HINTS.items()}
-    guest = re.compile(r"onayl[ıi]|misafir", re.I)
-
-    def one(value: str | None) -> dict:
-        if not value or YEAR not in value or not hints["kurum"].search(value) or not (hints["sivil"].search(value) or guest.search(value)):
-            return {r: [] for r in ROLES}
-        lines = _lines(value)
-        return _stacked(lines, [[v for m in _MONEY.finditer(x.replace("\xa0", " ")) if (v := amount(m[1])) is not None] for x in lines])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([one(x) for x in batch.column(text).to_pylist()], kind)], schema.fieldNames())
-
-    return df.mapInArrow(run, schema)
-
-
-def amount(token: str) -> float | None:
-    """functions.money.parse_money for one token."""
-    raw = re.sub(r"₺|TL|tl|\xa0| ", "", token.strip())
-    comma, dot = raw.rfind(","), raw.rfind(".")
-    dots_group = re.fullmatch(r"\d{1,3}(\.\d{3})+(,\d+)?", raw)
-    commas_group = re.fullmatch(r"\d{1,3}(,\d{3})+(\.\d+)?", raw)
-    decimal_comma = dots_group or (not commas_group and comma >= 0 and (comma > dot if dot >= 0 else len(raw) - comma - 1 <= 2))
-    if decimal_comma:
-        raw = raw.replace(".", "").replace(",", ".")
-    elif comma >= 0:
-        raw = raw.replace(",", "")
-    if not re.fullmatch(r"[0-9]+(\.[0-9]*)?|\.[0-9]+", raw):
-        return None
-    return value if 1 <= (value := float(raw)) <= 100_000 else None
-
-
-def entries(parsed: DataFrame, profile: Profile, url: str = "url") -> DataFrame:
-    """url, three price ranges, kaynak and gecerlilik of accepted pages; parsed comes from parse_pages over pages with the year.
+    value = F.col(text)
+    wanted = value.contains(YEAR) & _like(value, SCAN_HINTS["kurum"]) & (_like(value, SCAN_HINTS["sivil"]) | _like(value, GUEST))
+
+    def line(x: Column, i: Column) -> Column:
+        price = bind(scan_money(x), lambda found: pick_line(found))
+        return bind(price, lambda v: F.struct(i.alias("i"), v.alias("v"), (v.isNull() & _like(x, ROOM)).alias("head"), (v.isNull() & _like(x, OTHER)).alias("other")))
+
+    def triples(rows: Column) -> Column:
+        heads = F.filter(rows, lambda r: r["head"])
+        ends = F.transform(heads, lambda h, k: F.coalesce(F.get(heads, k + 1)["i"], F.size(rows)))
+        sections = F.filter(F.arrays_zip(heads.alias("head"), ends.alias("end")), lambda s: ~s["head"]["other"])
+
+        def three(s: Column) -> Column:
+            first = s["head"]["i"]
+            inside = F.slice(rows, first + 2, s["end"] - first - 1)
+            found = F.slice(F.filter(inside, lambda r: r["v"].isNotNull()), 1, 3)
+            gaps = lambda last: F.exists(inside, lambda r: r["v"].isNull() & (r["i"] - first >= 6) & (r["i"] < last))
+
+            def good(f: Column) -> Column:
+                a, b, c = (F.get(f, F.lit(k))["v"] for k in range(3))
+                fits = F.forall(f, lambda r: r["v"].between(SCAN.floor, SCAN.top)) & (a <= b) & (b <= c) & (c <= 5 * a)
+                return F.when((F.size(f) == 3) & fits & ~gaps(F.get(f, F.lit(2))["i"]), F.transform(f, lambda r: r["v"]))
+
+            return bind(found, good)
+
+        return F.filter(F.transform(sections, three), lambda t: t.isNotNull())
+
+    lines = F.transform(text_lines(value), line)
+    made = F.when(wanted, bind(lines, triples))
+    buckets = bind(made, lambda t: F.struct(*[F.coalesce(F.transform(t, lambda x: F.get(x, F.lit(k))), F.array().cast("array<double>")).alias(r) for k, r in enumerate(ROLES)]))
+    return df.withColumn("stacked", buckets)
+
+
+def pick_line(found: Column) -> Column:
+    """A line's price: the last of three or more amounts, else the first."""
+    return F.when(F.size(found) >= 3, F.element_at(found, -1)).otherwise(F.get(found, F.lit(0)))
+
+
+def bucket_stats(prices: Column) -> Column:
+    """struct(counts, mins, maxs) of a page's buckets, each a struct by role; null where a bucket is empty, but for counts."""
+    by_role = lambda f: F.struct(*[f(prices[r]).alias(r) for r in ROLES])
+    return F.struct(by_role(F.size).alias("counts"), by_role(F.array_min).alias("mins"), by_role(F.array_max).alias("maxs"))
+
+
+def entries(parsed: DataFrame, profile: Profile, url: str = "url", keep: tuple = ()) -> DataFrame:
+    """url, three price ranges, kaynak and gecerlilik of accepted pages, and of keep "stats" (bucket_stats) and columns of parsed.
+
+    parsed comes from parse_of_year, or from parse_pages over pages with the year.
 
     scan: where tables give fewer than two prices for kurum or sivil, the stacked lines of the text count instead.
     """
     page = parsed.withColumn("prices", table_prices(F.col("parsed.tables"), profile)).withColumn("said", F.col("parsed.text"))
     text = F.col("said")
     if profile.name == "probe":
-        page = page.where(gates_probe(text, text))
+        page = page.where(gates_probe(F.lit(YEAR) if "html_year" not in page.columns else F.when(F.col("html_year"), F.lit(YEAR)), text))
         label = validity(text, "probe")
     else:
+        if "html_year" in page.columns:
+            page = page.where(F.col("html_year") | text.contains(YEAR))
         page = stacked_prices(page, "said")
         thin = (F.size("prices.kurum") < profile.needed) | (F.size("prices.sivil") < profile.needed)
         page = page.withColumn("thin", thin).withColumn("prices", F.when(F.col("thin"), F.col("stacked")).otherwise(F.col("prices")))
         label = F.when(F.col("thin"), validity(text, "stacked")).otherwise(F.concat(validity(text, "scan"), tax_note(text)))
     page = page.where(accepted(F.col("prices"), profile))
     named = {"fiyat_sivil": "sivil", "fiyat_kamu_personeli": "kamu", "fiyat_kurum_personeli": "kurum"}
-    return page.select(url, *[range_of(F.col(f"prices.{r}")).alias(n) for n, r in named.items()], F.col(url).alias("kaynak"), label.alias("gecerlilik"))
+    return page.select(url, *[range_of(F.col(f"prices.{r}")).alias(n) for n, r in named.items()], F.col(url).alias("kaynak"), label.alias("gecerlilik"), *[bucket_stats(F.col("prices")).alias(c) if c == "stats" else F.col(c) for c in keep])

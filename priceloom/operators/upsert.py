@@ -39,3 +39,8 @@ def run_report(results: DataFrame, status: str = "status") -> DataFrame:
     hit = F.col(status) == "found"
     keys = F.array_join(F.sort_array(F.collect_set(F.when(hit, F.concat_ws("/", "il", "isim")))), ",")
     return results.agg(F.count("*").alias("scanned"), F.count_if(hit).alias("found_count"), keys.alias("found"))
+
+
+def found_keys(results: DataFrame, status: str = "status") -> DataFrame:
+    """key: il/isim of what was found, distinct and sorted, a row each. For runs of any size, where run_report's list is one value."""
+    return results.where(F.col(status) == "found").select(F.concat_ws("/", "il", "isim").alias("key")).distinct().orderBy("key")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html, money, text, urls
-from ..operators import match, search, tariff, upsert
+from ..operators import match, runs, search, tariff, upsert
 from ..sources import documents
 from ..streaming import incremental
 
@@ -153,10 +153,7 @@ SELECT page_id, link, rank::INT AS rank FROM (SELECT page_id, link, row_number()
 def page_links_topk(spark, sf_dir):
     """Root-relative links of each page from the parser, absolute, without fragments and repeats, in order, the first 40."""
     parsed = html.parse_pages(_t(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    links = parsed.select("page_id", "url", F.explode(F.filter("parsed.links", lambda x: x["href"].startswith("/"))).alias("link"), F.monotonically_increasing_id().alias("at"))
-    full = links.withColumn("link", urls.no_fragment(urls.join_url(F.col("url"), F.col("link.href"))))
-    ranked = full.groupBy("page_id", "link").agg(F.min("at").alias("at")).groupBy("page_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("at", "link"))), 1, 40).alias("links"))
-    return ranked.select("page_id", F.posexplode("links").alias("rank", "x")).select("page_id", F.col("x.link").alias("link"), (F.col("rank") + 1).alias("rank"))
+    return urls.page_links(parsed, "page_id", lambda href, text, link: href.startswith("/"))
 
 
 @query(r"""
@@ -165,7 +162,7 @@ SELECT page_id, netloc, replace(replace(replace(lower(netloc), 'www.', ''), 'ogr
        regexp_matches(html, '(?i)copyright|privacy') AND NOT regexp_matches(html, '(?i)average') AS gate FROM p""")
 def page_hosts_gates(spark, sf_dir):
     u, h = F.col("url"), F.col("html")
-    return _t(spark, sf_dir, "pages").select("page_id", urls.netloc(u).alias("netloc"), urls.host_core(u).alias("core"), urls.netloc(u).endswith(".org").alias("in_domain"), (h.rlike("(?iu)copyright|privacy") & ~h.rlike("(?iu)average")).alias("gate"))
+    return _t(spark, sf_dir, "pages").select("page_id", urls.netloc(u).alias("netloc"), urls.host_core(u).alias("core"), urls.netloc(u).endswith(".org").alias("in_domain"), tariff.gates_probe(h, h, "", "copyright|privacy", "average").alias("gate"))
 
 
 @query(f"""
@@ -205,7 +202,7 @@ def search_redirect_unwrap(spark, sf_dir):
 SELECT p_partkey, p_type = 'PROMO' AS same_kind, regexp_matches(lower(p_name), 'part') OR lower(coalesce(p_brand, '')) = 'brand#1' AS wide, regexp_matches(lower(p_name), '1') AND NOT regexp_matches(lower(p_name), '2|salon') AS narrow FROM part""")
 def facility_filters(spark, sf_dir):
     name, brand = F.col("p_name"), F.col("p_brand")
-    return _t(spark, sf_dir, "part").select("p_partkey", (F.col("p_type") == "PROMO").alias("same_kind"), (name.rlike("(?iu)part") | (F.lower(F.coalesce(brand, F.lit(""))) == "brand#1")).alias("wide"), (name.rlike("(?iu)1") & ~name.rlike("(?iu)2|salon")).alias("narrow"))
+    return _t(spark, sf_dir, "part").select("p_partkey", (F.col("p_type") == "PROMO").alias("same_kind"), match.kind_filter(name, brand, "part", "brand#1").alias("wide"), match.candidate_filter(name, "1", "2|salon").alias("narrow"))
 
 
 @query("SELECT DISTINCT n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 ORDER BY 1")
@@ -337,6 +334,39 @@ def run_report(spark, sf_dir):
     return upsert.run_report(e)
 
 
+@query("SELECT DISTINCT 'u/' || user_id AS key FROM events WHERE event_type = 'purchase'")
+def run_found_keys(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select(F.lit("u").alias("il"), F.col("user_id").cast("string").alias("isim"), F.when(F.col("event_type") == "purchase", "found").otherwise("none").alias("status"))
+    return upsert.found_keys(e)
+
+
+_RUN_SQL = f"""WITH o AS (SELECT o_custkey, ({_PRICE})::DOUBLE AS v FROM orders),
+new AS (SELECT 'n' || c_nationkey AS il, c_name AS isim, {_fill(_RANGE, 'min(v + 250)', 'max(v + 250)')} AS fiyat_sivil, {_fill(_RANGE, 'min(v + 100)', 'max(v + 100)')} AS fiyat_kamu_personeli,
+  {_fill(_RANGE, 'min(v)', 'max(v)')} AS fiyat_kurum_personeli, 'https://a.example/c' || c_custkey AS kaynak, '01.01.2026 itibarıyla' AS gecerlilik
+  FROM o JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 5 > 0 GROUP BY ALL HAVING max(v + 250) >= 600),
+old AS (SELECT 'n' || c_nationkey AS il, c_name AS isim, 'old' AS fiyat_sivil, NULL AS fiyat_kamu_personeli, NULL AS fiyat_kurum_personeli, 'old' AS kaynak, 'old' AS gecerlilik FROM customer WHERE c_custkey % 3 = 0)
+SELECT * FROM new UNION ALL SELECT * FROM old WHERE isim NOT IN (SELECT isim FROM new)"""
+
+
+@query(_RUN_SQL)
+def run_merged_entries(spark, sf_dir):
+    """A whole run: each customer is a facility with two pages, the second of which must not count; every fifth page isn't fetched."""
+    customers = _t(spark, sf_dir, "customer")
+    made = _price_pages(spark, sf_dir).withColumn("c_custkey", F.substring("url", 2, 20).cast("long")).join(customers, "c_custkey")
+    html_ = F.replace(F.col("html"), F.lit("<title>Fiyat"), F.concat(F.lit("<title>"), "c_name", F.lit(" ")))
+    page = lambda host, ord_, body: made.select(F.concat(F.lit(f"https://{host}.example/c"), "c_custkey").alias("url"), F.lit(ord_).alias("ord"), body.alias("html"), F.when(F.col("c_custkey") % 5 == 0, 404).otherwise(200).alias("status"))
+    pages = page("a", 0, html_).unionByName(page("b", 1, F.replace(html_, F.lit("01.01.2026"), F.lit("1 Temmuz 2026"))))
+    facilities = customers.select(F.col("c_custkey").alias("ord"), F.concat(F.lit("n"), "c_nationkey").alias("il"), F.col("c_name").alias("isim"))
+    old = facilities.where("ord % 3 = 0").select("il", "isim", *[F.lit(x).cast("string").alias(c) for c, x in zip(runs.COLUMNS[2:], ("old", None, None, "old", "old"))])
+    return runs.run(pages, facilities, old).merged
+
+
+@query(f"""SELECT 'c' || o_custkey AS url, count(*)::INT AS n_kurum, min({_PRICE})::DOUBLE AS min_kurum, max({_PRICE} + 250)::DOUBLE AS max_sivil FROM orders GROUP BY o_custkey HAVING max({_PRICE} + 250) >= 600""")
+def page_bucket_stats(spark, sf_dir):
+    made = tariff.entries(tariff.parse_of_year(_price_pages(spark, sf_dir), tariff.PROBE), tariff.PROBE, keep=("stats",))
+    return made.select("url", F.col("stats.counts.kurum").alias("n_kurum"), F.col("stats.mins.kurum").alias("min_kurum"), F.col("stats.maxs.sivil").alias("max_sivil"))
+
+
 @query("SELECT user_id, count(*) AS n, count(*) // 3 AS flushes FROM events GROUP BY user_id")
 def every_third_flush(spark, sf_dir):
     return _t(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.floor(F.count("*") / 3).cast("long").alias("flushes"))
@@ -346,7 +376,7 @@ def every_third_flush(spark, sf_dir):
 def incremental_upsert(spark, sf_dir):
     """A stream over the events, merged batch by batch: the last event of each user."""
     columns = ["user_id", "event_id", "event_type", "value"]
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints/priceloom"
+    base = documents.shared_dir(spark)
     folder = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
     _t(spark, sf_dir, "events").select(*columns).repartition(3).write.parquet(f"{folder}/in")
     stream = spark.readStream.schema(spark.read.parquet(f"{folder}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")

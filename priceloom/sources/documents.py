@@ -9,6 +9,16 @@ FACILITY = "tesisler array<struct<il:string,isim:string,tip:string>>"
 ENTRY = "il string, isim string, fiyat_sivil string, fiyat_kamu_personeli string, fiyat_kurum_personeli string, kaynak string, gecerlilik string"
 PAGE = "url string, html string, status int, err string"
 
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share, as spark.checkpoint.dir names it. Only a master on this machine alone can do without."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not named and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or "/tmp/checkpoints/priceloom"
+
+
 def facilities(spark: SparkSession, paths: list[str], required: bool = True) -> DataFrame:
     """ord, il, isim and tip of the first of the paths that exists; ord is the place in its list."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path

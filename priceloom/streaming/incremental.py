@@ -10,28 +10,43 @@ from ..operators.upsert import upsert
 
 
 class UpsertSink:
-    """foreachBatch target that keeps the merged rows as versions in a folder; a batch that is run again writes its version again."""
+    """foreachBatch target that keeps the merged rows as versions in a folder.
 
-    def __init__(self, spark: SparkSession, folder: str, keys: list[str], order: str):
-        self.spark, self.folder, self.keys, self.order = spark, folder, keys, order
-        self.version: int | None = None
+    A batch is merged with the newest whole version below its own number, as the folder has it: so it goes on after a restart, and
+    a batch that is run again reads what it read before and writes its version anew.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, keys: list[str], order: str, schema: str | None = None):
+        self.spark, self.folder, self.keys, self.order, self.schema = spark, folder, keys, order, schema
 
     def path(self, version: int) -> str:
         return f"{self.folder}/v{version}"
 
+    def version(self, below: int | None = None) -> int | None:
+        """The newest version that was written to its end, below a number if one is given."""
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        done = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/v*/_SUCCESS")
+        found = done.getFileSystem(conf).globStatus(done) or []
+        numbers = [int(f.getPath().getParent().getName()[1:]) for f in found]
+        return max((n for n in numbers if below is None or n < below), default=None)
+
+    def _old(self, batch: DataFrame, number: int) -> DataFrame:
+        version = self.version(number)
+        return batch.limit(0) if version is None else self.spark.read.schema(batch.schema).parquet(self.path(version))
+
     def __call__(self, batch: DataFrame, number: int) -> None:
-        old = batch.limit(0) if self.version is None else self.spark.read.schema(batch.schema).parquet(self.path(self.version))
-        upsert(old, batch, self.keys, self.order).write.mode("overwrite").parquet(self.path(number))
-        self.version = number
+        upsert(self._old(batch, number), batch, self.keys, self.order).write.mode("overwrite").parquet(self.path(number))
 
     def latest(self, batch: DataFrame, number: int) -> None:
         """As a call, but a row of the state that is later by order stays: for sources whose batches come in any order."""
-        old = batch.limit(0) if self.version is None else self.spark.read.schema(batch.schema).parquet(self.path(self.version))
-        upsert(batch.limit(0), old.unionByName(batch), self.keys, self.order).write.mode("overwrite").parquet(self.path(number))
-        self.version = number
+        upsert(batch.limit(0), self._old(batch, number).unionByName(batch), self.keys, self.order).write.mode("overwrite").parquet(self.path(number))
 
     def result(self) -> DataFrame:
-        return self.spark.read.parquet(self.path(self.version))
+        """The newest version; before any batch no rows, with the schema if one was given."""
+        version = self.version()
+        if version is None:
+            return self.spark.createDataFrame([], self.schema or "none int")
+        return self.spark.read.parquet(self.path(version))
 
 
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:

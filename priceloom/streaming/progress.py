@@ -6,29 +6,40 @@ import json
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 class ProgressSink:
     """foreachBatch target that calls another one, then overwrites path with updated_at, done, total and found.
 
-    done counts rows, found those that the condition holds for. A batch that is run again counts once.
+    done counts rows, found those that the condition holds for. A second file, path with .batch, has the last batch and the counts
+    before it, so a batch that is run again counts once, and counts go on after a restart.
     """
 
     def __init__(self, sink: Callable[[DataFrame, int], None], path: str, total: int, found: str):
-        self.sink, self.path, self.total, self.found, self.counts = sink, path, total, found, {}
+        self.sink, self.path, self.total, self.found = sink, path, total, found
 
     def __call__(self, batch: DataFrame, number: int) -> None:
         self.sink(batch, number)
+        spark = batch.sparkSession
+        last = self.read(spark, ".batch") or {"batch": None, "before": [0, 0], "after": [0, 0]}
+        before = last["before" if last["batch"] == number else "after"]
         row = batch.agg(F.count("*").alias("done"), F.count_if(F.expr(self.found)).alias("found")).first()
-        self.counts[number] = (row["done"], row["found"])
-        done, found = (sum(c[i] for c in self.counts.values()) for i in (0, 1))
-        self.write(batch, {"updated_at": datetime.now(UTC).isoformat(timespec="seconds"), "done": done, "total": self.total, "found": found})
+        after = [before[0] + row["done"], before[1] + row["found"]]
+        self.write(spark, {"batch": number, "before": before, "after": after}, ".batch")
+        self.write(spark, {"updated_at": datetime.now(UTC).isoformat(timespec="seconds"), "done": after[0], "total": self.total, "found": after[1]})
 
-    def write(self, batch: DataFrame, said: dict) -> None:
-        spark = batch.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        out = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(path, True)
+    def _file(self, spark: SparkSession, of: str):
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path + of)
+        return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def read(self, spark: SparkSession, of: str = "") -> dict | None:
+        path, files = self._file(spark, of)
+        return json.loads(spark.read.text(self.path + of, wholetext=True).first()[0]) if files.exists(path) else None
+
+    def write(self, spark: SparkSession, said: dict, of: str = "") -> None:
+        path, files = self._file(spark, of)
+        out = files.create(path, True)
         out.write(bytearray(json.dumps(said).encode()))
         out.close()

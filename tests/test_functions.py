@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from priceloom.functions import html, money, text
+from priceloom.functions import html, money, text, urls
 from priceloom.operators import match, tariff, upsert
 from priceloom.sources import documents
 
@@ -18,9 +18,44 @@ def test_scan_money(spark):
     assert values(spark, list(cases), money.scan_money) == [list(map(float, v)) for v in cases.values()]
 
 
-def test_amount_equals_parse_money(spark):
-    tokens = ["1.500", "1.234,56", "12,5", "12.34,5", "1,234.56", "0,50", "abc", "", "1 500", "100001", "12.345", "1234,56", "1,5,25", "1.2.3"]
-    assert values(spark, tokens, money.parse_money) == [tariff.amount(t) for t in tokens]
+def stacked(spark, texts):
+    made = tariff.stacked_prices(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")).orderBy("i").collect()
+    return [tuple(r["stacked"][x] for x in tariff.ROLES) for r in made]
+
+
+def test_stacked_lines(spark):
+    head = "2026 Teşkilat / Kamu / Onaylı misafir\n"
+    three = lambda name, *prices: name + "\n" + "\n".join(f"{p} TL" for p in prices) + "\n"
+    pad = "x\ny\nz\nv\nw\n"
+    texts = [
+        head + three("Tek oda", "500", "700", "900") + three("Suit", "600,50", "600,50", "950") + pad,
+        head + three("Tek oda", "500", "700") + three("Ek yatak", "500", "600", "700") + pad,  # two prices; not a room
+        head + three("Tek oda", "900", "700", "500") + three("Aile", "400", "500", "2.500") + pad,  # falling; over five times
+        head + "Tek oda\na\nb\nc\nd\n500 TL\ne\n700 TL\n900 TL\n" + pad,  # a line without an amount too late
+        head + "Tek oda\na\nb\nc\nd\n500 TL\n700 TL\n900 TL\n" + pad,
+        head + "Tek oda\n500 TL\n99 TL\n700 TL\n900 TL\n" + pad,  # a price that no room has, in between
+        head.replace("2026", "2025") + three("Tek oda", "500", "700", "900") + pad,
+        head + "Tek oda  500 TL  700 TL  900 TL",  # few lines: cut at wide gaps
+        None,
+    ]
+    none = ([], [], [])
+    assert stacked(spark, texts) == [([500.0, 600.5], [700.0, 600.5], [900.0, 950.0]), none, none, none, ([500.0], [700.0], [900.0]), none, none, ([500.0], [700.0], [900.0]), none]
+
+
+def test_scan_falls_back_to_stacked_lines(spark):
+    lines = "<pre>" + "".join(f"{n} oda\n{a} TL\n{b} TL\n{c} TL\n" for n, a, b, c in (("Tek", 500, 700, 900), ("Çift", 600, 800, "1.000"), ("Aile", 700, 900, "1.100"))) + "</pre>"
+    page = f"<p>2026 Teşkilat Kamu Onaylı misafir 01.05.2026</p><table><tr><td>Yemek listesi</td></tr></table>{lines}"
+    table = "<table><caption>Kuaför</caption><tr><th>Oda</th><th>Teşkilat</th><th>Kamu personeli</th><th>Onaylı misafir</th></tr>" + "".join(f"<tr><td>s{i}</td><td>500 TL</td><td>700 TL</td><td>950 TL</td></tr>" for i in range(3)) + "</table>"
+    pages = spark.createDataFrame([("a", page), ("b", f"<p>2026</p>{table}"), ("c", f"<p>2026</p>{table.replace('Kuaför', 'Odalar')}"), ("d", table), ("e", f"<p>2025</p>{table}<!-- 2026 -->".replace("Kuaför", ""))], "url string, html string")
+    got = {r["url"]: r for r in tariff.entries(tariff.parse_of_year(pages, tariff.SCAN), tariff.SCAN).collect()}
+    assert set(got) == {"a", "c", "e"} and got["a"]["fiyat_sivil"] is not None and got["c"]["fiyat_kurum_personeli"] == "500 TL"
+
+
+def test_page_links(spark):
+    page = '<a href="/fiyat#x">a</a><a href="fiyat">b</a><a href="https://x.pol.tr/p">Polis evi</a><a href="https://y.com/fiyat">c</a><a href="/other">d</a><a href="/fiyat">e</a>'
+    parsed = html.parse_pages(spark.createDataFrame([(1, "https://www.bolu.pol.tr/a/b", page), (2, None, page), (3, "https://www.bolu.pol.tr", None)], "id int, url string, html string"))
+    got = [tuple(r) for r in urls.page_links(parsed, "id", urls.link_wanted).orderBy("id", "rank").collect()]
+    assert got == [(1, 1, "https://www.bolu.pol.tr/fiyat"), (1, 2, "https://www.bolu.pol.tr/a/fiyat"), (1, 3, "https://x.pol.tr/p")]
 
 
 def test_format(spark):
