@@ -25,6 +25,10 @@ GROUP = 200
 CROWDED = 200_000
 #: One document in so many is looked at for keys that very many have: those are dealt over several tasks. Results don't depend on it.
 SAMPLE = 64
+#: Share of a partition's segments that may get one-deletion neighbourhoods; documents that need more are taken by counted shingles.
+REACH = 0.1
+#: Sketches of counts that one task adds up.
+FAN = 16
 #: 64-bit words of the bitmaps that bound the differences of two documents from below: in rows of a bucket, and for pairs.
 SKETCH, WIDE = 8, 64
 #: Low bits of a key that hold its partition.
@@ -304,11 +308,22 @@ def _in(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of[np.minimum(np.searchsorted(of, keys), len(of) - 1)] == keys
 
 
+def _budgets(part: pa.RecordBatch, width: int, num: int, shared):
+    """(row, set, Budget) of each partition in which a document of (rep, text) is heavy; crowded keys are shared or in the row."""
+    crowded = repeat(shared.value) if shared is not None else (np.sort(x.values.to_numpy()) if x.is_valid else np.zeros(0, np.int64) for x in part.column("crowded"))
+    for i, (value, hot) in enumerate(zip(part.column("text").to_pylist(), crowded)):
+        s = shingles(value, width)
+        for p in partitions_of(len(s), num) if len(s) else ():
+            found = Budget(s, p, hot)
+            if found.heavy:
+                yield i, s, found
+
+
 class Neighbourhoods:
     """One-deletion neighbourhoods of the documents (rep, text) that can't do with exact matches because of crowded buckets.
 
     A partition's segments are allocated by counted cost: those first whose deletions are fewest for each document that gains by
-    them. All documents of a partition use as many segments as the one that needs most.
+    them. All documents of a partition use as many segments as the one that needs most, of those that need REACH of them at most.
     """
 
     def __init__(self, texts: DataFrame, crowded: DataFrame, width: int, num: int, scratch: Scratch):
@@ -346,15 +361,10 @@ class Neighbourhoods:
             for batch in batches:
                 for part in slices(batch, "text"):
                     index, columns = [], []
-                    crowded = repeat(shared.value) if shared is not None else (np.sort(x.values.to_numpy()) if x.is_valid else np.zeros(0, np.int64) for x in part.column("crowded"))
-                    for i, (value, hot) in enumerate(zip(part.column("text").to_pylist(), crowded)):
-                        s = shingles(value, width)
-                        for p in partitions_of(len(s), num) if len(s) else ():
-                            found = Budget(s, p, hot)
-                            if found.heavy:
-                                made = make(s, found)
-                                index.append(np.full(len(made[0]), i))
-                                columns.append(made)
+                    for i, s, found in _budgets(part, width, num, shared):
+                        made = make(s, found)
+                        index.append(np.full(len(made[0]), i))
+                        columns.append(made)
                     if columns:
                         ids = part.column("rep").take(pa.array(np.concatenate(index)))
                         yield pa.RecordBatch.from_arrays([ids, *(pa.array(np.concatenate(c)) for c in zip(*columns))], schema.fieldNames())
@@ -362,12 +372,24 @@ class Neighbourhoods:
         return self.texts.mapInArrow(freeing(run), schema)
 
     def allocate(self) -> tuple[DataFrame, dict[int, np.ndarray]]:
-        """rep, p, reach of heavy documents (-1: no allocation does), and the segments of each partition that get neighbourhoods.
+        """rep, p, reach of heavy documents (-1: no allocation of REACH does), and the segments of each partition that get neighbourhoods.
 
         The driver gets a row for each segment of a partition: together a few times the size of the largest set.
         """
+        width, num, shared_keys = self.width, self.num, self.shared
         long = lambda *names: StructType([*_schema(self.texts, "rep"), *(StructField(n, LongType()) for n in names)])
-        costs = self._heavy(lambda s, b: (np.full(b.p.segments, b.p.number), np.arange(b.p.segments), b.seg.sizes.astype(np.int64), b.near.astype(np.int64)), long("p", "segment", "size", "gain"))
+
+        def run(batches):
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for _, _, b in _budgets(batch, width, num, shared_keys):
+                    held = sums.setdefault(b.p.number, np.zeros((2, b.p.segments), np.int64))
+                    held += b.seg.sizes, b.near
+            for number, (cost, gain) in sums.items():
+                n = len(cost)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (np.full(n, number), np.arange(n), cost, gain))], ["p", "segment", "size", "gain"])
+
+        costs = self.texts.mapInArrow(freeing(run), "p long, segment long, size long, gain long")
         counted = costs.groupBy("p", "segment").agg(F.sum("size").alias("cost"), F.sum("gain").alias("gain"))
         rows = counted.toArrow()
         p, segment, cost, gain = (rows.column(c).to_numpy() for c in ("p", "segment", "cost", "gain"))
@@ -377,7 +399,7 @@ class Neighbourhoods:
             own = own[np.lexsort((segment[own], cost[own] / np.maximum(gain[own], 0.5)))]
             orders[number] = segment[own]
         shared = self.spark.sparkContext.broadcast(orders)
-        need = self._heavy(lambda s, b: (np.array([b.p.number]), np.array([b.reach(shared.value[b.p.number]) or -1])), long("p", "reach"))
+        need = self._heavy(lambda s, b: (np.array([b.p.number]), np.array([_within(b, shared.value[b.p.number])])), long("p", "reach"))
         need = self.scratch.save(need, "reaches")
         most = {r["p"]: r["reach"] for r in need.groupBy("p").agg(F.max("reach").alias("reach")).collect()}
         return need, {number: order[: max(0, most.get(number, 0))] for number, order in orders.items()}
@@ -398,6 +420,11 @@ class Neighbourhoods:
         return self._heavy(make, StructType([*_schema(self.texts, "rep"), *(StructField(n, LongType()) for n in fields)]))
 
 
+def _within(b: Budget, order: np.ndarray) -> int:
+    reach = b.reach(order)
+    return reach if reach and reach <= REACH * b.p.segments else -1
+
+
 _MAP = [f"x{k}" for k in range(SKETCH)]
 
 
@@ -415,38 +442,70 @@ def _met(left: DataFrame, right: DataFrame, on: str, where: str, num: int) -> Da
     return met.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b"))
 
 
-def _elements(texts: DataFrame, width: int) -> DataFrame:
-    """rep, g, size, x0..: a row for each shingle, with the set's size and bitmap."""
-    schema = StructType([*_schema(texts, "rep"), *(StructField(n, LongType()) for n in ["g", "size", *_MAP])])
+def _sketch(texts: DataFrame, width: int, bits: int, scratch: Scratch) -> np.ndarray:
+    """Counts of shingles by the upper bits of a hash: at least the number of documents that hold a shingle. Each task counts in one
+    array; arrays are added up by a tree of tasks, FAN at a time."""
+
+    def count(batches):
+        held = np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for value in part.column("text").to_pylist():
+                    held += np.bincount(_cell(shingles(value, width), bits), minlength=1 << bits)
+        yield pa.RecordBatch.from_arrays([pa.array([held.tobytes()], pa.binary())], ["counts"])
+
+    def add(batches):
+        held = np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            for raw in batch.column("counts"):
+                held += np.frombuffer(raw.as_buffer(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([held.tobytes()], pa.binary())], ["counts"])
+
+    found = scratch.save(texts.select("text").mapInArrow(freeing(count), "counts binary"), "sketches")
+    while (n := noted(found)["rows"]) > FAN:
+        found = scratch.save(found.repartition(-(-n // FAN)).mapInArrow(freeing(add), "counts binary"), "sketches")
+    return sum((np.frombuffer(r["counts"], np.int64) for r in found.toLocalIterator()), np.zeros(1 << bits, np.int64))
+
+
+def _cell(s: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(s) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _prefixes(texts: DataFrame, shared, bits: int, width: int, num: int, bucket: int) -> DataFrame:
+    """rep, g, count, size, common, x0..: the shingles by which a document meets similar ones, its size, a hash of its common
+    shingles (those that count over bucket), and its bitmap."""
+    names = ["g", "count", "size", "common", *_MAP]
+    schema = StructType([*_schema(texts, "rep"), *(StructField(n, LongType()) for n in names)])
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 for i, value in enumerate(part.column("text").to_pylist()):
                     s = shingles(value, width)
-                    columns = [s.astype(np.int64), np.full(len(s), len(s)), *np.tile(np.array(_bitmap(s, SKETCH), np.int64), (len(s), 1)).T]
-                    yield pa.RecordBatch.from_arrays([part.column("rep").take(pa.array(np.full(len(s), i))), *map(pa.array, columns)], schema.fieldNames())
+                    counts = shared.value[_cell(s, bits)]
+                    n = len(s) - -(-len(s) * num // 100) + 1 if len(s) else 0
+                    first = np.lexsort((s, counts))[:n]
+                    common = mix(s[counts > bucket]).sum(dtype=np.uint64, keepdims=True).astype(np.int64)
+                    rest = np.array([len(s), common[0], *_bitmap(s, SKETCH)], np.int64)
+                    yield pa.RecordBatch.from_arrays([part.column("rep").take(pa.array(np.full(n, i))), *map(pa.array, (s[first].astype(np.int64), counts[first], *np.tile(rest, (n, 1)).T))], schema.fieldNames())
 
     return texts.select("rep", "text").mapInArrow(freeing(run), schema)
 
 
-def _residual(texts: DataFrame, comps: DataFrame, width: int, num: int, bucket: int, scratch: Scratch) -> DataFrame:
+def _residual(texts: DataFrame, rows: int, comps: DataFrame, width: int, num: int, bucket: int, scratch: Scratch) -> DataFrame:
     """a, b: candidates among documents of which crowded segments hold so much that no allocation of neighbourhoods does.
 
-    Their shingles are counted among them and ordered by count: similar sets share a shingle of both sets' first
-    size - ceil(num size / 100) + 1. Rare ones (bucket documents at most) list their pairs. Two sets that share common shingles
-    alone are similar only if either is similar to the smallest set with the same common shingles as the other, and those two to
-    each other: so each document meets one document for each different set of common shingles, not all that have it.
+    Their shingles are counted among them, in a sketch that grows with their number up to 2^22 cells, and ordered by count, then by
+    hash: similar sets share a shingle of both sets' first size - ceil(num size / 100) + 1, whatever the order. Rare ones (counted
+    bucket times at most) list their pairs. Two sets that share common shingles alone are similar only if either is similar to the
+    smallest set with the same common shingles as the other, and those two to each other: so each document meets one document for
+    each different set of common shingles, not all that have it.
     """
-    rows = scratch.save(_elements(texts, width), "elements")
-    counts = scratch.save(rows.groupBy("g").agg(F.count("*").alias("df")), "element-counts")
-    ranked = rows.join(counts, "g").groupBy("rep", "size", *_MAP).agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("s"))
-    length = F.col("size") - F.ceil(F.col("size") * num / 100) + 1
-    common = F.xxhash64(F.filter("s", lambda x: x["df"] > bucket))
-    docs = ranked.select("rep", "size", *_MAP, common.alias("common"), F.slice("s", 1, length.cast("int")).alias("s"))
-    docs = docs.join(comps, "rep", "left").withColumn("c", F.coalesce("comp", "rep")).drop("comp")
-    prefix = scratch.save(docs.select("rep", "c", "size", *_MAP, "common", F.inline("s")), "prefixes")
-    rare, often = prefix.where(F.col("df") <= bucket), prefix.where(F.col("df") > bucket)
+    bits = min(22, max(16, (16 * rows).bit_length()))
+    shared = texts.sparkSession.sparkContext.broadcast(_sketch(texts, width, bits, scratch))
+    docs = _prefixes(texts, shared, bits, width, num, bucket).join(comps, "rep", "left").withColumn("c", F.coalesce("comp", "rep")).drop("comp")
+    prefix = scratch.save(docs, "prefixes")
+    rare, often = prefix.where(F.col("count") <= bucket), prefix.where(F.col("count") > bucket)
     least = often.groupBy("g", "common").agg(F.min(F.struct("size", "rep", "c", *_MAP)).alias("m")).select("g", "m.*")
     return _met(rare, rare, "g", "rep < rep_2", num).unionByName(_met(often, scratch.save(least, "least"), "g", "true", num))
 
@@ -514,7 +573,7 @@ class Links:
         if not noted(beyond)["rows"]:
             return found
         rest = made.texts.join(small(beyond, BROADCAST_ROWS), "rep", "left_semi")
-        return found.unionByName(_residual(rest, comps, self.width, self.num, self.bucket, self.scratch))
+        return found.unionByName(_residual(rest, noted(beyond)["rows"], comps, self.width, self.num, self.bucket, self.scratch))
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, scratch: Scratch | None = None) -> DataFrame:
