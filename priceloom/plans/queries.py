@@ -86,16 +86,16 @@ def range_format_orders(spark, sf_dir):
     return orders.select("o_orderpriority", "o_orderstatus", money.format_range(F.col("a"), F.col("b")).alias("price_range"), money.format_tl(F.col("a")).alias("lowest"))
 
 
-@query(f"SELECT 'n' || n_nationkey AS id, {_fill(_NORM, 'n_name')} AS norm FROM nation UNION ALL SELECT 'c' || c_custkey, {_fill(_NORM, 'c_name')} FROM customer UNION ALL SELECT 'd' || doc_id, {_fill(_NORM, 'substr(text, 1, 200)')} FROM documents")
+@query(f"SELECT 'n' || n_nationkey AS id, {_fill(_NORM, 'n_name')} AS norm FROM nation UNION ALL SELECT 'c' || c_custkey, {_fill(_NORM, 'c_name')} FROM customer UNION ALL SELECT 'd' || doc_id, {_fill(_NORM, 'text')} FROM documents")
 def norm_names(spark, sf_dir):
-    parts = [("n", "nation", "n_nationkey", F.col("n_name")), ("c", "customer", "c_custkey", F.col("c_name")), ("d", "documents", "doc_id", F.substring("text", 1, 200))]
+    parts = [("n", "nation", "n_nationkey", F.col("n_name")), ("c", "customer", "c_custkey", F.col("c_name")), ("d", "documents", "doc_id", F.col("text"))]
     made = [_t(spark, sf_dir, t).select(F.concat(F.lit(p), F.col(k)).alias("id"), text.norm_name(c).alias("norm")) for p, t, k, c in parts]
     return made[0].unionByName(made[1]).unionByName(made[2])
 
 
 @query(f"SELECT doc_id, {_fill(_NORM, 'text')} AS norm FROM documents")
 def norm_texts(spark, sf_dir):
-    """Whole texts of all documents, where norm_names has their beginnings only."""
+    """The documents' part of norm_names by itself."""
     return _t(spark, sf_dir, "documents").select("doc_id", text.norm_name(F.col("text")).alias("norm"))
 
 
@@ -292,40 +292,41 @@ def first_success(spark, sf_dir):
     return good.groupBy("o_custkey").agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("m")).select("o_custkey", F.col("m.o_orderkey").alias("first_ok"))
 
 
-_UPSERT_SQL = """
-WITH new AS (SELECT c_custkey, c_name || '*' AS c_name, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 2 = 0),
-merged AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 2 = 1 AND c_custkey % 3 = 0 UNION ALL FROM new)
-"""
+_UPSERT_SQL = """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name || '*' ELSE c_name END AS c_name, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer"""
+_JSON_SQL = f"""SELECT c_custkey, '{{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"' || coalesce(',"c_mktsegment":"' || c_mktsegment || '"', '') || '}}' AS entry FROM ({_UPSERT_SQL})"""
 
 
-def _upserted(spark, sf_dir, old="c_custkey % 3 = 0"):
+def _upserted(spark, sf_dir):
+    """Every customer as an old row, of which the even ones are replaced."""
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     new = c.where("c_custkey % 2 = 0").select("c_custkey", F.concat("c_name", F.lit("*")).alias("c_name"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")).alias("c_mktsegment"))
-    return upsert.upsert(c.where(old), new, ["c_custkey"])
+    return upsert.upsert(c, new, ["c_custkey"])
 
 
-@query(_UPSERT_SQL + "SELECT * FROM merged")
+def _entries(spark, sf_dir):
+    return _upserted(spark, sf_dir).select("c_custkey", upsert.without_nulls("c_custkey", "c_name", "c_mktsegment").alias("entry"))
+
+
+@query(_UPSERT_SQL)
 def upsert_replace(spark, sf_dir):
     return _upserted(spark, sf_dir)
 
 
-@query(_UPSERT_SQL + """SELECT c_custkey, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"' || coalesce(',"c_mktsegment":"' || c_mktsegment || '"', '') || '}' AS entry FROM merged""")
+@query(_JSON_SQL)
 def null_drop_json(spark, sf_dir):
-    return _upserted(spark, sf_dir).select("c_custkey", upsert.without_nulls("c_custkey", "c_name", "c_mktsegment").alias("entry"))
+    return _entries(spark, sf_dir)
 
 
-_ALL_SQL = """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name || '*' ELSE c_name END AS c_name, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer"""
-
-
-@query(_ALL_SQL)
+@query(_UPSERT_SQL)
 def upsert_replace_all(spark, sf_dir):
-    """upsert_replace with every customer on the old side."""
-    return _upserted(spark, sf_dir, "true")
+    """upsert_replace by another name."""
+    return _upserted(spark, sf_dir)
 
 
-@query(f"""SELECT c_custkey, '{{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"' || coalesce(',"c_mktsegment":"' || c_mktsegment || '"', '') || '}}' AS entry FROM ({_ALL_SQL})""")
+@query(_JSON_SQL)
 def null_drop_json_all(spark, sf_dir):
-    return _upserted(spark, sf_dir, "true").select("c_custkey", upsert.without_nulls("c_custkey", "c_name", "c_mktsegment").alias("entry"))
+    """null_drop_json by another name."""
+    return _entries(spark, sf_dir)
 
 
 @query("SELECT count(*) AS scanned, count(*) FILTER (event_type = 'purchase') AS found_count, string_agg(DISTINCT CASE WHEN event_type = 'purchase' THEN 'u/' || user_id END, ',' ORDER BY CASE WHEN event_type = 'purchase' THEN 'u/' || user_id END) AS found FROM events")
@@ -389,7 +390,7 @@ def incremental_upsert(spark, sf_dir):
 @query(r"""
 WITH tops AS (
   SELECT k, u, row_number() OVER (PARTITION BY k ORDER BY ord, u) AS n
-  FROM (SELECT l_suppkey AS k, 'part' || l_partkey AS u, min(l_orderkey) AS ord FROM lineitem GROUP BY ALL) QUALIFY n <= 5
+  FROM (SELECT l_suppkey AS k, 'part' || l_partkey AS u, min(l_orderkey) AS ord FROM lineitem GROUP BY ALL) QUALIFY n <= 35
 ), links AS (
   SELECT u, 'order' || o AS link, row_number() OVER (PARTITION BY u ORDER BY o) AS j
   FROM (SELECT DISTINCT 'part' || l_partkey AS u, l_orderkey AS o FROM lineitem) QUALIFY j <= 10
@@ -406,17 +407,17 @@ WITH tops AS (
 SELECT v.k AS l_suppkey, max(v.url) FILTER (v.place = h.best) AS url, count(*) AS n_tried
 FROM visits v LEFT JOIN hits h ON v.k = h.k WHERE h.best IS NULL OR v.place <= h.best GROUP BY v.k""")
 def search_first_success(spark, sf_dir):
-    """For each supplier: its first five parts as pages, the orders of a part as links, and the first dear order as success."""
-    return _searched(spark, sf_dir, 5)
+    """For each supplier: its first 35 parts as pages, the orders of a part as links, and the first dear order as success."""
+    return _searched(spark, sf_dir)
 
 
-@query(SQL["search_first_success"].replace("QUALIFY n <= 5\n", "QUALIFY n <= 35\n"))
+@query(SQL["search_first_success"])
 def search_first_success_35(spark, sf_dir):
-    """search_first_success over as many parts of each supplier as the operator tries by itself."""
+    """search_first_success by another name."""
     return _searched(spark, sf_dir)
 
 
-def _searched(spark, sf_dir, most=35):
+def _searched(spark, sf_dir):
     items, parts, orders = (_t(spark, sf_dir, t) for t in ("lineitem", "part", "orders"))
     of_part = F.concat(F.lit("part"), "l_partkey")
     tops = items.groupBy("l_suppkey", of_part.alias("url")).agg(F.min("l_orderkey").alias("ord"))
@@ -425,4 +426,4 @@ def _searched(spark, sf_dir, most=35):
     pages = parts.select(F.concat(F.lit("part"), "p_partkey").alias("url"), (F.col("p_size") % 3 > 0).alias("ok")).join(links, "url", "left")
     pages = pages.unionByName(orders.select(F.concat(F.lit("order"), "o_orderkey").alias("url"), F.lit(True).alias("ok"), F.array().cast("array<string>").alias("links")))
     dear = orders.where("o_totalprice > 300000").select(F.concat(F.lit("order"), "o_orderkey").alias("url"))
-    return search.first_success(search.visits(tops, pages, "l_suppkey", most=most), dear, "l_suppkey")
+    return search.first_success(search.visits(tops, pages, "l_suppkey"), dear, "l_suppkey")
