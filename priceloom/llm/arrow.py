@@ -51,17 +51,24 @@ def pieces(text: str | bytes, size: int = PIECE_CHARS) -> Iterator:
 
 
 class Memo(dict):
-    """key -> value of a function. Strings over LONG_WORD characters aren't kept, and all are let go once they hold about most bytes."""
+    """key -> value of a function. Strings over LONG_WORD characters aren't kept.
+
+    Once the values hold about most bytes they become the older ones, which are looked up but not added to, and the older ones
+    before them are let go: what is asked for often stays, and 2 most bytes are held at most.
+    """
 
     def __init__(self, fn: Callable, most: int = CACHE_BYTES):
         super().__init__()
-        self.fn, self.most, self.held = fn, most, 0
+        self.fn, self.most, self.held, self.older = fn, most, 0, {}
 
     def __missing__(self, key):
-        value = self.fn(key)
+        value = self.older.get(key, self)
+        if value is self:
+            value = self.fn(key)
         if len(key) <= LONG_WORD:
             self.held += getsizeof(key) + getsizeof(value) + 100
             if self.held > self.most:
+                self.older = dict(self)
                 self.clear()
                 self.held = 0
             self[key] = value

@@ -95,11 +95,8 @@ class Backtracker:
             text = text[:-1] + chr(ord(text[-1]) + 0x1000)
         n, lengths = len(text), self.length
         longest = [None] * n
-        for end, (token, length) in self.trie.iter(text):
-            start = end - length + 1
-            held = longest[start]
-            if held is None or lengths[held] < length:
-                longest[start] = token
+        for end, (token, length) in self.trie.iter(text):  # ends only grow, so the last token of a start is its longest
+            longest[end - length + 1] = token
         out: list[int] = []
         open_at = [True] * (n + 1)
         at, token = 0, longest[0]

@@ -45,7 +45,7 @@ def _hash(kind: str, x: str) -> int:
 
 def features(word: str) -> tuple[int, ...]:
     """Hashes of the word in lower case without signs at its ends, and of its beginnings (0 where it is no longer than they are)."""
-    w = _TRIM.sub("", word).lower()
+    w = (word if word.isalnum() else _TRIM.sub("", word)).lower()
     return (_hash("w", w) if w else 0, *(_hash(str(n), w[:n]) if len(w) > n else 0 for n in PREFIXES))
 
 
@@ -186,8 +186,10 @@ def train(docs: DataFrame, labels: DataFrame, keep, rows: int = 2000, label: str
 def _scorer(shared):
     model: Toxicity = shared.value
 
+    known = model.features
+
     def places(word: str) -> tuple | None:
-        return tuple(model.features[f] for f in features(word) if f in model.features) or None
+        return tuple([known[f] for f in features(word) if f in known]) or None
 
     get = Memo(places).__getitem__
 
