@@ -21,6 +21,8 @@ from .tokens import byte_chars, load
 #: Up to here letters, digits and white space are the same in every version of Unicode that the libraries use.
 _SETTLED = re.compile(r"[^\x00-\x1b\x20-\x84\x86-ɏ‐-‧]")
 _PIECE = re.compile(r"[^\W\d_²³¹¼½¾]+|[^\W_]|'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]|_)+")
+#: Bytes that the newer half of the cache of encoded words may hold; twice as many are held at most.
+WORD_BYTES = 48 << 20
 
 
 class Backtracker:
@@ -138,7 +140,7 @@ def backtracker(path: str) -> Backtracker:
 
 @lru_cache(2)
 def _words(path: str) -> Memo:
-    return Memo(backtracker(path).word)
+    return Memo(backtracker(path).word, WORD_BYTES)
 
 
 def _pieces(tok, text: str) -> list[str]:
