@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, licenses, media, mixing, quality_model, rules, tokens, toxicity
+from . import audit, bpe, chat, jaccard, licenses, media, mixing, quality_model, rules, tokens, toxicity
 from .arrow import crc_mod
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -73,8 +73,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.concat_ws(",", "base_labels").alias("base_labels"), F.concat_ws(",", "found_labels").alias("labels"), "score")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
-    made = (op1_chat_format, op2_token_counts, op3_quality_model, op4_media_columns, op5_jaccard_join, op6_quality_rules, op7_source_mix, op8_bpe_round_trip, op9_toxicity, op10_license_scan)
+    made = (op1_chat_format, op2_token_counts, op3_quality_model, op4_media_columns, op5_jaccard_join, op6_quality_rules, op7_source_mix, op8_bpe_round_trip, op9_toxicity, op10_license_scan, op11_filter_audit)
     return {f.__name__: f for f in made}
 
 
@@ -121,5 +125,39 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other)
 """
 
 
+_AUDIT = r"""
+WITH d AS (
+  SELECT coalesce(source, '') AS part, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), said AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM d LEFT JOIN said USING (doc_id)
+), counted AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT o, i AS step, list_sum([1 << (ascii(x) - 65) for x in string_split(o[: i - 1], '') if x <> ''])::INT AS b4, 1 << (ascii(o[i]) - 65) AS own
+  FROM orders, range(1, 6) r(i)
+), told AS (
+  SELECT part, o AS filter_order, step::INT AS step, own,
+         coalesce(sum(n) FILTER (mask & (coalesce(b4, 0) | own) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & coalesce(b4, 0) = 0 AND mask & own > 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & coalesce(b4, 0) > 0 AND mask & own > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & coalesce(b4, 0) = 0 AND mask & own > 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & coalesce(b4, 0) = 0 AND mask & own > 0), 0)::BIGINT AS toxic_lost
+  FROM counted, steps GROUP BY ALL
+)
+SELECT * EXCLUDE (own), sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM told
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": _CHAT, "op5_jaccard_join": _JACCARD}
+    return {"op1_chat_format": _CHAT, "op5_jaccard_join": _JACCARD, "op11_filter_audit": _AUDIT}
