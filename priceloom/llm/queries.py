@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, bpe, chat, jaccard, licenses, media, mixing, quality_model, rules, tokens, toxicity
+from . import audit, bpe, chat, jaccard, licenses, media, mixing, quality_model, rules, tokens, toxicity, warc
 from .arrow import crc_mod
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -77,8 +77,13 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+
+
 def queries() -> dict:
-    made = (op1_chat_format, op2_token_counts, op3_quality_model, op4_media_columns, op5_jaccard_join, op6_quality_rules, op7_source_mix, op8_bpe_round_trip, op9_toxicity, op10_license_scan, op11_filter_audit)
+    made = (op1_chat_format, op2_token_counts, op3_quality_model, op4_media_columns, op5_jaccard_join, op6_quality_rules, op7_source_mix, op8_bpe_round_trip, op9_toxicity, op10_license_scan, op11_filter_audit, op12_warc)
     return {f.__name__: f for f in made}
 
 
@@ -159,5 +164,13 @@ SELECT * EXCLUDE (own), sum(removed) OVER (PARTITION BY part, own)::BIGINT AS sh
 """
 
 
+_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+sized AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest, max(page_id) OVER (PARTITION BY html) AS last FROM p),
+told AS (SELECT *, payload_bytes >= 1000 AND last > page_id AS again FROM sized)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN coalesce(again, false) THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN last END AS refers_to, NULL::VARCHAR AS problem FROM told
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": _CHAT, "op5_jaccard_join": _JACCARD, "op11_filter_audit": _AUDIT}
+    return {"op1_chat_format": _CHAT, "op5_jaccard_join": _JACCARD, "op11_filter_audit": _AUDIT, "op12_warc": _WARC}
