@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, bpe, chat, jaccard, licenses, media, mixing, quality_model, rules, tokens, toxicity, warc
+from . import audit, bpe, chat, divergence, jaccard, licenses, media, mixing, quality_model, rules, tokens, toxicity, warc
 from .arrow import crc_mod
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -82,8 +82,12 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    made = (op1_chat_format, op2_token_counts, op3_quality_model, op4_media_columns, op5_jaccard_join, op6_quality_rules, op7_source_mix, op8_bpe_round_trip, op9_toxicity, op10_license_scan, op11_filter_audit, op12_warc)
+    made = (op1_chat_format, op2_token_counts, op3_quality_model, op4_media_columns, op5_jaccard_join, op6_quality_rules, op7_source_mix, op8_bpe_round_trip, op9_toxicity, op10_license_scan, op11_filter_audit, op12_warc, op13_source_divergence)
     return {f.__name__: f for f in made}
 
 
@@ -172,5 +176,37 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN coalesce(again, false)
 """
 
 
+_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), said AS (
+  SELECT n, lang, source, unnest(terms) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM said GROUP BY ALL HAVING count(DISTINCT n) >= 30
+), counted AS (
+  SELECT lang, source, term, count(*) AS c FROM said JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM d
+), totals AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce((SELECT sum(c) FROM counted k WHERE k.lang = g.lang AND k.source = g.source), 0) AS n,
+         coalesce((SELECT sum(c) FROM counted k WHERE k.lang = g.lang), 0) AS all_n FROM groups g LEFT JOIN sizes USING (lang)
+), shares AS (
+  SELECT t.lang, t.source, term, coalesce(c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c, 0) + 5)) // (n + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (sum(coalesce(c, 0)) OVER (PARTITION BY t.lang, term) + 5)) // (all_n + 5 * v) AS q
+  FROM totals t JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y USING (lang, term) WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+), ahead AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM shares WHERE c > 0 AND p > q
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INT AS rank FROM (FROM pairs UNION ALL FROM ahead) QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": _CHAT, "op5_jaccard_join": _JACCARD, "op11_filter_audit": _AUDIT, "op12_warc": _WARC}
+    return {"op1_chat_format": _CHAT, "op5_jaccard_join": _JACCARD, "op11_filter_audit": _AUDIT, "op12_warc": _WARC, "op13_source_divergence": _DIVERGENCE}
