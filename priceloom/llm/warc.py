@@ -291,7 +291,7 @@ class _Reader(DataSourceReader):
                 held = 0
             tasks[-1].paths.append(f.path)
             held += f.size + (4 << 20)  # a file's opening counts as some bytes
-        return tasks
+        return tasks or [_Archive([])]
 
     def read(self, partition: _Archive) -> Iterator[pa.RecordBatch]:
         at = _place(self.path)[0]
