@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import norm_name
 from ..functions.urls import host_core
+from ..sources.documents import small, written
+from .contain import best_contained, contained, first_listed
 
-#: Facilities up to which their table is broadcast for the containment join; beyond, pages meet them in blocks by shuffle.
-BROADCAST_ROWS = 100_000
+#: Facilities, and hosts that a name holds, up to which they are broadcast to the rows that matched them.
+BROADCAST_ROWS = 200_000
 
 #: Names of guesthouses, and of halls and the like that are none.
 WANTED, UNWANTED = r"polis", r"d[uü][gğ][uü]n|salon|spor|yemek|kayak|kongre|pekom|moral"
@@ -24,31 +26,41 @@ def candidate_filter(name: Column, wanted: str = WANTED, unwanted: str = UNWANTE
     return name.rlike("(?iu)" + wanted) & ~name.rlike("(?iu)" + unwanted)
 
 
-def score(blob: Column, core_of_host: Column, name: Column, core: Column) -> Column:
-    """120 + length of a name found whole; else the better of 60 + length of its core found and 80 + length of a host core inside it."""
-    by_core = F.when((F.length(core) >= 4) & blob.contains(core), 60 + F.length(core)).otherwise(0)
-    by_host = F.when((F.length(core_of_host) >= 4) & name.contains(core_of_host), 80 + F.length(core_of_host)).otherwise(0)
-    return F.when((name != "") & blob.contains(name), 120 + F.length(name)).otherwise(F.greatest(by_core, by_host))
+#: What a name found whole, a host's core inside a name, and a name's core found count for, besides their length; least length of cores.
+BY_NAME, BY_HOST, BY_CORE, LEAST_CORE = 120, 80, 60, 4
+
+
+def page_blob(url: Column, title: Column, text: Column) -> Column:
+    """What names are looked for in: title, host and the first 4,000 characters of the text, in normal form."""
+    host = F.lower(F.replace(F.coalesce(F.try_parse_url(url, F.lit("AUTHORITY")), F.lit("")), F.lit("www."), F.lit("")))
+    return norm_name(F.concat_ws(" ", title, host, F.substring(text, 1, 4000)))
 
 
 def match_pages(pages: DataFrame, facilities: DataFrame, page_key: str = "url") -> DataFrame:
     """page_key, ord, il, isim and score of each page's best facility; the first listed wins ties.
 
-    pages has page_key, url, title and text; facilities ord, il and isim. A page and a name meet by containment, which no key can
-    stand for: the facilities, normalised once, are broadcast if they are few (a checked count), else both sides are cut in blocks
-    that meet by key.
+    pages has page_key, url, title and text (nulls: empty), facilities ord (each once), il and isim. A name found whole in a page counts
+    120 and its length, a name's core (what stands before "ogretmen") found there 60, and a host's core inside a name 80, cores from four
+    characters on. A facility counts as the largest of the three; the first exceeds the others wherever it holds. So each kind is one
+    containment join, of pages for names and cores and of names for the distinct cores of hosts, and no page meets a facility with
+    which it has nothing in common. Pages that match nothing have no row; pages of one key count together; empty tables give none.
     """
-    blob = norm_name(F.concat_ws(" ", "title", F.lower(F.replace(F.coalesce(F.try_parse_url("url", F.lit("AUTHORITY")), F.lit("")), F.lit("www."), F.lit(""))), F.substring("text", 1, 4000)))
-    left = pages.select(F.col(page_key).alias("page_key"), blob.alias("blob"), host_core(F.col("url")).alias("host_core"))
-    right = facilities.select("ord", "il", "isim", norm_name(F.col("isim")).alias("fn")).withColumn("core", F.regexp_extract("fn", "^(.+?)ogretmen", 1))
-    points = score(F.col("blob"), F.col("host_core"), F.col("fn"), F.col("core"))
-    if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        met = left.join(F.broadcast(right), points > 0)
-    else:
-        blocks = 64
-        met = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(right.withColumn("block", F.pmod(F.hash("fn", "ord"), F.lit(blocks))), "block").where(points > 0)
-    best = met.groupBy("page_key").agg(F.max_by(F.struct("ord", "il", "isim", points.alias("score")), F.struct(points, -F.col("ord"))).alias("best"))
-    return best.select(F.col("page_key").alias(page_key), "best.*")
+    named = facilities.select("ord", norm_name(F.col("isim")).alias("fn")).withColumn("core", F.regexp_extract("fn", "^(.+?)ogretmen", 1))
+    cores = named.where(F.length("core") >= LEAST_CORE)
+    wanted = first_listed(named, F.col("fn"), BY_NAME).unionByName(first_listed(cores, F.col("core"), BY_CORE))
+    # A string that is both a name and a core counts as the name.
+    wanted = wanted.groupBy("pattern").agg(F.max("weight").alias("weight"), F.max_by("ord", "weight").alias("ord"))
+    told = pages.select(F.col(page_key).alias("key"), page_blob(F.col("url"), F.col("title"), F.col("text")).alias("text"))
+    in_pages = best_contained(told, wanted).select("key", "ord", F.col("weight").alias("score"))
+
+    hosts = pages.select(F.col(page_key).alias("key"), host_core(F.col("url")).alias("pattern")).where(F.length("pattern") >= LEAST_CORE)
+    names = named.select(F.col("ord").alias("key"), F.col("fn").alias("text"))
+    of_host = contained(names, hosts.select("pattern").distinct()).groupBy("pattern").agg(F.min("key").cast("long").alias("ord"))
+    by_host = hosts.join(small(written(of_host, "hosts"), BROADCAST_ROWS), "pattern").select("key", "ord", (F.length("pattern") + BY_HOST).cast("long").alias("score"))
+
+    best = in_pages.unionByName(by_host).groupBy("key").agg(F.max_by(F.struct("ord", "score"), F.struct("score", -F.col("ord"))).alias("best"))
+    listed = small(facilities.select("ord", "il", "isim"), BROADCAST_ROWS)
+    return best.select("key", "best.*").join(listed, "ord").select(F.col("key").alias(page_key), "ord", "il", "isim", F.col("score").cast("int").alias("score"))
 
 
 def pick_facility(facilities: DataFrame) -> DataFrame:

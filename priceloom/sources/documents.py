@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named or "/tmp/checkpoints/priceloom"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written to a new place in the shared folder and read again: what follows reads it instead of computing it anew."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, most: int) -> DataFrame:
+    """df marked for broadcast if it has at most `most` rows, by a count, else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def facilities(spark: SparkSession, paths: list[str], required: bool = True) -> DataFrame:
     """ord, il, isim and tip of the first of the paths that exists; ord is the place in its list."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
