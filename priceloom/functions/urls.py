@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -48,8 +49,40 @@ def province_urls(province: Column) -> Column:
     return F.array_distinct(F.array(*[F.concat(F.lit("https://" + www), slug, F.lit(".pol.tr"), p) for www in ("www.", "") for p in paths]))
 
 
+#: What is searched for, with the province's slug and name; the search page; the links on it that are results; what results must have
+#: in their addresses, as they stand and behind a redirect.
+SEARCHES = ("site:{slug}.pol.tr 2026 polisevi fiyat", "{il} polisevi 2026 fiyat listesi site:pol.tr")
+SEARCH_PAGE, RESULT_LINK = "https://html.duckduckgo.com/html/?q=", "a.result__a"
+RESULT_WORDS, TARGET_WORDS = ("pol.tr", "gov.tr", "meb.gov.tr"), (".pol.tr", ".gov.tr", "meb.gov.tr")
+
+
+def form_encode(c: Column) -> Column:
+    """c as a form's value: blanks as plus, all but letters, digits and _ . - ~ percent-encoded in UTF-8."""
+    return F.replace(F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def search_queries(province: Column) -> Column:
-    return F.array(F.concat(province, F.lit(" polisevi 2026 fiyat listesi")), F.concat(province, F.lit(" polisevi konaklama ücretleri 2026")))
+    """The two searches for a province, in order."""
+    filled = lambda said: F.concat(*[{"slug": province_slug(province), "il": province}.get(x, F.lit(x)) for x in re.split("[{}]", said) if x])
+    return F.array(*[filled(said) for said in SEARCHES])
+
+
+def search_urls(province: Column, page: str = SEARCH_PAGE) -> Column:
+    """The addresses of the result pages of search_queries."""
+    return F.transform(search_queries(province), lambda q: F.concat(F.lit(page), form_encode(q)))
+
+
+def result_urls(parsed: Column, most: int = 12) -> Column:
+    """The results on a search page of parse_pages with select=RESULT_LINK: an array of the first `most` distinct addresses.
+
+    First the marked links with a word of RESULT_WORDS in their address, then the targets of all redirects that have one of
+    TARGET_WORDS, each in the page's order; only those that begin with http. Null for a null page.
+    """
+    has = lambda url, words: F.greatest(*[url.contains(w) for w in words])
+    plain = F.transform(F.filter(parsed["links"], lambda x: x["marked"] & has(x["href"], RESULT_WORDS)), lambda x: x["href"])
+    wrapped = F.transform(F.filter(parsed["links"], lambda x: x["href"].rlike("uddg=[^&]")), lambda x: unwrap_redirect(x["href"]))
+    found = F.concat(plain, F.filter(wrapped, lambda x: has(x, TARGET_WORDS)))
+    return F.slice(F.array_distinct(F.filter(found, lambda x: x.startswith("http"))), 1, most)
 
 
 def link_wanted(href: Column, text: Column, url: Column, words: tuple = LINK_WORDS, domain: str = "pol.tr") -> Column:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.html import page_text
 from ..sources.documents import live_pages
 from .match import first_per_key, match_pages
 from .tariff import PROBE, Profile, entries, parse_of_year
@@ -39,7 +40,7 @@ def run(pages: DataFrame, facilities: DataFrame, old: DataFrame, profile: Profil
     live = live_pages(pages).where("url IS NOT NULL").select("url", F.col("ord").alias("page_ord"), "html")
     parsed = parse_of_year(live, profile)
     priced = entries(parsed, profile, keep=("page_ord", "parsed"))
-    words = priced.select("url", F.col("parsed.title").alias("title"), F.col("parsed.text").alias("text"))
+    words = priced.select("url", F.col("parsed.title").alias("title"), page_text(F.col("parsed")).alias("text"))
     matched = match_pages(words, facilities).select("url", "il", "isim")
     named = priced.drop("parsed").join(matched, "url")
     first = first_per_key(named, ["il", "isim"], ["page_ord", "url"]).select(*COLUMNS)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import parse_pages
+from ..functions.html import page_text, parse_pages, piece_text
 from ..functions.money import range_of, scan_money
 from ..functions.text import bind, fold
 
@@ -79,35 +79,49 @@ def pick(prices: Column, profile: Profile) -> Column:
     return F.when(F.size(prices) >= 3, F.element_at(prices, -1)).otherwise(F.array_max(prices))
 
 
-def table_prices(tables: Column, profile: Profile) -> Column:
-    """struct(kurum, kamu, sivil) of the arrays of room prices in all tables of a page.
+def table_prices(parsed: Column, profile: Profile) -> Column:
+    """struct(kurum, kamu, sivil) of the arrays of room prices in all tables of a page of parse_pages; null for a null page.
 
     A table's header is the first of its first five rows whose cells give roles; rows after it count whose first cell has none of
-    the profile's words. All of it is narrow: arrays of the page's own row, no shuffle.
+    the profile's words. A table's rows are those of tables within it too. All of it is narrow, arrays of the page's own row: no shuffle,
+    and each cell's text is made once, tables and rows being ranges of cells.
     """
     roles = roles_probe if profile.name == "probe" else roles_scan
+    words, others = "|".join(map(re.escape, profile.labels)), "|".join(map(re.escape, profile.tables))
+    texts = lambda spans: F.transform(spans, lambda s: piece_text(parsed["pieces"], s))
+    size = lambda row: row["last"] - row["first"]
 
-    def of_table(table: Column) -> Column:
-        head = F.filter(F.transform(F.slice(table["rows"], 1, 5), lambda r, i: F.struct(i.alias("at"), roles(r).alias("roles"))), lambda h: h["roles"].isNotNull())
-        words = "|".join(map(re.escape, profile.labels))
-        heads = fold(F.array_join(F.slice(table["heads"], 1, 8), " "))
+    def of_page(cells: Column) -> Column:
+        def of_table(table: Column) -> Column:
+            rows = F.slice(parsed["rows"], table["first_row"] + 1, table["last_row"] - table["first_row"])
+            return bind(rows, lambda rows: F.when((F.size(rows) >= 2) & ~ruled_out(table), below(rows)))
 
-        def below(first: Column) -> Column:
-            rows = F.filter(table["rows"], lambda r, i: (i > first["at"]) & (F.size(r) >= 2) & ~F.coalesce(fold(F.get(r, F.lit(0))).rlike(words), F.lit(False)))
-            return F.when(first.isNotNull(), F.struct(first["roles"].alias("roles"), rows.alias("rows"), F.size(table["rows"]).alias("n"), heads.alias("head")))
+        def ruled_out(table: Column) -> Column:
+            if not others:
+                return F.lit(False)
+            heads = F.slice(parsed["heads"], table["first_head"] + 1, F.least(table["last_head"] - table["first_head"], F.lit(8)))
+            return fold(F.array_join(texts(heads), " ")).rlike(others)
 
-        return bind(F.get(head, F.lit(0)), below)
+        def below(rows: Column) -> Column:
+            told = F.transform(F.slice(rows, 1, 5), lambda r, i: F.struct(i.alias("at"), roles(F.slice(cells, r["first"] + 1, size(r))).alias("roles")))
+            head = F.get(F.filter(told, lambda h: h["roles"].isNotNull()), F.lit(0))
 
-    found = F.filter(F.transform(tables, of_table), lambda t: t.isNotNull() & (t["n"] >= 2))
-    if profile.tables:
-        found = F.filter(found, lambda t: ~t["head"].rlike("|".join(map(re.escape, profile.tables))))
+            def kept(first: Column) -> Column:
+                named = F.filter(rows, lambda r, i: (i > first["at"]) & (size(r) >= 2) & ~F.coalesce(fold(F.get(cells, r["first"])).rlike(words), F.lit(False)))
+                return F.when(first.isNotNull(), F.struct(first["roles"].alias("roles"), named.alias("rows")))
 
-    def prices(kept: Column, role: str) -> Column:
-        cells = F.flatten(F.transform(kept, lambda t: F.transform(t["rows"], lambda r: F.get(r, t["roles"][role]))))
-        picked = F.transform(cells, lambda c: bind(scan_money(c), lambda found: pick(found, profile)))
-        return F.filter(picked, lambda p: p.between(profile.floor, profile.top)).alias(role)
+            return bind(head, kept)
 
-    return bind(found, lambda kept: F.struct(*[prices(kept, r) for r in ROLES]))
+        def prices(tables: Column, role: str) -> Column:
+            cell = lambda t, r: F.when(t["roles"][role] < size(r), F.get(cells, r["first"] + t["roles"][role]))
+            asked = F.flatten(F.transform(tables, lambda t: F.transform(t["rows"], lambda r: cell(t, r))))
+            picked = F.transform(asked, lambda c: bind(scan_money(c), lambda found: pick(found, profile)))
+            return F.filter(picked, lambda p: p.between(profile.floor, profile.top)).alias(role)
+
+        found = F.filter(F.transform(parsed["tables"], of_table), lambda t: t.isNotNull())
+        return bind(found, lambda tables: F.struct(*[prices(tables, r) for r in ROLES]))
+
+    return bind(texts(parsed["cells"]), of_page)
 
 
 def accepted(prices: Column, profile: Profile) -> Column:
@@ -224,7 +238,7 @@ def entries(parsed: DataFrame, profile: Profile, url: str = "url", keep: tuple =
 
     scan: where tables give fewer than two prices for kurum or sivil, the stacked lines of the text count instead.
     """
-    page = parsed.withColumn("prices", table_prices(F.col("parsed.tables"), profile)).withColumn("said", F.col("parsed.text"))
+    page = parsed.withColumn("prices", table_prices(F.col("parsed"), profile)).withColumn("said", page_text(F.col("parsed")))
     text = F.col("said")
     if profile.name == "probe":
         page = page.where(gates_probe(F.lit(YEAR) if "html_year" not in page.columns else F.when(F.col("html_year"), F.lit(YEAR)), text))

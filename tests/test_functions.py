@@ -1,3 +1,7 @@
+import random
+import time
+from urllib.parse import quote_plus
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,8 +83,102 @@ def test_parser_nested_and_broken(spark):
     got = html.parse_pages(spark.createDataFrame([(1, page), (2, None), (3, "")], "id int, html string")).orderBy("id").collect()
     p = got[0]["parsed"]
     assert p["title"] == "T & U" and p["links"][0]["href"] == "/x" and p["links"][0]["text"] == "go on"
-    assert p["tables"][0]["rows"][0][:1] == ["a"] and ["c"] in p["tables"][0]["rows"] and p["tables"][1]["rows"] == [["c"]] and p["tables"][0]["heads"] == ["K"]
-    assert got[1]["parsed"] is None and got[2]["parsed"]["text"] == ""
+    rows, heads = tables(p)
+    assert rows == [[["a", "b c", "c"], ["c"]], [["c"]]] and heads == [["K"], []]
+    assert got[1]["parsed"] is None and got[2]["parsed"]["pieces"] == []
+
+
+def tables(p):
+    """The rows and the heads of each table of a parsed page, as texts."""
+    said = lambda span: " ".join(p["pieces"][span["first"] : span["last"]])
+    row = lambda r: [said(c) for c in p["cells"][r["first"] : r["last"]]]
+    return [[row(r) for r in p["rows"][t["first_row"] : t["last_row"]]] for t in p["tables"]], [[said(h) for h in p["heads"][t["first_head"] : t["last_head"]]] for t in p["tables"]]
+
+
+def parsed(source, select=""):
+    return html._column([html._Page(source, html.selector(select))]).to_pylist()[0]
+
+
+PAGES = {
+    "<table><tr><td>a<td>b<tr><td>c</table>": [[["a", "b"], ["c"]]],
+    "<table><tr><td><div>a<td>b</div>c</table>d": [[["a", "bc"]]],
+    "<table><tr><td>a</tr></div></tr><tr><th>b</table>": [[["a"], ["b"]]],
+    "<table><tbody><tr><td>a<tfoot><tr><td>b<caption>k<tr><td>c": [[["a"], ["b"], ["c"]]],
+    "<table><tr><td>a<table><tr><td>b</td></tr></table>c<td>d</table>": [[["a b c", "b", "d"], ["b"]], [["b"]]],
+    "<table><tr><td>a</td><table><tr><td>b": [[["a"]], [["b"]]],
+    "<TABLE><TR><TD>a&amp;&lt;b&nbsp;</TD></TR></TABLE>": [[["a&<b"]]],
+    "<tr><td>no table</td></tr>": [],
+    "<table><tr><td>a</b></i>b<!-- x -->c</td></tr></table>": [[["ab c"]]],
+    "<table><tr><td><script>if (a<b) '</td>'</script>x<style>y</style></table>": [[["x"]]],
+    "<table><tr><td title='a>b' class=\"x\" y=1>c": [[["c"]]],
+    "<table><td>a</td><tr><td>b": [[["b"]]],
+}
+
+
+@pytest.mark.parametrize("source", PAGES)
+def test_tables_of_broken_pages(source):
+    assert tables(parsed(source))[0] == PAGES[source]
+
+
+def test_stray_text_stands_before_its_table():
+    p = parsed("a<table>x<tr>y<td>b<table>z<tr><td>c</table>d</td></tr>w<tr><td>e</table>f")
+    assert p["pieces"] == ["a", "x", "y", "w", "b", "z", "c", "d", "e", "f"]
+    assert tables(p)[0] == [[["b z c d", "c"], ["c"], ["e"]], [["c"]]]
+
+
+def test_selectors():
+    source = '<div class="hits big"><p><a class="x result" href=1>a</a><a href=2 class=result>b</a></div><a class=result href=3>c</a><a class=result>d</a>'
+    marked = lambda select: [x["href"] for x in parsed(source, select)["links"] if x["marked"]]
+    assert marked("a.result") == ["1", "2", "3"] and marked("div.hits a.result") == ["1", "2"] and marked(".hits.big p a.x") == ["1"] and marked("") == marked("td a") == []
+
+
+@pytest.mark.parametrize("source", ["<![foo bar]]>x", "<!", "<!-", "<!-->x", "<!--", "<?php", "</", "<a", "<a href='", "<a href=x", "&#" + "9" * 5000 + ";x", "<table" * 9, "</table></td></a>", "\x00<\x00>", "<title>a<title>b", "<script>", "<![CDATA[<td>]]>"])
+def test_no_page_fails(source):
+    assert parsed(source) is not None
+
+
+def test_random_pages_dont_fail():
+    draw = random.Random(11)
+    parts = ["<table>", "<tr>", "<td>", "<th>", "</td>", "</tr>", "</table>", "<caption>", "<tbody>", "<a href=x>", "</a>", "<p>", "<div class='a b'>", "</div>", "<title>", "</title>", "<script>", "</script>", "<!--", "-->", "<", ">", "&", "&amp;", "&#x;", "'", '"', "x", " ", "<li>", "<template>", "</template>", "<br>", "<![", "]]>", "<b", "=", "/"]
+    for _ in range(3000):
+        p = parsed("".join(draw.choices(parts, k=draw.randrange(60))), "div.a a")
+        spans = [*p["cells"], *p["heads"]]
+        assert all(0 <= s["first"] <= s["last"] <= len(p["pieces"]) for s in spans) and all(0 <= r["first"] <= r["last"] <= len(p["cells"]) for r in p["rows"])
+        assert all(0 <= t["first_row"] <= t["last_row"] <= len(p["rows"]) and 0 <= t["first_head"] <= t["last_head"] <= len(p["heads"]) for t in p["tables"])
+
+
+HOSTILE = {"tables": "<table><tr><td>x", "cells": "<td>x", "deep": "<div><b>", "links": "<a href=x>y", "titles": "<title>", "quotes": "<a b='", "comments": "<!--x", "ends": "<p></table></i>", "strays": "<table>x<b>y"}
+
+
+@pytest.mark.parametrize("part", HOSTILE)
+def test_time_and_size_follow_the_source(part):
+    took = []
+    for n in (4_000, 16_000):
+        began = time.process_time()
+        made = html._column([html._Page(HOSTILE[part] * n)])
+        took.append(time.process_time() - began)
+        assert made.nbytes < 40 * len(HOSTILE[part]) * n + 10_000
+    assert took[1] < 10 * took[0] + 0.2
+
+
+def test_nested_tables_in_spark(spark):
+    pages = spark.createDataFrame([("u", "2026 oda" + "<table><tr><td>Üye/Öğretmen<td>Sivil<tr><td>700 TL" * 2000)], "url string, html string")
+    assert tariff.entries(html.parse_pages(pages), tariff.PROBE).first()["fiyat_kurum_personeli"] == "700 TL"
+
+
+def test_search_pages(spark):
+    page = """<a href="https://x.gov.tr/p">no result</a><div class=r><a class="result__a" href="https://www.bolu.pol.tr/a">A</a><a class=result__a href="/l?uddg=https%3A%2F%2Fb.gov.tr%2Fc%2Bd&z">B</a></div>
+    <a class=result__a href="ftp://pol.tr/x">F</a><a href="?uddg=">E</a><a href="//e/?uddg=http%3A%2F%2Fother.com">O</a><a class=result__a href="https://www.bolu.pol.tr/a">A</a>""" + "".join(f"<a class=result__a href=http://s{i}.pol.tr>S</a>" for i in range(20))
+    got = html.parse_pages(spark.createDataFrame([(1, page), (2, None), (3, "")], "id int, html string"), select=urls.RESULT_LINK).select("id", urls.result_urls(F.col("parsed")).alias("u")).orderBy("id").collect()
+    assert got[0]["u"] == ["https://www.bolu.pol.tr/a", *[f"http://s{i}.pol.tr" for i in range(11)]] and got[1]["u"] is None and got[2]["u"] == []
+    few = html.parse_pages(spark.createDataFrame([(page[: page.index("<a class=result__a href=http://s0")],)], "html string"), select=urls.RESULT_LINK).select(urls.result_urls(F.col("parsed"))).first()[0]
+    assert few == ["https://www.bolu.pol.tr/a", "https://b.gov.tr/c+d"]
+
+
+def test_form_encode(spark):
+    said = ["a b", "çğ*~-_.", "site:x.pol.tr 100%+&=?/", "", None, "日本"]
+    assert values(spark, said, urls.form_encode) == [None if s is None else quote_plus(s) for s in said]
+    assert values(spark, ["Çorum"], urls.search_urls)[0] == [urls.SEARCH_PAGE + quote_plus(q) for q in ("site:corum.pol.tr 2026 polisevi fiyat", "Çorum polisevi 2026 fiyat listesi site:pol.tr")]
 
 
 def test_fixture_page(spark):
