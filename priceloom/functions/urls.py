@@ -49,6 +49,11 @@ def province_urls(province: Column) -> Column:
     return F.array_distinct(F.array(*[F.concat(F.lit("https://" + www), slug, F.lit(".pol.tr"), p) for www in ("www.", "") for p in paths]))
 
 
+def province_homes(province: Column) -> Column:
+    """Both addresses of a province's home page."""
+    return F.array(*[F.concat(F.lit("https://" + www), province_slug(province), F.lit(".pol.tr")) for www in ("www.", "")])
+
+
 #: What is searched for, with the province's slug and name; the search page; the links on it that are results; what results must have
 #: in their addresses, as they stand and behind a redirect.
 SEARCHES = ("site:{slug}.pol.tr 2026 polisevi fiyat", "{il} polisevi 2026 fiyat listesi site:pol.tr")
