@@ -1,3 +1,6 @@
+import json
+
+from priceloom.streaming.buckets import BucketState, FlushSink
 from priceloom.streaming.incremental import UpsertSink, run_available
 from priceloom.streaming.progress import ProgressSink
 
@@ -35,3 +38,46 @@ def test_progress_goes_on_after_restart(spark, tmp_path):
         ProgressSink(lambda batch, n: None, path, 6, "k = 0")(frame(spark, *[(i, "v", 0) for i in range(rows)]), number)
     said = ProgressSink(None, path, 6, "k = 0").read(spark)
     assert (said["done"], said["found"], said["total"]) == (6, 3, 6)
+
+
+def size(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_bucket_state(spark, tmp_path):
+    state = lambda: BucketState(spark, str(tmp_path), ["k"], "at", ROWS, buckets=16)
+    assert state().result().count() == 0 and state().result().columns == ["k", "v", "at"]
+    many = [(k, "x" * 50, 0) for k in range(4000)]
+    assert state().merge(frame(spark, *many), 0) == 16
+    want = {k: (v, at) for k, v, at in many}
+    for number, rows in enumerate(([(5, "a", 1), (9000, "b", 1)], [(5, "old", 0), (None, "n", 3)], [(5, "c", 7), (6, "d", 7)]), 1):
+        for _ in range(2):  # run again
+            written = state().merge(frame(spark, *rows), number)
+            assert 1 <= written <= len(rows)
+        assert size(tmp_path / "data" / f"v{number}") < size(tmp_path / "data") / 4
+        for k, v, at in rows:
+            if k not in want or want[k][1] <= at:
+                want[k] = (v, at)
+    assert {r["k"]: (r["v"], r["at"]) for r in state().result().collect()} == want
+    # Each bucket stays in the versions that the last two manifests name.
+    kept = {n for m in sorted(tmp_path.glob("manifest-*"))[-2:] for n in json.loads(m.read_text())["buckets"].items()}
+    assert {(f.name.split("=")[1], int(f.parent.name[1:])) for f in (tmp_path / "data").glob("v*/bucket_=*")} == kept and len(list(tmp_path.glob("manifest-*"))) == 2
+    assert state().merge(frame(spark, (1, "x", 1)).limit(0), 9) == 0 and state().result().count() == len(want)
+
+
+def test_flush_of_every_third_hit(spark, tmp_path):
+    rows = [(k % 5, "hit" if k % 3 else "miss", k) for k in range(40)]
+    hits = [r for r in rows if r[1] == "hit"]
+    sink = lambda: FlushSink(BucketState(spark, str(tmp_path), ["k"], "at", ROWS, buckets=4), "v = 'hit'")
+    last = lambda rows: {k: at for k, _, at in rows}
+    seen = 0
+    for number, cut in enumerate((1, 2, 9, 10, 31, 40)):
+        batch = frame(spark, *rows[seen:cut])
+        for _ in range(2):  # run again, as after a restart
+            sink()(batch, number)
+        seen = cut
+        so_far = [r for r in rows[:cut] if r[1] == "hit"]
+        assert sink().counts() == {"hits": len(so_far), "flushes": len(so_far) // 3}
+        assert {r["k"]: r["at"] for r in sink().state.result().collect()} == last(so_far[: len(so_far) // 3 * 3])
+    sink().finish()
+    assert {r["k"]: r["at"] for r in sink().state.result().collect()} == last(hits)
