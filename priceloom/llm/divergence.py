@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ BLOCK_CELLS, BLOCK_TERMS = 1 << 16, 64
 #: What counting keeps: letters A-Z and a-z and all beyond ASCII, A-Z lower-cased; else blanks. In UTF-8 the bytes from 0x80 on are letters.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-TERMS = "lang_id long, source_id long, digest long, docs long, occurs long, term string"
+TERMS = "lang_id long, source_id long, digest long, docs long, occurs long, part long, term string"
 
 
 def terms_of(text: str | None) -> Counter:
@@ -38,17 +40,28 @@ def terms_of(text: str | None) -> Counter:
 def count_terms(docs: DataFrame, bits: int = 64) -> DataFrame:
     """TERMS of docs (lang_id, source_id, text): documents and occurrences of each term, added up until a task holds HELD_TERMS of them.
 
-    digest is the low `bits` bits of the term's hash: few bits make terms collide, for tests.
+    digest is the low `bits` bits of the term's hash: few bits make terms collide, for tests. Of what a task gives at once, which part names,
+    a language's term stands in the first row of its digest only, and is null in the others; where terms share a digest it stands in all.
     """
     mask, names = (1 << bits) - 1, [f.split()[0] for f in TERMS.split(", ")]
 
     def gathered(held: dict) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (in_docs, occurs) in held.items():
-            terms = list(in_docs)
-            digests = np.fromiter((xxhash.xxh3_64_intdigest(t) & mask for t in terms), np.uint64, len(terms)).view(np.int64)
-            same = [pa.array(np.full(len(terms), x, np.int64)) for x in (lang, source)]
-            numbers = [pa.array(np.fromiter((c[t] for t in terms), np.int64, len(terms))) for c in (in_docs, occurs)]
-            yield pa.RecordBatch.from_arrays([*same, pa.array(digests), *numbers, pa.array(terms, pa.binary()).cast(pa.string())], names)
+        part = uuid.uuid4().int >> 65
+        for lang in {lang for lang, _ in held}:
+            groups = [(source, *counts) for (own, source), counts in held.items() if own == lang]
+            sizes = [len(in_docs) for _, in_docs, _ in groups]
+            terms = pa.array([t for _, in_docs, _ in groups for t in in_docs], pa.binary())
+            digests = np.fromiter((xxhash.xxh3_64_intdigest(t) & mask for _, in_docs, _ in groups for t in in_docs), np.uint64, len(terms))
+            first, of = np.unique(digests, return_index=True, return_inverse=True)[1:]
+            clash = np.zeros(len(first), bool)
+            clash[of[pc.not_equal(terms, terms.take(pa.array(first[of]))).to_numpy(zero_copy_only=False)]] = True
+            said = clash[of]
+            said[first] = True
+            numbers = [np.fromiter((c[at][t] for c in groups for t in c[1]), np.int64, len(terms)) for at in (1, 2)]
+            source = np.repeat(np.array([g[0] for g in groups], np.int64), sizes)
+            same = [pa.array(np.full(len(terms), x, np.int64)) for x in (lang, part)]
+            term = pc.if_else(pa.array(said), terms, None).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([same[0], pa.array(source), pa.array(digests.view(np.int64)), *map(pa.array, numbers), same[1], term], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
@@ -88,7 +101,7 @@ def kept_counts(terms: DataFrame, least: int, scratch: Scratch) -> tuple[DataFra
     totals = scratch.save(terms.groupBy("lang_id", "source_id", "digest").agg(F.sum("docs").alias("docs"), F.sum("occurs").alias("occurs")), "totals")
     often = scratch.save(totals.groupBy("lang_id", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).select("lang_id", "digest"), "often")
     few = noted(often)["rows"] <= BROADCAST_ROWS
-    asked = terms.select("lang_id", "digest", "term")
+    asked = terms.where("term IS NOT NULL").select("lang_id", "digest", "term")
     asked = asked.join(F.broadcast(often), ["lang_id", "digest"], "left_semi") if few else asked
     ends = asked.groupBy("lang_id", "digest").agg(F.min("term").alias("term"), F.max("term").alias("last"))
     ends = scratch.save(ends if few else ends.join(often, ["lang_id", "digest"], "left_semi"), "strings", clashes=F.count_if(F.col("term") != F.col("last")))
@@ -97,7 +110,11 @@ def kept_counts(terms: DataFrame, least: int, scratch: Scratch) -> tuple[DataFra
     counts = totals.join(single, ["lang_id", "digest"], "left_semi").select("lang_id", "source_id", "digest", F.lit(0).alias("variant"), "occurs")
     if noted(ends)["clashes"]:
         mixed = small(ends.where("term <> last").select("lang_id", "digest"), BROADCAST_ROWS, of=ends)
-        again = terms.join(mixed, ["lang_id", "digest"], "left_semi").groupBy("lang_id", "source_id", "digest", "term").agg(F.sum("docs").alias("docs"), F.sum("occurs").alias("occurs"))
+        own = terms.join(mixed, ["lang_id", "digest"], "left_semi")
+        said = own.where("term IS NOT NULL").select("lang_id", "digest", "part", F.col("term").alias("said"))
+        # A row without a term has the only one that its part and digest have.
+        named = own.where("term IS NULL").join(said, ["lang_id", "digest", "part"]).withColumn("term", F.col("said")).drop("said")
+        again = own.where("term IS NOT NULL").unionByName(named).groupBy("lang_id", "source_id", "digest", "term").agg(F.sum("docs").alias("docs"), F.sum("occurs").alias("occurs"))
         again = scratch.save(again, "again")
         split = again.groupBy("lang_id", "digest", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
         split = scratch.save(split.select("lang_id", "digest", F.row_number().over(Window.partitionBy("lang_id", "digest").orderBy("term")).alias("variant"), "term"), "split")
