@@ -75,3 +75,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key by order."""
     ranked = df.withColumn("first_rank_", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where("first_rank_ = 1").drop("first_rank_")
+
+
+def sorted_keys(df: DataFrame, key: str) -> DataFrame:
+    """The distinct values of a column, sorted."""
+    return df.select(key).distinct().orderBy(key)

@@ -231,6 +231,13 @@ def bucket_stats(prices: Column) -> Column:
     return F.struct(by_role(F.size).alias("counts"), by_role(F.array_min).alias("mins"), by_role(F.array_max).alias("maxs"))
 
 
+def price_stats(df: DataFrame, keys: list[str], price: str, profile: Profile) -> DataFrame:
+    """keys, n, lowest, highest and any_high of the room prices of each group, of groups that have one high enough; others are left out."""
+    kept = df.where(F.col(price).between(profile.floor, profile.top)).groupBy(*keys)
+    made = kept.agg(F.count("*").alias("n"), F.min(price).alias("lowest"), F.max(price).alias("highest"), F.bool_or(F.col(price) >= profile.highest).alias("any_high"))
+    return made.where(F.col("highest") >= profile.highest)
+
+
 def entries(parsed: DataFrame, profile: Profile, url: str = "url", keep: tuple = ()) -> DataFrame:
     """url, three price ranges, kaynak and gecerlilik of accepted pages, and of keep "stats" (bucket_stats) and columns of parsed.
 

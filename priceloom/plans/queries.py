@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html, money, text, urls
-from ..operators import match, runs, search, tariff, upsert
+from ..operators import frontier, match, runs, search, tariff, upsert
 from ..sources import documents
-from ..streaming import incremental
+from ..streaming import buckets, incremental
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -59,13 +59,24 @@ def tariff_range_by_priority(spark, sf_dir):
     return kept.groupBy("o_orderpriority").agg(F.count("*").alias("n_prices"), money.format_range(F.min("v"), F.max("v")).alias("price_range")).orderBy("o_orderpriority")
 
 
-_TOKENS = ("1.500", "1.234,56", "12,5", "12.34", "12.34,5", "100000", "0,50", "abc", "1,500", "1,234.56", "1234,56", "12.345", "1 500", "100001", "1.234.567", "", " 750 TL ")
-_VALUES = (1500.0, 1234.56, 12.5, 12.34, 1234.5, 100000.0, None, None, 1500.0, 1234.56, 1234.56, 12345.0, 1500.0, None, None, None, 750.0)
+_CENTS = "round(o_totalprice * 100)::BIGINT % 20000000"
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', {'NULL' if v is None else v}::DOUBLE)" for t, v in zip(_TOKENS, _VALUES)) + ") v(token, amount)")
+@query(f"""
+WITH o AS (SELECT o_orderkey, o_orderkey % 8 AS kind, {_CENTS} AS c FROM orders),
+n AS (SELECT *, c // 100 AS whole, lpad((c % 100)::VARCHAR, 2, '0') AS part, format('{{:,}}', c // 100) AS grouped FROM o),
+t AS (SELECT o_orderkey, CASE kind WHEN 0 THEN replace(grouped, ',', '.') || ',' || part WHEN 1 THEN grouped || '.' || part WHEN 2 THEN whole || ',' || part WHEN 3 THEN replace(grouped, ',', '.')
+  WHEN 4 THEN ' ' || replace(grouped, ',', ' ') || ' TL ' WHEN 5 THEN '₺' || replace(grouped, ',', '.') || ',' || part[1] WHEN 6 THEN 'abc' || whole ELSE whole || '.' || part END AS token,
+  CASE WHEN kind IN (3, 4) THEN whole::DOUBLE WHEN kind = 5 THEN (c // 10) / 10 WHEN kind < 6 OR kind = 7 THEN c / 100 END AS v FROM n)
+SELECT o_orderkey, token, CASE WHEN v BETWEEN 1 AND 100000 THEN v END AS amount FROM t""")
 def money_parse_cases(spark, sf_dir):
-    return spark.createDataFrame([(t,) for t in _TOKENS], "token string").select("token", money.parse_money(F.col("token")).alias("amount"))
+    """Order totals in eight notations, parsed."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("long") % 20_000_000
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 8).alias("kind"), cents.alias("c"))
+    whole, part, grouped = F.expr("c div 100"), F.lpad((F.col("c") % 100).cast("string"), 2, "0"), F.format_number(F.expr("c div 100"), 0)
+    dotted = F.replace(grouped, F.lit(","), F.lit("."))
+    forms = [F.concat(dotted, F.lit(","), part), F.concat(grouped, F.lit("."), part), F.concat(whole, F.lit(","), part), dotted, F.concat(F.lit(" "), F.replace(grouped, F.lit(","), F.lit(" ")), F.lit(" TL ")), F.concat(F.lit("₺"), dotted, F.lit(","), F.substring(part, 1, 1)), F.concat(F.lit("abc"), whole), F.concat(whole, F.lit("."), part)]
+    return o.select("o_orderkey", F.element_at(F.array(*forms), (F.col("kind") + 1).cast("int")).alias("token")).withColumn("amount", money.parse_money(F.col("token")))
 
 
 @query(rf"""
@@ -111,30 +122,48 @@ def slug_lookup_fallback(spark, sf_dir):
     return both.select("n_nationkey", "il", text.province_slug(F.col("il")).alias("slug"))
 
 
-_HEADERS = (
-    ("probe", "Oda Tipi|Üye / Öğretmen|Kamu|Sivil", 1, 2, 3), ("probe", "Oda|Üye/Kamu|Diğer", 1, 1, 2), ("probe", "Oda|MEB|Kamu", 1, 2, None), ("probe", "Oda|Fiyat", None, None, None),
-    ("probe", "Oda|Kamu|Sivil", None, 1, 2), ("scan", "Oda Tipi|Teşkilat Mensubu|Kamu Personeli|Onaylı Misafir", 1, 2, 3), ("scan", "Oda Tipi|Teşkilat|Konaklama Ücreti", None, None, None),
+#: Header cells, and whether each is a compound of members and public, with public, of members, public, civilian; and of the scan's three roles.
+_CELLS = (
+    ("Oda Tipi", 0, 0, 0, 0, 0, 0, 0, 0), ("Üye / Öğretmen", 1, 0, 0, 0, 0, 0, 0, 0), ("Üye/Kamu", 1, 1, 0, 0, 0, 0, 0, 0), ("MEB", 0, 0, 1, 0, 0, 0, 0, 0), ("Kamu", 0, 0, 0, 1, 0, 0, 0, 0), ("SİVİL", 0, 0, 0, 0, 1, 0, 0, 0), ("Diğer", 0, 0, 0, 0, 1, 0, 0, 0),
+    (" Teşkilat Mensubu", 0, 0, 0, 0, 0, 1, 0, 0), ("Kamu Personeli", 0, 0, 0, 1, 0, 0, 1, 0), ("Onaylı Misafir", 0, 0, 0, 0, 0, 0, 0, 1), ("Konaklama Ücreti", 0, 0, 0, 0, 0, 0, 1, 0), ("%30 indirim", 0, 0, 0, 0, 0, 1, 0, 0), ("", 0, 0, 0, 0, 0, 0, 0, 0),
 )
 
 
-@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join("NULL" if x is None else repr(x) for x in h) + ")" for h in _HEADERS) + ") v(profile, header, kurum, kamu, sivil)")
+@query(f"""
+WITH cells(n, said, compound, public, member, kamu, sivil, s_kurum, s_kamu, s_sivil) AS (VALUES {", ".join(str((n, *c)) for n, c in enumerate(_CELLS))}),
+placed AS (SELECT o_orderkey, i, c.* FROM orders, range(5) r(i), cells c WHERE c.n = (o_orderkey * (i + 1) + o_custkey * i) % {len(_CELLS)}),
+found AS (SELECT o_orderkey, coalesce(max(i) FILTER (compound = 1), min(i) FILTER (member = 1)) AS pk, coalesce(max(i) FILTER (public = 1), min(i) FILTER (kamu = 1)) AS pp, min(i) FILTER (sivil = 1) AS ps,
+  min(i) FILTER (s_kurum = 1) AS sk, min(i) FILTER (s_kamu = 1) AS sp, min(i) FILTER (s_sivil = 1) AS ss FROM placed GROUP BY o_orderkey)
+SELECT o_orderkey, 'probe' AS profile, pk::INT AS kurum, pp::INT AS kamu, ps::INT AS sivil FROM found WHERE (pk IS NOT NULL AND (ps IS NOT NULL OR pp IS NOT NULL)) OR (pp IS NOT NULL AND ps IS NOT NULL)
+UNION ALL SELECT o_orderkey, 'scan', sk::INT, sp::INT, ss::INT FROM found WHERE sk IS NOT NULL AND ss IS NOT NULL""")
 def role_header(spark, sf_dir):
-    rows = spark.createDataFrame([h[:2] for h in _HEADERS], "profile string, header string").withColumn("cells", F.split("header", r"\|"))
-    found = F.when(F.col("profile") == "probe", tariff.roles_probe(F.col("cells"))).otherwise(tariff.roles_scan(F.col("cells")))
-    return rows.withColumn("r", found).select("profile", "header", "r.kurum", "r.kamu", "r.sivil")
+    """A header of five cells for each order, picked by its keys, and the roles that both kinds of pages find in it."""
+    said = F.lit([c[0] for c in _CELLS])
+    cells = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.get(said, ((F.col("o_orderkey") * (i + 1) + F.col("o_custkey") * i) % len(_CELLS)).cast("int")))
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", cells.alias("cells"))
+    found = [o.select("o_orderkey", F.lit(name).alias("profile"), roles(F.col("cells")).alias("r")) for name, roles in (("probe", tariff.roles_probe), ("scan", tariff.roles_scan))]
+    return found[0].unionByName(found[1]).where("r IS NOT NULL").select("o_orderkey", "profile", "r.kurum", "r.kamu", "r.sivil")
 
 
-_SAYINGS = (
-    ("1 Ocak 2026 ve 02.02.2026", "01.01.2026 itibarıyla", tariff.DEFAULT_LABEL, ""), ("02 ŞUBAT 2026", "02 Şubat 2026 – 30 Haziran 2026", tariff.DEFAULT_LABEL, ""),
-    ("19.01.2026, 01.05.2026, % 2 konaklama vergisi dahil", tariff.DEFAULT_LABEL, "01.05.2026 itibarıyla", " (%2 konaklama vergisi dahil)"), ("konaklama vergisi hariç", tariff.DEFAULT_LABEL, tariff.DEFAULT_LABEL, " (sayfada vergi HARİÇ belirtilmiş olabilir)"),
-)
+_MONTHS = ("Ocak", "ŞUBAT", "mart", "nisan", "mayıs", "haziran", "Temmuz", "ağustos", "eylül", "ekim", "kasım", "aralık")
+_TAXES = (("", ""), ("% 2 konaklama vergisi dahil", " (%2 konaklama vergisi dahil)"), ("%1 Konaklama Vergisi Dahil", " (%1 konaklama vergisi dahil)"), ("konaklama vergisi hariç", " (sayfada vergi HARİÇ belirtilmiş olabilir)"), ("% 3 konaklama vergisi dahil", ""))
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(str(x) for x in _SAYINGS) + ") v(said, probe_label, scan_label, tax)")
+@query(f"""
+WITH o AS (SELECT o_orderkey, day(o_orderdate) AS d, month(o_orderdate) AS m, o_orderkey % 3 AS form FROM orders)
+SELECT o_orderkey, CASE WHEN form < 2 AND d = 1 AND m = 1 OR form = 2 AND d % 10 = 1 AND m = 1 THEN '01.01.2026 itibarıyla' WHEN d = 2 AND m = 2 THEN '02 Şubat 2026 – 30 Haziran 2026'
+  WHEN form < 2 AND d = 1 AND m = 7 OR form = 2 AND d % 10 = 1 AND m = 7 THEN '1 Temmuz 2026 itibarıyla' ELSE '{tariff.DEFAULT_LABEL}' END AS probe_label,
+  CASE WHEN form < 2 AND d = 1 AND m = 5 THEN '01.05.2026 itibarıyla' WHEN form < 2 AND d = 19 AND m = 1 THEN '19.01.2026 itibarıyla' ELSE '{tariff.DEFAULT_LABEL}' END AS scan_label,
+  [{", ".join(repr(t) for _, t in _TAXES)}][o_orderkey % 5 + 1] AS tax FROM o""")
 def validity_label(spark, sf_dir):
-    said = spark.createDataFrame([(s[0],) for s in _SAYINGS], "said string")
+    """Order dates as said on pages, moved to the year, in three forms and with notes on taxes; the labels that they give."""
+    day = F.date_format("o_orderdate", "dd")
+    name = F.get(F.lit(list(_MONTHS)), F.month("o_orderdate") - 1)
+    form = F.element_at(F.array(F.concat(day, F.date_format("o_orderdate", ".MM.")), F.concat(day, F.date_format("o_orderdate", "/MM/")), F.concat(day, F.lit(" "), name, F.lit(" "))), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    tax = F.get(F.lit([t for t, _ in _TAXES]), (F.col("o_orderkey") % 5).cast("int"))
+    said = _t(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("Liste "), form, F.lit("2026, "), tax).alias("said"))
     c = F.col("said")
-    return said.select("said", tariff.validity(c, "probe").alias("probe_label"), tariff.validity(c, "scan").alias("scan_label"), tariff.tax_note(c).alias("tax"))
+    return said.select("o_orderkey", tariff.validity(c, "probe").alias("probe_label"), tariff.validity(c, "scan").alias("scan_label"), tariff.tax_note(c).alias("tax"))
 
 
 _BARE = r"trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))"
@@ -190,12 +219,30 @@ def url_union_distinct(spark, sf_dir):
     return documents.url_list(pages.select("url", F.col("page_id").alias("ord")), pages.where("page_id % 3 = 0").select("url", F.col("page_id").alias("ord")), seeds).select("url", "src")
 
 
-_HREFS = (("//r.example/l/?uddg=https%3A%2F%2Fwww.corum.pol.tr%2Fa%2Bb&rut=1", "https://www.corum.pol.tr/a+b"), ("https://meb.gov.tr/x", "https://meb.gov.tr/x"), ("//r.example/?uddg=https%3A%2F%2Fx.gov.tr%2Fc+d", "https://x.gov.tr/c+d"))
+@query("SELECT page_id, url AS target FROM pages")
+def search_redirect_unwrap(spark, sf_dir):
+    """The address of every other page, wrapped as a redirect, and unwrapped."""
+    wrapped = F.concat(F.lit("//r.example/l/?uddg="), urls.form_encode(F.col("url")), F.lit("&rut=1"))
+    href = F.when(F.col("page_id") % 2 == 0, wrapped).otherwise(F.col("url"))
+    return _t(spark, sf_dir, "pages").select("page_id", urls.unwrap_redirect(href).alias("target"))
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(str(x) for x in _HREFS) + ") v(href, target)")
-def search_redirect_unwrap(spark, sf_dir):
-    return spark.createDataFrame([h[:1] for h in _HREFS], "href string").select("href", urls.unwrap_redirect(F.col("href")).alias("target"))
+@query("""
+WITH p AS (SELECT page_id // 50 AS search, page_id, page_id % 5 AS kind FROM pages),
+r AS (SELECT search, page_id, CASE WHEN kind IN (0, 1) THEN 0 WHEN kind = 2 THEN 1 END AS part,
+  CASE kind WHEN 0 THEN 'https://h' || page_id // 2 || '.pol.tr/a' WHEN 1 THEN 'http://h' || page_id || '.gov.tr/' ELSE 'https://h' || page_id || '.gov.tr/a?b=c+d' END AS url FROM p),
+firsts AS (SELECT search, url, min((part, page_id)) AS place FROM r WHERE part IS NOT NULL GROUP BY ALL)
+SELECT search, url, rank::INT AS rank FROM (SELECT search, url, row_number() OVER (PARTITION BY search ORDER BY place) AS rank FROM firsts) WHERE rank <= 12""")
+def search_results(spark, sf_dir):
+    """A search page of each 50 pages: results, redirects, other links; the addresses that count, in order."""
+    n, kind = F.col("page_id"), (F.col("page_id") % 5).cast("int")
+    a = lambda css, *href: F.concat(F.lit(f'<li><a class="{css}" href="'), *href, F.lit('">x</a>'))
+    target = F.concat(F.lit("https://h"), n, F.lit(".gov.tr/a?b=c+d"))
+    links = [a("big result__a", F.lit("https://h"), F.expr("page_id div 2"), F.lit(".pol.tr/a")), a("result__a", F.lit("http://h"), n, F.lit(".gov.tr/")), a("other", F.lit("/l/?uddg="), urls.form_encode(target), F.lit("&amp;rut=1")), a("result__b", F.lit("https://no.pol.tr/")), a("result__a", F.lit("ftp://x.pol.tr/"))]
+    one = _t(spark, sf_dir, "pages").select(F.expr("page_id div 50").alias("search"), F.struct("page_id", F.element_at(F.array(*links), kind + 1).alias("a")).alias("link"))
+    made = one.groupBy("search").agg(F.concat(F.lit("<ul>"), F.array_join(F.transform(F.sort_array(F.collect_list("link")), lambda x: x["a"]), "")).alias("html"))
+    found = html.parse_pages(made, select=urls.RESULT_LINK).select("search", F.posexplode(urls.result_urls(F.col("parsed"))).alias("rank", "url"))
+    return found.select("search", "url", (F.col("rank") + 1).alias("rank"))
 
 
 @query("""
@@ -208,7 +255,7 @@ def facility_filters(spark, sf_dir):
 @query("SELECT DISTINCT n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 ORDER BY 1")
 def distinct_sorted_keys(spark, sf_dir):
     rich = _t(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_nationkey").alias("n_nationkey")).distinct()
-    return _t(spark, sf_dir, "nation").join(rich, "n_nationkey", "left_semi").select("n_name").distinct().orderBy("n_name")
+    return match.sorted_keys(_t(spark, sf_dir, "nation").join(rich, "n_nationkey", "left_semi"), "n_name")
 
 
 @query(f"""
@@ -224,12 +271,16 @@ def match_theta_argmax(spark, sf_dir):
     return match.match_pages(pages, fac, "doc_id").select("doc_id", "isim", "ord", "score")
 
 
-_FACILITIES = ((0, "Ankara", "Ankara Polis Evi"), (1, "Ankara", "Ankara Polisevi"), (2, "Bolu", "Bolu Polis Kampı"), (3, "Çorum", "Çorum Polis A"), (4, "Çorum", "Çorum Polis B"), (5, "Muş", "Muş Polisevi Düğün Salonu"))
-
-
-@query("SELECT * FROM (VALUES ('Ankara', 1, 'Ankara Polisevi'), ('Bolu', 2, 'Bolu Polis Kampı')) v(il, ord, isim)")
+@query("""
+WITH f AS (SELECT s_nationkey, s_suppkey AS ord, CASE s_suppkey % 5 WHEN 0 THEN n_name || ' Polis Evi' WHEN 1 THEN n_name || ' Polisevi' WHEN 2 THEN 'Polis Kampı ' || s_suppkey WHEN 3 THEN n_name || ' Polisevi Düğün Salonu' END AS isim, s_suppkey % 5 < 2 AS exact
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 5 < 3),
+r AS (SELECT *, count(*) OVER (PARTITION BY s_nationkey) AS n, bool_or(exact) OVER (PARTITION BY s_nationkey) AS named, row_number() OVER (PARTITION BY s_nationkey ORDER BY NOT exact, length(isim), ord) AS k FROM f)
+SELECT n_name AS il, ord::INT AS ord, isim FROM r JOIN nation ON s_nationkey = n_nationkey WHERE k = 1 AND (named OR n = 1)""")
 def pick_exact_or_single(spark, sf_dir):
-    return match.pick_facility(spark.createDataFrame(_FACILITIES, "ord int, il string, isim string"))
+    """Suppliers as facilities of their nations, some named like them: the one of each nation, if it is clear."""
+    both = _t(spark, sf_dir, "supplier").join(F.broadcast(_t(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+    names = F.array(*[F.concat("n_name", F.lit(x)) for x in (" Polis Evi", " Polisevi")], F.concat(F.lit("Polis Kampı "), "s_suppkey"), F.concat("n_name", F.lit(" Polisevi Düğün Salonu")), F.lit(None).cast("string"))
+    return match.pick_facility(both.select(F.col("s_suppkey").cast("int").alias("ord"), F.col("n_name").alias("il"), F.element_at(names, (F.col("s_suppkey") % 5 + 1).cast("int")).alias("isim")))
 
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) WHERE k = 1")
@@ -239,9 +290,7 @@ def first_page_per_key(spark, sf_dir):
 
 @query("SELECT l_returnflag, l_linestatus, count(*) AS n, min(l_extendedprice) AS lowest, max(l_extendedprice) AS highest, bool_or(l_extendedprice >= 600) AS any_high FROM lineitem WHERE l_extendedprice BETWEEN 300 AND 25000 GROUP BY 1, 2 HAVING max(l_extendedprice) >= 600")
 def bucket_stats(spark, sf_dir):
-    kept = _t(spark, sf_dir, "lineitem").where(F.col("l_extendedprice").between(tariff.PROBE.floor, tariff.PROBE.top))
-    made = kept.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.min("l_extendedprice").alias("lowest"), F.max("l_extendedprice").alias("highest"), F.bool_or(F.col("l_extendedprice") >= 600).alias("any_high"))
-    return made.where(F.col("highest") >= tariff.PROBE.highest)
+    return tariff.price_stats(_t(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", tariff.PROBE)
 
 
 _PRICE = "500 + o_orderkey % 4000"
@@ -275,6 +324,21 @@ def html_table_prices_scan(spark, sf_dir):
     return tariff.entries(html.parse_pages(_price_pages(spark, sf_dir)), tariff.SCAN)
 
 
+@query(_page_sql(2, tariff.DEFAULT_LABEL, "max(v + 250) >= 900"))
+def html_stacked_fallback(spark, sf_dir):
+    """Pages whose tables are of a hairdresser, have one price, or don't close, with the prices in stacked lines."""
+    orders = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.expr(_PRICE).cast("double").alias("v"))
+    line = F.concat(F.lit("Tek oda\n"), *[F.concat(money.format_tl(F.col("v") + add), F.lit(" TL\n")) for add in (0, 100, 250)])
+    lines = orders.groupBy("o_custkey").agg(F.array_join(F.collect_list(line), "").alias("lines"))
+    head = "<tr><th>Oda</th><th>Teşkilat</th><th>Kamu Personeli</th><th>Onaylı Misafir</th></tr>"
+    row = "<tr><td>Kesim</td><td>500 TL</td><td>600 TL</td><td>950 TL</td></tr>"
+    tables = [f"<table><caption>Kuaför</caption>{head}{row * 3}</table>", f"<table>{head}{row}</table>", f"<table>{head}<tr><td>Çamaşır<td>500 TL<td>600 TL<td>950 TL<td><table><tr><td>yok</table></table>"]
+    table = F.element_at(F.array(*map(F.lit, tables)), (F.col("o_custkey") % 3 + 1).cast("int"))
+    page = F.concat(F.lit("<p>2026 Teşkilat Kamu Onaylı misafir</p>"), table, F.lit("<pre>"), "lines", F.lit("</pre>"))
+    pages = lines.select(F.concat(F.lit("c"), "o_custkey").alias("url"), page.alias("html"))
+    return tariff.entries(tariff.parse_of_year(pages, tariff.SCAN), tariff.SCAN)
+
+
 @query("SELECT o_orderkey, 3::INT AS n_triples, ((500 + o_orderkey % 300) * 3 + 300)::DOUBLE AS kurum_sum, ((900 + o_orderkey % 300) * 3 + 300)::DOUBLE AS sivil_sum FROM orders")
 def stacked_line_prices(spark, sf_dir):
     """Three room names, each followed by three rising prices; a broken fourth group yields nothing."""
@@ -289,7 +353,7 @@ def stacked_line_prices(spark, sf_dir):
 @query("SELECT o_custkey, o_orderkey AS first_ok FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS k FROM orders WHERE o_orderstatus = 'F') WHERE k = 1")
 def first_success(spark, sf_dir):
     good = _t(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
-    return good.groupBy("o_custkey").agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("m")).select("o_custkey", F.col("m.o_orderkey").alias("first_ok"))
+    return match.first_per_key(good, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", F.col("o_orderkey").alias("first_ok"))
 
 
 _UPSERT_SQL = """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name || '*' ELSE c_name END AS c_name, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer"""
@@ -370,7 +434,23 @@ def page_bucket_stats(spark, sf_dir):
 
 @query("SELECT user_id, count(*) AS n, count(*) // 3 AS flushes FROM events GROUP BY user_id")
 def every_third_flush(spark, sf_dir):
-    return _t(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.floor(F.count("*") / 3).cast("long").alias("flushes"))
+    return buckets.flush_counts(_t(spark, sf_dir, "events"), ["user_id"])
+
+
+@query("""
+WITH hits AS (SELECT user_id, event_id, value, row_number() OVER (ORDER BY event_id) AS n, count(*) OVER () AS total FROM events WHERE event_type = 'purchase'),
+last AS (SELECT user_id, event_id, value, total, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM hits WHERE n <= total // 3 * 3)
+SELECT user_id, event_id, value, total // 3 AS flushes FROM last WHERE k = 1""")
+def flushed_state(spark, sf_dir):
+    """The purchases of the event stream, in batches, merged by threes into state in buckets: the last of each user up to the last flush."""
+    events = _t(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    state = buckets.BucketState(spark, f"{documents.shared_dir(spark).rstrip('/')}/flushed-{uuid.uuid4().hex}", ["user_id"], "event_id", events.drop("event_type").schema, 16)
+    sink = buckets.FlushSink(state, "true")
+    cuts = events.approxQuantile("event_id", [0.1, 0.5, 0.9], 0.01)
+    for number, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
+        inside = F.lit(True) if low is None else F.col("event_id") > low
+        sink(events.where(inside & (F.lit(True) if high is None else F.col("event_id") <= high) & (F.col("event_type") == "purchase")).drop("event_type"), number)
+    return state.result().withColumn("flushes", F.lit(sink.counts()["flushes"]).cast("long"))
 
 
 @query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events) WHERE k = 1")
@@ -417,13 +497,60 @@ def search_first_success_35(spark, sf_dir):
     return _searched(spark, sf_dir)
 
 
-def _searched(spark, sf_dir):
-    items, parts, orders = (_t(spark, sf_dir, t) for t in ("lineitem", "part", "orders"))
+def _pages_of(items, parts, orders):
+    """Parts as pages of suppliers, with orders as links: candidates, links of parts, and all pages."""
     of_part = F.concat(F.lit("part"), "l_partkey")
     tops = items.groupBy("l_suppkey", of_part.alias("url")).agg(F.min("l_orderkey").alias("ord"))
     links = items.groupBy(of_part.alias("url")).agg(F.slice(F.array_sort(F.collect_set("l_orderkey")), 1, 10).alias("orders"))
     links = links.select("url", F.transform("orders", lambda o: F.concat(F.lit("order"), o.cast("string"))).alias("links"))
     pages = parts.select(F.concat(F.lit("part"), "p_partkey").alias("url"), (F.col("p_size") % 3 > 0).alias("ok")).join(links, "url", "left")
-    pages = pages.unionByName(orders.select(F.concat(F.lit("order"), "o_orderkey").alias("url"), F.lit(True).alias("ok"), F.array().cast("array<string>").alias("links")))
+    return tops, links, pages.unionByName(orders.select(F.concat(F.lit("order"), "o_orderkey").alias("url"), F.lit(True).alias("ok"), F.array().cast("array<string>").alias("links")))
+
+
+def _searched(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders")
+    tops, _, pages = _pages_of(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part"), orders)
     dear = orders.where("o_totalprice > 300000").select(F.concat(F.lit("order"), "o_orderkey").alias("url"))
     return search.first_success(search.visits(tops, pages, "l_suppkey"), dear, "l_suppkey")
+
+
+@query(SQL["search_first_success"])
+def crawl_first_success(spark, sf_dir):
+    """search_first_success as a crawl in rounds, which looks at the pages that it asks for only."""
+    return frontier.crawl(*_frontier(spark, sf_dir), f"{documents.shared_dir(spark).rstrip('/')}/crawl-{uuid.uuid4().hex}", "l_suppkey", 400).first()
+
+
+def _frontier(spark, sf_dir):
+    items, parts, orders = (_t(spark, sf_dir, t) for t in ("lineitem", "part", "orders"))
+    tops, links, pages = _pages_of(items, parts, orders)
+    known = pages.join(orders.where("o_totalprice > 300000").select(F.concat(F.lit("order"), "o_orderkey").alias("url"), F.lit(True).alias("hit")), "url", "left")
+    return tops, lambda asked: known.join(asked, "url", "left_semi")
+
+
+_PROVINCE_SQL = f"""
+WITH c AS (SELECT n_name AS il, c_custkey, c_acctbal < 0 AS priced, row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) AS rank FROM customer JOIN nation ON c_nationkey = n_nationkey),
+o AS (SELECT o_custkey, ({_PRICE})::DOUBLE AS v FROM orders),
+p AS (SELECT o_custkey, {_fill(_RANGE, 'min(v + 250)', 'max(v + 250)')} AS fiyat_sivil, {_fill(_RANGE, 'min(v)', 'max(v)')} AS fiyat_kurum_personeli FROM o GROUP BY o_custkey HAVING count(*) >= 2 AND max(v + 250) >= 900),
+hits AS (SELECT il, rank, c_custkey, p.* FROM c JOIN p ON o_custkey = c_custkey WHERE priced AND rank <= 13 QUALIFY row_number() OVER (PARTITION BY il ORDER BY rank) = 1)
+SELECT il, CASE WHEN rank IS NULL THEN 'not_found' ELSE 'found' END AS status, 22 + coalesce(rank, (SELECT least(13, count(*)) FROM c WHERE c.il = n.n_name)) AS n_tried, fiyat_sivil, fiyat_kurum_personeli, 'c' || c_custkey AS page
+FROM (SELECT n_name, n_name AS il FROM nation) n LEFT JOIN hits USING (il)"""
+
+
+@query(_PROVINCE_SQL)
+def province_run(spark, sf_dir):
+    """The scan as a whole over nations as provinces: no guess has a page, the home page lists the customers, of whom those with debts have prices."""
+    customers, nation = _t(spark, sf_dir, "customer"), F.broadcast(_t(spark, sf_dir, "nation"))
+    named = customers.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    page = F.concat(F.lit("https://x.pol.tr/c"), "c_custkey")
+    homes = named.groupBy("n_name").agg(F.array_join(F.transform(F.slice(F.sort_array(F.collect_list("c_custkey")), 1, 40), lambda c: F.concat(F.lit('<a href="https://x.pol.tr/c'), c, F.lit('">2026</a>'))), "").alias("html"))
+    homes = homes.select(F.get(urls.province_homes(F.col("n_name")), F.lit(0)).alias("url"), "html")
+    prices = _price_pages(spark, sf_dir).join(customers.where("c_acctbal < 0"), F.concat(F.lit("c"), "c_custkey") == F.col("url"), "left_semi")
+    prices = prices.select(F.concat(F.lit("https://x.pol.tr/"), "url").alias("url"), "html")
+    empty = customers.where("c_acctbal >= 0").select(page.alias("url"), F.lit("<p>yok").alias("html"))
+    pages = documents.written(homes.unionByName(prices).unionByName(empty).withColumn("err", F.lit(None).cast("string")), "pages")
+    facilities = nation.select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("il"), F.concat("n_name", F.lit(" Polisevi")).alias("isim"), F.lit(None).cast("string").alias("tip"))
+    old = documents.tariff_document(spark, None)
+    fetch = lambda asked: asked.join(pages, "url", "left")
+    ran = frontier.run_provinces(facilities, old, fetch, f"{documents.shared_dir(spark).rstrip('/')}/provinces-{uuid.uuid4().hex}", width=35)
+    told = ran.results.join(ran.entries.select("il", "fiyat_sivil", "fiyat_kurum_personeli"), "il", "left")
+    return told.select("il", "status", "n_tried", "fiyat_sivil", "fiyat_kurum_personeli", F.replace("url", F.lit("https://x.pol.tr/"), F.lit("")).alias("page"))

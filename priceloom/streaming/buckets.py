@@ -109,6 +109,11 @@ class BucketState:
         return self._rows(versions, schema)
 
 
+def flush_counts(hits: DataFrame, keys: list[str], every: int = 3) -> DataFrame:
+    """keys, n and flushes: how often a run of its own for each key would have flushed its hits before its end."""
+    return hits.groupBy(*keys).agg(F.count("*").alias("n"), F.expr(f"count(*) div {every}").alias("flushes"))
+
+
 class FlushSink:
     """foreachBatch target that merges hits into a BucketState whenever `every` more of them have come in, over all batches.
 
