@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls as addresses
 from ..functions.html import parse_pages
-from ..sources.documents import written
+from ..sources.documents import Rounds, written
 from .match import kind_filter, pick_facility
 from .runs import COLUMNS
 from .search import first_success, visits
@@ -20,26 +20,6 @@ from .upsert import upsert
 Look = Callable[[DataFrame], DataFrame]
 
 
-class Rounds:
-    """Tables round0, round1, ... in a folder, each written once and whole; a round that broke off is written anew."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-
-    def done(self) -> int:
-        """How many rounds are whole."""
-        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
-        found = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/round*/_SUCCESS")
-        return len(found.getFileSystem(conf).globStatus(found) or [])
-
-    def add(self, df: DataFrame, number: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.folder}/round{number}")
-
-    def read(self, number: int) -> DataFrame:
-        """The rows of the first `number` rounds, one at least."""
-        return self.spark.read.parquet(*[f"{self.folder}/round{k}" for k in range(number)])
-
-
 @dataclass(frozen=True)
 class Crawl:
     """What a crawl knows: pages (the rows of look) and the candidates it went through."""

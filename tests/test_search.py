@@ -1,9 +1,12 @@
 import http.server
 import json
 import threading
+import time
+from dataclasses import replace
 
 import pytest
 
+from priceloom.functions import charset
 from priceloom.operators import search
 from priceloom.sources import web
 from priceloom.streaming.progress import ProgressSink
@@ -45,8 +48,12 @@ def test_visits_and_first_success(spark):
 
 
 class Pages(http.server.BaseHTTPRequestHandler):
+    asked: list = []
+
     def do_GET(self):
-        status, kind, body = {"/a": (200, "text/html; charset=iso-8859-9", "Öğretmenevi ş".encode("iso-8859-9")), "/b": (200, "application/pdf", b"%PDF"), "/m": (200, "text/html", '<meta charset="windows-1254">ğ'.encode("cp1254")), "/i": (200, "image/png", b"x")}.get(self.path, (404, "text/html", b"no"))
+        Pages.asked.append((self.path, time.monotonic(), dict(self.headers)))
+        found = {"/a": ("text/html; charset=iso-8859-9", "Öğretmenevi ş".encode("iso-8859-9")), "/b": ("application/pdf", b"%PDF"), "/m": ("text/html", b" " * 9000 + '<meta charset="windows-1254">ğ'.encode("cp1254")), "/g": ("text/html", "Şanlıurfa öğretmenevi".encode("cp1254")), "/i": ("image/png", b"x"), "/l": ("text/html", b"x" * 5000)}
+        status, kind, body = (200, *found[self.path]) if self.path in found else (404, "text/html", b"no")
         self.send_response(status)
         self.send_header("Content-Type", kind)
         self.end_headers()
@@ -56,17 +63,37 @@ class Pages(http.server.BaseHTTPRequestHandler):
         pass
 
 
-def test_fetch_pages(spark):
+@pytest.fixture
+def base():
     server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Pages)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    base = f"http://127.0.0.1:{server.server_port}"
-    urls = spark.createDataFrame([(f"{base}{p}",) for p in ("/a", "/a", "/b", "/m", "/i", "/none")] + [("nonsense",), (None,)], "url string")
-    got = {r["url"].removeprefix(base): (r["html"], r["status"], r["err"]) for r in web.fetch_pages(urls).collect()}
-    scan = {r["url"].removeprefix(base): r["err"] for r in web.fetch_pages(urls, web.SCAN).collect()}
+    Pages.asked.clear()
+    yield f"http://127.0.0.1:{server.server_port}"
     server.shutdown()
-    assert got["/a"] == ("Öğretmenevi ş", 200, None) and got["/m"][0].endswith("ğ") and got["/b"] == (None, 200, "pdf")
-    assert got["/none"] == (None, 404, "HTTP 404") and got["nonsense"][2] and len(got) == 6
-    assert scan["/i"] == "skip content-type image/png" and scan["/b"].startswith("skip")
+
+
+def test_fetch_pages(spark, base):
+    urls = spark.createDataFrame([(f"{base}{p}",) for p in ("/a", "/a", "/b", "/m", "/g", "/i", "/none", "/l")] + [("nonsense",), (None,), ("http://[bad",)], "url string")
+    got = {r["url"].removeprefix(base): (r["html"], r["status"], r["err"]) for r in web.fetch_pages(urls, replace(web.PROBE, most_bytes=4999 + 5000)).collect()}
+    scan = {r["url"].removeprefix(base): r["err"] for r in web.fetch_pages(urls, replace(web.SCAN, most_bytes=4999, pause=0)).collect()}
+    assert got["/a"] == ("Öğretmenevi ş", 200, None) and got["/m"][0].endswith("ğ") and got["/b"] == (None, 200, "pdf") and got["/g"][0] == "Şanlıurfa öğretmenevi"
+    assert got["/none"] == (None, 404, "HTTP 404") and got["nonsense"][2] and got["http://[bad"][2] and len(got) == 9 and got["/l"][0] == "x" * 5000
+    assert scan["/i"] == "skip content-type image/png" and scan["/b"].startswith("skip") and scan["/l"] == "over 4999 bytes"
+
+
+def test_pages_as_a_source(spark, base, tmp_path):
+    """What was fetched isn't asked for again; headers go out; a host is asked with pauses."""
+    how = replace(web.SCAN, pause=0.2)
+    first = spark.createDataFrame([(f"{base}{p}",) for p in ("/a", "/g", "/none")] + [(None,)], "url string")
+    more = first.unionByName(spark.createDataFrame([(f"{base}/l",)], "url string"))
+    one = {r["url"].removeprefix(base): r["status"] for r in web.fetch_into(first, str(tmp_path), how).collect()}
+    times = sorted(t for _, t, _ in Pages.asked)
+    assert one == {"/a": 200, "/g": 200, "/none": 404} and all(b - a >= 0.18 for a, b in zip(times, times[1:]))
+    assert {h["Accept-Language"] for _, _, h in Pages.asked} == {how.headers["Accept-Language"]} and all("xhtml" in h["Accept"] for _, _, h in Pages.asked)
+    two = web.fetch_into(more, str(tmp_path), how)
+    assert two.count() == 4 and sorted(p for p, _, _ in Pages.asked) == ["/a", "/g", "/l", "/none"]
+    assert web.fetch_into(more, str(tmp_path), how).count() == 4 and len(Pages.asked) == 4
+    assert web.fetch_into(first.limit(0), f"{tmp_path}/none", how).count() == 0
 
 
 def test_progress(spark, tmp_path):
@@ -79,6 +106,22 @@ def test_progress(spark, tmp_path):
     assert said.pop("updated_at") and said == {"done": 4, "total": 5, "found": 2} and seen == [0, 0, 1, 1]
 
 
+TURKISH = "Öğretmenevi konaklama ücretleri 2026 yılı için İl Özel İdaresi tarafından belirlenmiştir. Üye ve öğretmen, çift kişilik oda – Şanlıurfa, Iğdır, Ağrı’da."
+
+
+def test_charsets_of_documents(spark):
+    """Whole documents in four charsets read back as they were, and Turkish among them."""
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").where("text IS NOT NULL").collect()]
+    texts += [TURKISH, "Şehir", "ağaç", "İl", "çay ve ılık su"]
+    for name in ("utf-8", "cp1254", "iso-8859-9", "cp1252"):
+        bodies = [t.encode(name, "ignore") for t in texts]
+        right = sum(web.decoded(b, None) == b.decode(name) for b in bodies)
+        assert right >= 0.99 * len(texts), (name, right)
+    assert charset.guess(b"") == charset.guess(b"plain") == "utf-8" and charset.guess("é".encode()[:1]) in charset.CHARSETS
+    assert charset.guess(TURKISH.encode()[:-30] + b"\xc4") == "utf-8"  # breaks off within a character
+    assert charset.guess(bytes(range(256)) * 50) in charset.CHARSETS
+
+
 @pytest.mark.parametrize("body, name, text", [("ğ".encode(), None, "ğ"), ("ğ".encode("cp1254"), "no-such", "ğ")])
 def test_decoded(body, name, text):
     assert web.decoded(body, name) == text
