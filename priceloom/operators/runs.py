@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.html import page_text
-from ..sources.documents import live_pages
+from ..sources.documents import live_pages, written
 from .match import first_per_key, match_pages
 from .tariff import PROBE, Profile, entries, parse_of_year
-from .upsert import document, found_keys, upsert
+from .upsert import found_keys, upsert, write_document
 
 COLUMNS = ("il", "isim", "fiyat_sivil", "fiyat_kamu_personeli", "fiyat_kurum_personeli", "kaynak", "gecerlilik")
 
@@ -24,8 +24,8 @@ class Run:
     merged: DataFrame
     results: DataFrame
 
-    def document(self, note: str) -> DataFrame:
-        return document(self.merged, note)
+    def write(self, note: str, path: str, mirror: str | None = None) -> None:
+        write_document(self.merged, note, path, mirror)
 
     def found(self) -> DataFrame:
         return found_keys(self.results)
@@ -39,10 +39,12 @@ def run(pages: DataFrame, facilities: DataFrame, old: DataFrame, profile: Profil
     """
     live = live_pages(pages).where("url IS NOT NULL").select("url", F.col("ord").alias("page_ord"), "html")
     parsed = parse_of_year(live, profile)
-    priced = entries(parsed, profile, keep=("page_ord", "parsed"))
-    words = priced.select("url", F.col("parsed.title").alias("title"), page_text(F.col("parsed")).alias("text"))
-    matched = match_pages(words, facilities).select("url", "il", "isim")
-    named = priced.drop("parsed").join(matched, "url")
+    # Written, since matching and merging both read it: each page is parsed once. A page is (url, page_ord): an address may stand twice.
+    priced = entries(parsed, profile, keep=("page_ord", "parsed")).withColumn("page", F.struct("url", "page_ord"))
+    priced = written(priced.withColumn("title", F.col("parsed.title")).withColumn("text", F.substring(page_text(F.col("parsed")), 1, 4000)).drop("parsed"), "priced")
+    words = priced.select("page", "url", "title", "text")
+    matched = match_pages(words, facilities, "page").select("page", "il", "isim")
+    named = priced.drop("title", "text").join(matched, "page")
     first = first_per_key(named, ["il", "isim"], ["page_ord", "url"]).select(*COLUMNS)
     hit = first.select("il", "isim").withColumn("status", F.lit("found"))
     results = facilities.select("il", "isim").distinct().join(hit, ["il", "isim"], "left").withColumn("status", F.coalesce("status", F.lit("none")))

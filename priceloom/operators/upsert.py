@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.json_files import write_json
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """old with each key's row replaced whole by the last of new (by order); nulls of the new row replace too.
@@ -23,15 +27,20 @@ def without_nulls(*columns: str) -> Column:
     return F.to_json(F.struct(*columns))
 
 
-def document(entries: DataFrame, note: str) -> DataFrame:
-    """One row: the tariff document as JSON, its rows sorted by (il, isim). It is one value, as its readers need it."""
-    rows = F.sort_array(F.collect_list(F.struct(*entries.columns)))
-    return entries.agg(F.to_json(F.struct(F.lit(note).alias("not"), rows.alias("tesisler")), {"pretty": "true"}).alias("value"))
+def write_document(entries: DataFrame, note: str, path: str, mirror: str | None = None) -> None:
+    """The tariff document: a note, and the rows sorted by (il, isim) without their nulls. mirror gets a copy if its folder exists."""
+    write_json(entries.sparkSession, path, {"not": note}, {"tesisler": (entries, ["il", "isim"])}, mirror)
+
+
+def utc_now() -> str:
+    return datetime.now(UTC).isoformat()
 
 
-def write_document(df: DataFrame, path: str, mirror: str | None = None) -> None:
-    for to in filter(None, (path, mirror)):
-        df.write.mode("overwrite").text(to)
+def write_report(results: DataFrame, found: DataFrame, path: str, note: str) -> None:
+    """The report of a scan: when it ended, how many were scanned and found, the entries found, and the result of each province."""
+    counts = results.agg(F.count("*").alias("scanned"), F.count_if(F.col("status") == "found").alias("hits")).first()
+    fields = {"started_note": note, "finished_at": utc_now(), "iller_scanned": counts["scanned"], "found_count": counts["hits"]}
+    write_json(results.sparkSession, path, fields, {"found": (found, ["il", "isim"]), "results": (results, ["il"])})
 
 
 def run_report(results: DataFrame, status: str = "status") -> DataFrame:

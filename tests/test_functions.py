@@ -1,5 +1,7 @@
+import json
 import random
 import time
+from datetime import datetime
 from urllib.parse import quote_plus
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from priceloom.functions import html, money, text, urls
 from priceloom.operators import match, tariff, upsert
-from priceloom.sources import documents
+from priceloom.sources import documents, json_files
 
 
 def values(spark, items, fn, kind="string"):
@@ -213,5 +215,38 @@ def test_documents(spark, tmp_path):
         documents.facilities(spark, [str(tmp_path / "none.json")])
     assert documents.tariff_document(spark, None).count() == 0
     entry = spark.createDataFrame([("Bolu", "B", "1.000 TL", None, None, "u", None)], documents.ENTRY)
-    upsert.write_document(upsert.document(entry, "n"), str(tmp_path / "out"))
-    assert documents.tariff_document(spark, str(tmp_path / "out")).collect() == entry.collect()
+    upsert.write_document(entry, "n", str(tmp_path / "out.json"), str(tmp_path / "mirror.json"))
+    assert documents.tariff_document(spark, str(tmp_path / "out.json")).collect() == entry.collect()
+    assert (tmp_path / "mirror.json").read_text() == (tmp_path / "out.json").read_text() and sorted(p.name for p in tmp_path.glob("[!.]*.json")) == ["m.json", "mirror.json", "out.json"]
+
+
+def test_json_in_pieces(spark, tmp_path):
+    """A document of many parts is what json.dumps writes, and comes back by ranges of any size."""
+    draw = random.Random(2)
+    said = ['a "b" \\ {[', "ç\n\t", "", None, "]}", "日本 \\\\", 'x": [{']
+    rows = [(f"il{draw.randrange(9)}", f"isim{i:03}", draw.choice(said), draw.choice(said)) for i in range(150)]
+    df = spark.createDataFrame(rows, "il string, isim string, fiyat_sivil string, kaynak string").repartition(7)
+    path = str(tmp_path / "d.json")
+    fields = {"not": 'n "tesisler": [{"il": "no"}] ', "deep": {"tesisler": [{"il": "deeper"}]}, "n": 3}
+    json_files.write_json(spark, path, fields, {"other": (df.limit(3), ["isim"]), "tesisler": (df, ["il", "isim"]), "none": (df.limit(0), ["il"])}, str(tmp_path / "no" / "mirror.json"))
+    names = ["il", "isim", "fiyat_sivil", "kaynak"]
+    want = [{k: v for k, v in zip(names, r) if v is not None} for r in sorted(rows)]
+    read = json.loads(open(path).read())
+    assert read["tesisler"] == want and read["none"] == [] and len(read["other"]) == 3 and {k: read[k] for k in fields} == fields and not (tmp_path / "no").exists()
+    listed = json.dumps({"tesisler": want}, ensure_ascii=False, indent=2)
+    json_files.write_json(spark, path + "2", {}, {"tesisler": (df, ["il", "isim"])})
+    assert open(path + "2").read() == listed + "\n"
+    for size in (64, 1000, 1 << 20):
+        got = json_files.read_array(spark, path, "tesisler", "il string, isim string, fiyat_sivil string, kaynak string", size)
+        assert [tuple(r)[1:] for r in got.orderBy("place").collect()] == sorted(rows)
+    assert got.rdd.getNumPartitions() == 1 and json_files.read_array(spark, path, "not", "il string").count() == json_files.read_array(spark, path, "none", "il string").count() == 0
+    many = json_files.array_elements(spark, path, "tesisler", 1000)
+    assert many.rdd.getNumPartitions() > 5 and [json.loads(r["value"]) for r in many.orderBy("place").collect()] == want
+
+
+def test_report(spark, tmp_path):
+    results = spark.createDataFrame([("b", None, "not_found", 3), ("a", "x", "found", 1)], "il string, isim string, status string, n_tried int")
+    upsert.write_report(results, results.where("status = 'found'").select("il", "isim"), str(tmp_path / "r.json"), "n")
+    said = json.loads((tmp_path / "r.json").read_text())
+    assert datetime.fromisoformat(said.pop("finished_at")).tzinfo is not None
+    assert said == {"started_note": "n", "iller_scanned": 2, "found_count": 1, "found": [{"il": "a", "isim": "x"}], "results": [{"il": "a", "isim": "x", "status": "found", "n_tried": 1}, {"il": "b", "status": "not_found", "n_tried": 3}]}
