@@ -1,8 +1,10 @@
 import json
+import random
+import time
 
 from priceloom.streaming.buckets import BucketState, FlushSink
 from priceloom.streaming.incremental import UpsertSink, run_available
-from priceloom.streaming.progress import ProgressSink
+from priceloom.streaming.progress import ProgressListener, ProgressSink, counted, record
 
 ROWS = "k int, v string, at int"
 
@@ -81,3 +83,31 @@ def test_flush_of_every_third_hit(spark, tmp_path):
         assert {r["k"]: r["at"] for r in sink().state.result().collect()} == last(so_far[: len(so_far) // 3 * 3])
     sink().finish()
     assert {r["k"]: r["at"] for r in sink().state.result().collect()} == last(hits)
+
+
+def test_progress_in_any_order():
+    batches = {n: (n + 1, n % 2) for n in range(12)}
+    for seed in range(30):
+        draw, held = random.Random(seed), {}
+        order = [*batches, *draw.sample(sorted(batches), 5)]
+        for n in order if seed == 0 else sorted(order, key=lambda n: n + draw.random() * 3):
+            held = json.loads(json.dumps(record(held, n, *batches[n])))
+        assert counted(held) == (sum(a for a, _ in batches.values()), sum(b for _, b in batches.values()))
+    assert len(held["batches"]) <= 2 and counted({}) == (0, 0)
+
+
+def test_progress_listener(spark, tmp_path):
+    for part in range(3):
+        frame(spark, *[(i, "x" if i % 2 else "y", part) for i in range(4)]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    listener = ProgressListener(spark, f"{tmp_path}/p.json", 12)
+    assert listener.read() is None
+    stream = listener.marked(spark.readStream.schema(ROWS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), "v = 'x'")
+    spark.streams.addListener(listener)
+    run_available(stream, lambda batch, n: batch.write.format("noop").mode("overwrite").save(), str(tmp_path / "state"))
+    until = time.monotonic() + 30
+    while (listener.read() or {"done": 0})["done"] < 12 and time.monotonic() < until:
+        time.sleep(0.2)
+    spark.streams.removeListener(listener)
+    said = listener.read()
+    listener.add(1, 4, 2)  # delivered again
+    assert (said["done"], said["found"], said["total"]) == (12, 6, 12) and listener.read()["done"] == 12
