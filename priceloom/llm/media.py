@@ -189,7 +189,7 @@ class _Fragments:
     """Runs of samples in movie fragments, laid out by the defaults of the movie, the fragment's track and the run itself."""
 
     def __init__(self, most: int):
-        self.most, self.defaults = most, {}
+        self.most, self.left, self.defaults = most, most, {}
         self.moof = self.next = self.number = 0
         self.own: tuple = ()
 
@@ -225,15 +225,18 @@ class _Fragments:
         if flags & 4:
             first_flags, at = struct.unpack_from(">I", body, at)[0], at + 4
         held = [k for k, flag in enumerate((0x100, 0x200, 0x400, 0x800)) if flags & flag]
-        if n * 4 * len(held) > len(body) - at or n > self.most:
-            raise ValueError("a run is longer than its box or the file")
+        if n * 4 * len(held) > len(body) - at:
+            raise ValueError("a run is longer than its box")
+        if n > self.left:
+            raise ValueError("runs have more samples than the file has bytes")
+        self.left -= n
         rows = np.frombuffer(body, ">u4", n * len(held), at).reshape(n, -1).astype(np.int64) if held else None
         ticks, sizes, marks = (rows[:, held.index(k)] if k in held else np.full(n, self.own[k], np.int64) for k in range(3))
         if first_flags is not None and n:
             marks = marks.copy()
             marks[0] = first_flags
-        if int(sizes.sum()) > self.most:
-            raise ValueError("samples hold more than the file")
+        if int(sizes.sum()) > self.most or n and int(sizes.min()) < 1:
+            raise ValueError("samples hold more than the file, or nothing")
         ends = self.next + np.cumsum(sizes)
         if track is not None:
             track.runs.append((ends - sizes, sizes, int(ticks.sum()), np.flatnonzero(marks & 0x10000 == 0)))
@@ -303,7 +306,7 @@ def _reader(digests: bool):
                     raise ValueError("no file")
                 d = _describe(data)
                 track, offsets, sizes, keys = d["track"], d["offsets"], d["sizes"], d["keys"]
-                ranges = [{"offset": int(o), "length": int(s)} for o, s in zip(offsets[keys], sizes[keys])]
+                ranges = offsets[keys], sizes[keys]
                 ticks = d["ticks"]
                 row[:8] = [track.codec.strip(), track.width, track.height, len(offsets), track.timescale, ticks / track.timescale if track.timescale else None, int(sizes.sum()), ranges]
                 if digests:
@@ -317,11 +320,21 @@ def _reader(digests: bool):
                 row[11] = f"{type(e).__name__}: {e}"
             rows.append(row)
         columns = list(zip(*rows)) or [[]] * 12
+        columns[7] = _ranges(columns[7])
         return list(columns[:8] + columns[8:11] * digests + columns[11:]) if digests else [*columns[:8], columns[11]]
 
     return read
 
 
+def _ranges(pairs: list) -> pa.ListArray:
+    """Byte ranges from arrays of offsets and lengths, null for None, without an object for each."""
+    held = [x or (np.zeros(0, np.int64),) * 2 for x in pairs]
+    ends = np.concatenate([[0], np.cumsum([len(x[0]) for x in held])])
+    flat = [pa.array(np.concatenate([np.zeros(0, np.int64), *(x[k] for x in held)]).astype(np.int64)) for k in range(2)]
+    ranges = pa.StructArray.from_arrays(flat, ["offset", "length"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ranges, mask=pa.array([x is None for x in pairs], pa.bool_()))
+
+
 def _joined(offsets: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
     """Byte ranges of the samples in order, those that touch as one."""
     if not len(offsets):
@@ -337,7 +350,8 @@ def describe_media(df: DataFrame, media: str = "media", keys: tuple = ("doc_id",
     """codec, width, height, n_samples, timescale, seconds, sample_bytes, keyframes (byte ranges) and error of each file.
 
     The boxes are walked, and the sample tables and runs of fragments decoded; payload bytes are neither decoded nor copied. Counts
-    are held against the bytes that are there before anything is allocated, so a file costs a few times its size at most. Of several tracks the first
+    are held against the bytes that are there before anything is allocated: all runs together name no more samples than the file has bytes,
+    and none that is empty, so what is held is some integers for each byte at worst. Of several tracks the first
     with pictures counts, else the first. digests adds sha256, tail_crc32 (of the last 16 bytes) of the samples and file_sha256.
     A null or broken file gives a row with nulls and its error. Repeated rows each give a row, an empty table gives none; further
     columns are left out.
