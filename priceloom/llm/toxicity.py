@@ -31,7 +31,21 @@ IDENTITY = (
     ("musulmans", "chrétiens", "juifs"),
     ("mujeres", "hombres"),
     ("musulmanes", "cristianos", "judíos"),
+    ("disabled", "blind", "deaf", "autistic"),
+    ("americans", "mexicans", "africans", "europeans", "chinese", "russians"),
+    ("elderly", "teenagers", "children", "adults"),
+    ("ausländer", "einheimische", "flüchtlinge", "bürger"),
+    ("schwule", "lesben", "schwarze", "weiße"),
+    ("behinderte", "blinde", "rentner", "jugendliche"),
+    ("étrangers", "immigrés", "réfugiés", "citoyens"),
+    ("homosexuels", "lesbiennes", "noirs", "blancs"),
+    ("handicapés", "aveugles", "retraités", "jeunes"),
+    ("extranjeros", "inmigrantes", "refugiados", "ciudadanos"),
+    ("homosexuales", "lesbianas", "negros", "blancos"),
+    ("discapacitados", "ciegos", "ancianos", "jóvenes"),
 )
+#: Sentences of a text without identity terms that get one in turn.
+PLANTED = 4
 _OTHERS = {t: [o for o in group if o != t] for group in IDENTITY for t in group}
 _TRIM = re.compile(r"^[\W_]+|[\W_]+$")
 _SENTENCE = re.compile(r"(?<=[.!?\n])")
@@ -74,6 +88,32 @@ def swaps(sentence: str) -> list[str]:
     return [" ".join(where[i][k % len(where[i])] if i in where else x for i, x in enumerate(words)) for k in range(most)]
 
 
+def planted(sentence: str) -> list[str]:
+    """The sentence with a word, which its hash picks, replaced by each term of a list, which its hash picks too; none of under three words."""
+    words, h = sentence.split(), _hash("slot", sentence)
+    if len(words) < 3:
+        return []
+    place = (h >> 8) % len(words)
+    return [" ".join([*words[:place], term, *words[place + 1 :]]) for term in IDENTITY[h % len(IDENTITY)]]
+
+
+def counterfactuals(text: str | None, known: re.Pattern) -> list[tuple[str, str]]:
+    """Pairs of sentences that differ in their identity terms only: those of a text with such terms and their swaps, else PLANTED of its
+    sentences, evenly spaced, with a term put in and others in its place. Both mention groups neutrally as far as the label goes."""
+    sentences = _SENTENCE.split(text) if text else []
+    if text and known.search(text):
+        return [(x, other) for x in sentences if known.search(x) for other in swaps(x)]
+    long_ = [x for x in sentences if len(x.split(None, 3)) >= 3]
+    made = [planted(x) for x in long_[:: max(1, len(long_) // PLANTED)][:PLANTED]]
+    return [(first, other) for first, *others in made for other in others]
+
+
+def planted_term(text: str) -> str:
+    """The term that a text without identity terms is seen with a second time in training, picked by its hash."""
+    terms = list(_OTHERS)
+    return terms[_hash("term", text) % len(terms)]
+
+
 def _distinct(table: WordTable, text: str, more: bool = False) -> np.ndarray:
     words = list(distinct_words(text))
     found = np.unique(table.of(words))
@@ -81,28 +121,32 @@ def _distinct(table: WordTable, text: str, more: bool = False) -> np.ndarray:
 
 
 def _sample_features():
-    table = WordTable(features, WIDTH)
-    return lambda texts: [pa.array([_distinct(table, text or "", True) for text in texts], pa.list_(pa.int64()))]
+    """Each text's features, and that of the term with which it is seen a second time (0 for texts with terms of their own)."""
+    table, known = WordTable(features, WIDTH), _known()
+    term = lambda text: 0 if known.search(text) else features(planted_term(text))[0]
+    return lambda texts: [pa.array([_distinct(table, text or "", True) for text in texts], pa.list_(pa.int64())), [term(text or "") for text in texts]]
+
+
+def _known() -> re.Pattern:
+    return re.compile("|".join(map(re.escape, _OTHERS)), re.I)
 
 
 def _swap_products(shared):
-    """For each text: the products of its swaps' changes of features, as places i, j and sums over the swaps, and the number of swaps."""
-    table, chosen = WordTable(features, WIDTH), shared.value
-    known = re.compile("|".join(map(re.escape, _OTHERS)), re.I)
+    """For each text: the products of the changes of features in its counterfactuals, as places i, j and sums, and their number."""
+    table, chosen, known = WordTable(features, WIDTH), shared.value, _known()
 
     def products(texts: list) -> list:
         rows = []
         for text in texts:
             sums: Counter = Counter()
             n = 0
-            for sentence in _SENTENCE.split(text) if text and known.search(text) else ():
-                for other in swaps(sentence) if known.search(sentence) else ():
-                    n += 1
-                    old, new = set(_distinct(table, sentence).tolist()), set(_distinct(table, other).tolist())
-                    change = [(chosen[f], 1.0 if f in old else -1.0) for f in old ^ new if f in chosen]
-                    for i, x in change:
-                        for j, y in change:
-                            sums[i, j] += x * y
+            for sentence, other in counterfactuals(text, known):
+                n += 1
+                old, new = set(_distinct(table, sentence).tolist()), set(_distinct(table, other).tolist())
+                change = [(chosen[f], 1.0 if f in old else -1.0) for f in old ^ new if f in chosen]
+                for i, x in change:
+                    for j, y in change:
+                        sums[i, j] += x * y
             rows.append(([i for i, _ in sums], [j for _, j in sums], list(sums.values()), n))
         return list(zip(*rows)) or [[]] * 4
 
@@ -114,6 +158,7 @@ class Toxicity:
     features: dict[int, int]  # hash -> place
     weights: np.ndarray
     bias: float
+    swapped: int = 0  # pairs of the penalty
 
 
 def choose(rows: list[np.ndarray], y: np.ndarray, most: int = 2000, least_chi2: float = 20.0) -> dict[int, int]:
@@ -158,29 +203,36 @@ def fit(rows: list[np.ndarray], y: np.ndarray, chosen: dict[int, int], products:
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, bias = w - step[:-1], bias - step[-1]
-    return Toxicity(chosen, w.astype(np.float32), float(bias))
+    return Toxicity(chosen, w.astype(np.float32), float(bias), swapped)
 
 
-def train(docs: DataFrame, labels: DataFrame, keep, rows: int = 2000, label: str = "toxic", key: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> Toxicity:
+def train(docs: DataFrame, labels: DataFrame, keep, rows: int = 2000, label: str = "toxic", key: str = "doc_id", text: str = "text", scratch: Scratch | None = None, swap: float = 1.0) -> Toxicity:
     """A model from about `rows` labelled documents of each class (the bound on what the driver gets), whole texts, those that keep holds for.
 
-    Swaps stay in the tasks: of them the driver gets sums of products by pairs of features, so at most the square of the number of
+    Each text without identity terms counts a second time with one of them, label as before, so a mention by itself tells nothing of the label; and
+    its sentences give pairs in which such a term is swapped (counterfactuals), whose change of score is what the model is penalised for.
+    Pairs stay in the tasks: of them the driver gets sums of products by pairs of features, so at most the square of the number of
     features that identity terms have.
     """
     spark = docs.sparkSession
     sample = (scratch or Scratch(spark)).save(labelled_sample(docs, labels, label, keep, rows, key, text), "labelled")
-    got = map_texts(sample, _sample_features, [StructField("own", ArrayType(LongType()))], (key, "y"), text).toArrow().sort_by(key)
+    got = map_texts(sample, _sample_features, [StructField("own", ArrayType(LongType())), StructField("term", LongType())], (key, "y"), text).toArrow().sort_by(key)
     own = got.column("own").combine_chunks()
     flat, at = own.flatten().to_numpy(), np.concatenate([[0], np.cumsum(own.value_lengths().to_numpy())]).astype(int) if len(own) else np.zeros(1, int)
     found, y = [flat[a:b] for a, b in zip(at, at[1:])], got.column("y").to_numpy()
     chosen = choose(found, y)
+    term = got.column("term").to_numpy()
+    if chosen:
+        chosen |= {f: len(chosen) + k for k, f in enumerate(f for f in sorted({features(t)[0] for t in _OTHERS}) if f not in chosen)}
     shared = spark.sparkContext.broadcast(chosen)
     fields = [StructField("i", ArrayType(IntegerType())), StructField("j", ArrayType(IntegerType())), StructField("v", ArrayType(DoubleType())), StructField("n", LongType())]
     swaps_of = map_texts(sample, partial(_swap_products, shared), fields, (key,), text)
     swaps_of = (scratch or Scratch(spark)).save(swaps_of.where("n > 0"), "swaps")
     sums = swaps_of.select(F.inline(F.arrays_zip("i", "j", "v"))).groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
     swapped = swaps_of.agg(F.sum("n")).first()[0] or 0
-    return fit(found, y, chosen, {(r["i"], r["j"]): r["v"] for r in sums}, swapped)
+    again = np.flatnonzero(term)
+    rows_ = found + [np.append(found[k], term[k]) for k in again.tolist()]
+    return fit(rows_, np.concatenate([y, y[again]]), chosen, {(r["i"], r["j"]): r["v"] for r in sums}, swapped, swap=swap)
 
 
 def _scorer(shared):

@@ -3,6 +3,7 @@ import hashlib
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -453,6 +454,55 @@ def test_swaps_are_penalised(spark):
     assert n == made and np.allclose(got, want)
 
 
+def test_planted_terms(spark):
+    """Texts without identity terms get some; the penalty draws the scores of held-out pairs nearer where labels go with terms."""
+    known = toxicity._known()
+    text = "One two three four. Short it. Five six seven eight nine! " * 5
+    pairs = toxicity.counterfactuals(text, known)
+    assert pairs == toxicity.counterfactuals(text, known) and 4 <= len(pairs) <= 20 and toxicity.counterfactuals(None, known) == toxicity.counterfactuals("a b", known) == []
+    for old, new in pairs:
+        differ = [(a, b) for a, b in zip(old.split(), new.split()) if a != b]
+        assert len(differ) == 1 and differ[0][1] in toxicity._OTHERS[differ[0][0]] and len(old.split()) == len(new.split())
+    assert toxicity.counterfactuals("The women said so. Not here.", known) == [("The women said so.", x) for x in toxicity.swaps("The women said so.")]
+    draw = random.Random(6)
+    rows = []
+    for i in range(240):
+        words = draw.choices("alpha beta gamma delta epsilon zeta".split(), k=12) + (draw.choices("vile awful".split(), k=2) + ["muslim"] * (i % 3 == 0) if i % 2 else ["christian"] * (i % 3 == 0))
+        draw.shuffle(words)
+        rows.append((i, " ".join(words) + ".", i % 2))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    neutral = [f"alpha {t} beta gamma." for t in ("muslim", "christian", "jewish", "hindu")]
+    apart, wrong = [], []
+    for swap in (0.0, 1.0, 20.0):
+        model = toxicity.train(docs, labels, F.lit(True), swap=swap)
+        assert model.swapped > 200
+        scores = toxicity._scorer(spark.sparkContext.broadcast(model))(neutral)[0]
+        apart.append(max(scores) - min(scores))
+        wrong.append(sum(s >= 0.5 for s in scores))
+        right = toxicity._scorer(spark.sparkContext.broadcast(model))([t for _, t, _ in rows])[0]
+        assert sum((s >= 0.5) == (y == 1) for s, (_, _, y) in zip(right, rows)) > 230
+    assert apart[0] > apart[1] > apart[2] and apart[1] < 0.7 * apart[0] and wrong[2] <= wrong[0]
+    tables = [spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels")]
+    assert toxicity.train(*tables, crc_mod("doc_id", 5) != 0).swapped > 100
+
+
+def test_media_bombs():
+    """Runs without bytes of their own can't name more samples than the file has bytes; keyframes cost no object each."""
+    empty = media._full(b"trun", u32(24_000), flags=0)
+    many = movie([ENTRY], box(b"moof", box(b"traf", media._full(b"tfhd", u32(7), flags=0x20000), *[empty] * 2000)), box(b"mvex", media._full(b"trex", u32(7, 1, 2, 0, 0))))
+    ones = movie([ENTRY], box(b"moof", box(b"traf", media._full(b"tfhd", u32(7), flags=0x20000), *[media._full(b"trun", u32(400), flags=0)] * 2000)), box(b"mvex", media._full(b"trex", u32(7, 1, 2, 1, 0))))
+    n = 1 << 20
+    flat = movie([ENTRY, media._full(b"stts", u32(1, n, 1)), media._full(b"stsc", u32(1, 1, n, 1)), media._full(b"stsz", u32(1, n)), media._full(b"stco", u32(1, 8))], bytes(n))
+    tracemalloc.start()
+    for data in (many, ones, flat):
+        rows = media._reader(False)([data])
+        assert rows[8][0] if data is not flat else len(rows[7][0]) == n and rows[8][0] is None
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 120 * (1 << 20)
+
+
 def test_fits_against_slow_solvers():
     draw = np.random.default_rng(3)
     rows = [np.unique(draw.integers(0, 12, 5)) for _ in range(60)]
