@@ -11,6 +11,8 @@ from .text import bind
 #: after three digits; results depend on that.
 AMOUNT = r"(?:₺|TL)?\s*(\d{1,3}(?:[.\s]\d{3})*(?:[.,]\d{1,2})?|\d+(?:[.,]\d{1,2})?)\s*(?:₺|TL)?"
 LEAST, MOST = 1.0, 100_000.0
+#: Amounts whose thousands are grouped by dots, and by commas.
+DOTS, COMMAS = r"^\d{1,3}(\.\d{3})+(,\d+)?$", r"^\d{1,3}(,\d{3})+(\.\d+)?$"
 
 
 def parse_money(token: Column) -> Column:
@@ -28,8 +30,8 @@ def _amount(raw: Column) -> Column:
     comma, dot = raw.contains(","), raw.contains(".")
     last = lambda mark: F.length(raw) - F.locate(mark, F.reverse(raw))
     number = (
-        F.when(raw.rlike(r"^\d{1,3}(\.\d{3})+(,\d+)?$"), no_dots)
-        .when(raw.rlike(r"^\d{1,3}(,\d{3})+(\.\d+)?$"), no_commas)
+        F.when(raw.rlike(DOTS), no_dots)
+        .when(raw.rlike(COMMAS), no_commas)
         .when(comma & dot, F.when(last(",") > last("."), no_dots).otherwise(no_commas))
         .when(comma, F.when(F.length(F.substring_index(raw, ",", -1)) <= 2, no_dots).otherwise(no_commas))
         .otherwise(raw)

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 #: Letters of names and what they become in normal forms.
 LETTERS, PLAIN = "çğıöşü", "cgiosu"
 
+#: Letters of province names and what they become in slugs.
+SLUG_LETTERS = "çÇğĞıİIöÖşŞüÜ", "ccggiiioossuu"
+
 #: Provinces whose slug is set by hand.
 SLUGS = {
     "Afyonkarahisar": "afyon", "Kahramanmaraş": "kahramanmaras", "Şanlıurfa": "sanliurfa", "Şırnak": "sirnak", "İstanbul": "istanbul", "İzmir": "izmir",
@@ -39,7 +42,7 @@ def norm_name(c: Column) -> Column:
 def province_slug(c: Column) -> Column:
     """The slug set by hand, else plain letters in lower case without spaces."""
     table = F.create_map(*[F.lit(x) for pair in SLUGS.items() for x in pair])
-    plain = F.translate(c, "çÇğĞıİIöÖşŞüÜ", "ccggiiioossuu")
+    plain = F.translate(c, *SLUG_LETTERS)
     return F.coalesce(F.try_element_at(table, c), F.replace(F.lower(plain), F.lit(" "), F.lit("")))
 
 

@@ -100,6 +100,7 @@ def page_links(parsed: DataFrame, key: str, wanted, most: int = 40) -> DataFrame
     """key, rank and link: of each page of parse_pages (with url) the links that wanted(href, text, absolute URL) holds for.
 
     Links are absolute, without fragments and repeats, in the page's order, the first `most`. A page's own links alone are held together.
+    Pages that are null, have no url or no wanted link give no rows, as an empty table does; pages of one key count together.
     """
     links = parsed.select(key, "url", F.posexplode("parsed.links").alias("at", "x"))
     full = links.withColumn("link", join_url(F.col("url"), F.col("x.href")))

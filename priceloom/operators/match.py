@@ -64,7 +64,11 @@ def match_pages(pages: DataFrame, facilities: DataFrame, page_key: str = "url")
 
 
 def pick_facility(facilities: DataFrame) -> DataFrame:
-    """il, ord and isim of each province's facility: the shortest of those named like the province, else the only candidate."""
+    """il, ord and isim of each province's facility: the shortest of those named like the province, else the only candidate.
+
+    Of equally short names the first listed counts. Null names are no candidates, a null province has none named like it; provinces without a
+    clear facility, and empty tables, give no rows.
+    """
     found = facilities.where(candidate_filter(F.col("isim")))
     exact = norm_name(F.col("isim")) == F.concat(norm_name(F.col("il")), F.lit("polisevi"))
     ranked = found.groupBy("il").agg(F.count("*").alias("n"), F.bool_or(exact).alias("named"), F.min(F.struct((~exact).alias("other"), F.length("isim").alias("len"), "ord", "isim")).alias("best"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import html, money, text, urls
 from ..operators import frontier, match, runs, search, tariff, upsert
 from ..sources import documents
-from ..streaming import buckets, incremental
+from ..streaming import buckets
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -185,6 +185,18 @@ def page_links_topk(spark, sf_dir):
     return urls.page_links(parsed, "page_id", lambda href, text, link: href.startswith("/"))
 
 
+@query(r"""
+WITH found AS (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS site, unnest(h) AS a, unnest(range(len(h))) AS place
+               FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\s[^>]*href="/[^"]*"[^>]*>[^<]*</a>') AS h FROM pages)),
+ cut AS (SELECT page_id, site, place, regexp_extract(a, 'href="([^"]*)"', 1) AS href, trim(regexp_extract(a, '>([^<]*)<', 1)) AS said FROM found),
+ kept AS (SELECT page_id, site || split_part(href, '#', 1) AS link, min(place) AS place FROM cut WHERE site LIKE '%example.com' AND regexp_matches(lower(href || ' ' || said), 'th|fiyat') GROUP BY ALL)
+SELECT page_id, link, (row_number() OVER (PARTITION BY page_id ORDER BY place))::INT AS rank FROM kept QUALIFY rank <= 40""")
+def page_links_gate(spark, sf_dir):
+    """Links whose address or text has one of two words and whose host is in a domain, absolute, in order."""
+    parsed = html.parse_pages(_t(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return urls.page_links(parsed, "page_id", lambda href, text, link: urls.link_wanted(href, text, link, ("th", "fiyat"), "example.com"))
+
+
 @query(r"""
 WITH p AS (SELECT page_id, html, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS netloc FROM pages)
 SELECT page_id, netloc, replace(replace(replace(lower(netloc), 'www.', ''), 'ogretmenevi.com.tr', ''), '.com.tr', '') AS core, netloc LIKE '%.org' AS in_domain,
@@ -461,10 +473,10 @@ def incremental_upsert(spark, sf_dir):
     folder = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
     _t(spark, sf_dir, "events").select(*columns).repartition(3).write.parquet(f"{folder}/in")
     stream = spark.readStream.schema(spark.read.parquet(f"{folder}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    sink = incremental.UpsertSink(spark, f"{folder}/out", ["user_id"], "event_id")
     # Files come in any order, so an older event in a later batch must not win: the batch meets the state on event_id.
-    incremental.run_available(stream, sink.latest, f"{folder}/state")
-    return sink.result()
+    state = buckets.BucketState(spark, f"{folder}/out", ["user_id"], "event_id", buckets=16)
+    buckets.run_available(stream, state.merge, f"{folder}/state")
+    return state.result()
 
 
 @query(r"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,6 +110,12 @@ class BucketState:
         return self._rows(versions, schema)
 
 
+def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], object], checkpoint: str) -> None:
+    """Runs the stream over all that is there, in micro-batches, and waits."""
+    call = lambda batch, number: sink(batch, number) and None
+    stream.writeStream.foreachBatch(call).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def flush_counts(hits: DataFrame, keys: list[str], every: int = 3) -> DataFrame:
     """keys, n and flushes: how often a run of its own for each key would have flushed its hits before its end."""
     return hits.groupBy(*keys).agg(F.count("*").alias("n"), F.expr(f"count(*) div {every}").alias("flushes"))
