@@ -179,19 +179,17 @@ def text_lines(text: Column) -> Column:
     return bind(by_mark, lambda x: F.when(F.size(x) >= 8, x).otherwise(lines(text, r"\s{2,}|\n")))
 
 
-def stacked_prices(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with stacked: struct(kurum, kamu, sivil) of price arrays from texts without tables.
+def stacked_of(text: Column) -> Column:
+    """struct(kurum, kamu, sivil) of price arrays of a text without tables.
 
     A line that names a room and has no amount opens a section, which ends before the next such line. Of a section the first three
     lines with amounts count if they are room prices that don't fall and rise to five times the first at most; from the sixth line
     of the section on, a line without an amount before the third price ends it. All of it is narrow: arrays of the text's own row.
     Texts without the year, a word on members and one on guests have empty buckets, as null texts do.
     """
-    value = F.col(text)
-    wanted = value.contains(YEAR) & _like(value, SCAN_HINTS["kurum"]) & (_like(value, SCAN_HINTS["sivil"]) | _like(value, GUEST))
 
     def line(x: Column, i: Column) -> Column:
-        price = bind(scan_money(x), lambda found: pick_line(found))
+        price = bind(F.when(x.rlike("[0-9]"), scan_money(x)), lambda found: pick_line(found))
         return bind(price, lambda v: F.struct(i.alias("i"), v.alias("v"), (v.isNull() & _like(x, ROOM)).alias("head"), (v.isNull() & _like(x, OTHER)).alias("other")))
 
     def triples(rows: Column) -> Column:
@@ -214,10 +212,18 @@ def stacked_prices(df: DataFrame, text: str = "text") -> DataFrame:
 
         return F.filter(F.transform(sections, three), lambda t: t.isNotNull())
 
-    lines = F.transform(text_lines(value), line)
-    made = F.when(wanted, bind(lines, triples))
-    buckets = bind(made, lambda t: F.struct(*[F.coalesce(F.transform(t, lambda x: F.get(x, F.lit(k))), F.array().cast("array<double>")).alias(r) for k, r in enumerate(ROLES)]))
-    return df.withColumn("stacked", buckets)
+    def of_text(value: Column) -> Column:
+        wanted = value.contains(YEAR) & _like(value, SCAN_HINTS["kurum"]) & (_like(value, SCAN_HINTS["sivil"]) | _like(value, GUEST))
+        return F.when(wanted, bind(F.transform(text_lines(value), line), triples))
+
+    # Bound, since the text may itself be an expression, which would be computed wherever it stands.
+    made = bind(text, of_text)
+    return bind(made, lambda t: F.struct(*[F.coalesce(F.transform(t, lambda x: F.get(x, F.lit(k))), F.array().cast("array<double>")).alias(r) for k, r in enumerate(ROLES)]))
+
+
+def stacked_prices(df: DataFrame, text: str = "text") -> DataFrame:
+    """df with stacked: stacked_of the text column."""
+    return df.withColumn("stacked", stacked_of(F.col(text)))
 
 
 def pick_line(found: Column) -> Column:
@@ -244,19 +250,30 @@ def entries(parsed: DataFrame, profile: Profile, url: str = "url", keep: tuple =
     parsed comes from parse_of_year, or from parse_pages over pages with the year.
 
     scan: where tables give fewer than two prices for kurum or sivil, the stacked lines of the text count instead.
+
+    All of a page is one expression, whose parts are bound, and a page without an entry generates no row: were the entries filtered
+    instead, Catalyst would put the filter below and compute the prices once for each place that they stand at.
     """
-    page = parsed.withColumn("prices", table_prices(F.col("parsed"), profile)).withColumn("said", page_text(F.col("parsed")))
-    text = F.col("said")
-    if profile.name == "probe":
-        page = page.where(gates_probe(F.lit(YEAR) if "html_year" not in page.columns else F.when(F.col("html_year"), F.lit(YEAR)), text))
-        label = validity(text, "probe")
-    else:
-        if "html_year" in page.columns:
-            page = page.where(F.col("html_year") | text.contains(YEAR))
-        page = stacked_prices(page, "said")
-        thin = (F.size("prices.kurum") < profile.needed) | (F.size("prices.sivil") < profile.needed)
-        page = page.withColumn("thin", thin).withColumn("prices", F.when(F.col("thin"), F.col("stacked")).otherwise(F.col("prices")))
-        label = F.when(F.col("thin"), validity(text, "stacked")).otherwise(F.concat(validity(text, "scan"), tax_note(text)))
-    page = page.where(accepted(F.col("prices"), profile))
     named = {"fiyat_sivil": "sivil", "fiyat_kamu_personeli": "kamu", "fiyat_kurum_personeli": "kurum"}
-    return page.select(url, *[range_of(F.col(f"prices.{r}")).alias(n) for n, r in named.items()], F.col(url).alias("kaynak"), label.alias("gecerlilik"), *[bucket_stats(F.col("prices")).alias(c) if c == "stats" else F.col(c) for c in keep])
+    year = F.col("html_year") if "html_year" in parsed.columns else F.lit(True)
+
+    def row(prices: Column, label: Column) -> Column:
+        ranges = [range_of(prices[r]).alias(n) for n, r in named.items()]
+        made = F.struct(*ranges, F.col(url).alias("kaynak"), label.alias("gecerlilik"), *[bucket_stats(prices).alias("stats")] * ("stats" in keep))
+        return F.when(accepted(prices, profile), F.array(made))
+
+    def of_text(text: Column) -> Column:
+        tables = table_prices(F.col("parsed"), profile)
+        if profile.name == "probe":
+            return F.when(year & gates_probe(F.lit(YEAR), text), bind(tables, lambda prices: row(prices, validity(text, "probe"))))
+
+        def of_tables(prices: Column) -> Column:
+            thin = (F.size(prices["kurum"]) < profile.needed) | (F.size(prices["sivil"]) < profile.needed)
+            lines = bind(stacked_of(text), lambda stacked: row(stacked, validity(text, "stacked")))
+            return F.when(thin, lines).otherwise(row(prices, F.concat(validity(text, "scan"), tax_note(text))))
+
+        return F.when(year | text.contains(YEAR), bind(tables, of_tables))
+
+    found = F.inline(bind(page_text(F.col("parsed")), of_text))
+    rows = parsed.select(url, *[c for c in keep if c != "stats"], found)
+    return rows.select(url, *named, "kaynak", "gecerlilik", *keep)

@@ -53,6 +53,12 @@ class Rounds:
         return self.spark.read.parquet(*[f"{self.folder}/round{k}" for k in range(number)])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many partitions as there are cores, if it has fewer: for costly work on small files, which one task would read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def facilities(spark: SparkSession, paths: list[str], required: bool = True) -> DataFrame:
     """ord, il, isim and tip of the first of the paths that exists; ord is the place in its list."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
