@@ -85,7 +85,7 @@ SELECT o_orderkey, list_sum(list_filter({_fill(_SCAN, 'grouped')}, lambda v: v B
        len(list_filter({_fill(_SCAN, 'plain')}, lambda v: v BETWEEN 1 AND 100000))::INT AS plain_found FROM said""")
 def money_scan_totals(spark, sf_dir):
     """Grouped numbers are read whole; ungrouped ones are cut after three digits."""
-    orders = _t(spark, sf_dir, "orders")
+    orders = documents.spread(_t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"))
     plain = F.concat(F.translate(F.format_number("o_totalprice", 0), ",", ""), F.lit(" TL"))
     total = lambda a: F.when(F.size(a) > 0, F.aggregate(a, F.lit(0.0), lambda x, y: x + y))
     return orders.select("o_orderkey", total(money.scan_money(_turkish(F.col("o_totalprice")))).alias("grouped_sum"), F.size(money.scan_money(plain)).alias("plain_found"))
@@ -100,7 +100,7 @@ def range_format_orders(spark, sf_dir):
 @query(f"SELECT 'n' || n_nationkey AS id, {_fill(_NORM, 'n_name')} AS norm FROM nation UNION ALL SELECT 'c' || c_custkey, {_fill(_NORM, 'c_name')} FROM customer UNION ALL SELECT 'd' || doc_id, {_fill(_NORM, 'text')} FROM documents")
 def norm_names(spark, sf_dir):
     parts = [("n", "nation", "n_nationkey", F.col("n_name")), ("c", "customer", "c_custkey", F.col("c_name")), ("d", "documents", "doc_id", F.col("text"))]
-    made = [_t(spark, sf_dir, t).select(F.concat(F.lit(p), F.col(k)).alias("id"), text.norm_name(c).alias("norm")) for p, t, k, c in parts]
+    made = [documents.spread(_t(spark, sf_dir, t).select(k, c)).select(F.concat(F.lit(p), F.col(k)).alias("id"), text.norm_name(c).alias("norm")) for p, t, k, c in parts]
     return made[0].unionByName(made[1]).unionByName(made[2])
 
 
@@ -277,7 +277,7 @@ SELECT doc_id, isim, ord::INT AS ord, score::INT AS score FROM (
   SELECT doc_id, isim, ord, 120 + length(fn) AS score, row_number() OVER (PARTITION BY doc_id ORDER BY length(fn) DESC, ord) AS k FROM p JOIN f ON contains(blob, fn)) WHERE k = 1""")
 def match_theta_argmax(spark, sf_dir):
     """Documents against names by containment, the best score, the first listed on ties."""
-    pages = _t(spark, sf_dir, "documents").select("doc_id", F.lit("").alias("url"), F.lit("").alias("title"), "text")
+    pages = documents.spread(_t(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.lit("").alias("url"), F.lit("").alias("title"), "text")
     extra = spark.createDataFrame([(100, "onthe"), (101, "there"), (102, "onthe")], "ord int, isim string")
     fac = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("isim")).unionByName(extra).withColumn("il", F.lit(""))
     return match.match_pages(pages, fac, "doc_id").select("doc_id", "isim", "ord", "score")
