@@ -21,15 +21,42 @@ from .tokens import byte_chars, load
 #: Up to here letters, digits and white space are the same in every version of Unicode that the libraries use.
 _SETTLED = re.compile(r"[^\x00-\x1b\x20-\x84\x86-ɏ‐-‧]")
 _PIECE = re.compile(r"[^\W\d_²³¹¼½¾]+|[^\W_]|'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]|_)+")
+#: What is implemented here of a file of the tokenizers library, fixed values; other files are refused.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+PLAIN = ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")
 #: Bytes that the newer half of the cache of encoded words may hold; twice as many are held at most.
 WORD_BYTES = 48 << 20
 
 
+def refuse(spec: dict) -> None:
+    """Raises ValueError, with the reason, for a file that would be encoded or decoded in another way than the library does."""
+    model, pre = spec.get("model") or {}, spec.get("pre_tokenizer") or {}
+    steps = [{k: v for k, v in step.items() if k != "trim_offsets"} for step in pre.get("pretokenizers", [pre])]
+    wrong = None
+    if model.get("type") != "BPE" or any(model.get(k) for k in PLAIN):
+        wrong = "its model is no plain BPE"
+    elif spec.get("normalizer") != NORMALIZER:
+        wrong = "it has another normalizer"
+    elif pre.get("type") != "Sequence" or steps != [SPLIT, BYTES]:
+        wrong = "it has another pre-tokenizer"
+    elif spec.get("decoder"):
+        wrong = "it has a decoder"
+    elif any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] for x in spec.get("added_tokens") or []):
+        wrong = "an added token takes more than its own text"
+    elif (ids := {x["id"] for x in spec.get("added_tokens") or []} | set(model["vocab"].values())) != set(range(len(ids))):
+        wrong = "its ids have gaps"
+    if wrong:
+        raise ValueError(f"can't encode by this tokenizer file: {wrong}")
+
+
 class Backtracker:
     """Encodes words of a byte-level BPE vocabulary whose ids rise with the rank of their merge."""
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
+        refuse(spec)
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"] or ""
         vocab: dict[str, int] = model["vocab"]
@@ -190,10 +217,11 @@ def _encoder(path: str, keep_ids: bool, keep_text: bool):
 def bpe_round_trip(df: DataFrame, path: str, text: str = "text", keys: tuple = ("doc_id",), keep_ids: bool = True, keep_text: bool = True) -> DataFrame:
     """keys, n_tokens, ids_sha256 and decoded_sha256 of each text, with ids (array) and decoded (string) if kept.
 
-    path: a BPE file of the tokenizers library (NFC, lower case, words with an end mark). Null and empty texts have no ids and
+    path: a BPE file of the tokenizers library (NFC, lower case, words with an end mark); any other raises ValueError at once. Null and empty texts have no ids and
     decode to the empty string. Special strings inside a text are their single tokens. Long texts need 4 bytes a token and one
     list of their words. Repeated rows each give a row, an empty table gives none; further columns are left out.
     """
+    refuse(json.load(open(path, encoding="utf-8")))
     fields = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]
     fields += [StructField("ids", ArrayType(IntegerType()))] * keep_ids + [StructField("decoded", StringType())] * keep_text
     return map_texts(df, partial(_encoder, path, keep_ids, keep_text), fields, keys, text)

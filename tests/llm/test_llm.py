@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import json
 import random
 import re
 import struct
@@ -58,6 +59,19 @@ def test_bpe(docs):
     assert bpe.bpe_round_trip(empty(docs), path).count() == 0
 
 
+def test_bpe_refuses_other_files(docs):
+    with pytest.raises(ValueError, match="another normalizer"):
+        bpe.bpe_round_trip(docs, P.path("byte_bpe_50k.json"))
+    spec = json.load(open(P.path("word_bpe_49k.json"), encoding="utf-8"))
+    bpe.refuse(spec)
+    added, split, last = spec["added_tokens"], *spec["pre_tokenizer"]["pretokenizers"]
+    lenient = {"type": "Sequence", "pretokenizers": [{**split, "behavior": "Isolated"}, last]}
+    for change in ({"decoder": {"type": "ByteLevel"}}, {"pre_tokenizer": last}, {"pre_tokenizer": lenient}, {"pre_tokenizer": None}, {"normalizer": None}, {"model": {**spec["model"], "dropout": 0.1}},
+                   {"model": {**spec["model"], "type": "Unigram"}}, {"added_tokens": [{**added[0], "lstrip": True}]}, {"added_tokens": [{**added[0], "id": 60_000}]}):
+        with pytest.raises(ValueError, match="can't encode"):
+            bpe.refuse(spec | change)
+
+
 def test_tokens_of_random_texts():
     path = P.path("byte_bpe_50k.json")
     lib, count, draw = Tokenizer.from_file(path), tokens._counter(path), random.Random(4)
