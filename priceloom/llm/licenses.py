@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from .arrow import lower_az, map_texts
+from .notices import NOTICES
 
 #: Words of license texts: letters and digits of ASCII, and all beyond ASCII.
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -171,7 +172,7 @@ def _keyword(words: str) -> str:
 
 @lru_cache(1)
 def rules() -> tuple[Rule, ...]:
-    """All signature rules in order: base phrases, names with versions, names, identifiers, sentences."""
+    """All signature rules in order: base phrases, names with versions, names, identifiers, sentences and notices."""
     out = [Rule(0, label, re.escape(phrase).replace(r"\ ", " "), _keyword(phrase), 1.0) for phrase, label in BASE]
     for label, names, versions in FAMILIES:
         for name in names:
@@ -192,7 +193,7 @@ def rules() -> tuple[Rule, ...]:
     for name in SPDX:
         label = re.sub("-(only|or-later)$", "", name).lower().removesuffix(".0")
         out.append(Rule(1, label, "spdx license identifier " + " ".join(TOKEN.findall(name.lower())), "spdx", 0.98))
-    out += [Rule(4, label, pattern, keyword, 0.6) for label, keyword, pattern in SENTENCES]
+    out += [Rule(4, label, pattern, keyword, 0.6) for label, keyword, pattern in (*SENTENCES, *NOTICES)]
     return tuple(out)
 
 

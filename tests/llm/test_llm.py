@@ -13,8 +13,11 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import license_texts
+
 from priceloom.llm import bpe, chat, jaccard, licenses, media, mixing, quality_model, queries, rules, tokens, toxicity
-from priceloom.llm.arrow import crc_mod
+from priceloom.llm.arrow import crc_mod, lower_az
+from priceloom.llm.notices import NOTICES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = "wort " * 60_000 + "<|endoftext|>"
@@ -412,7 +415,8 @@ def test_licenses_against_slow_rules():
     draw = random.Random(9)
     bits = [phrase for phrase, _ in licenses.BASE] + ["MIT License", "gpl v2 or later", "GNU General Public License version 3", "apache-2.0", "Creative Commons Attribution 4.0", "cc by-nc-sa 3.0", "SPDX-License-Identifier: GPL-2.0-or-later", "SPDX-License-Identifier: MIT", "all rights reserved", "the", "license", "é", "by", "x11 license", "bsd 3 clause", "see the LICENSE file for details", "is a registered trademark of", "Under the MIT"]
     bits += [re.sub(r"[(]\?[:P<>\w]*|[|?)].*", "", p).strip() for _, _, p in licenses.SENTENCES]
-    texts = [None, ""] + [" ".join(draw.choice(bits) for _ in range(draw.randint(0, 14))) for _ in range(300)]
+    bits += [text for _, text in license_texts.TEXTS]
+    texts = [None, ""] + [" ".join(draw.choice(bits) for _ in range(draw.randint(0, 14))) for _ in range(100)]
     got = list(zip(*licenses._scanner()(texts)))
     for text, row in zip(texts, got):
         assert row[:6] == slow_licenses(text), text
@@ -420,6 +424,21 @@ def test_licenses_against_slow_rules():
         assert re.search(rf"\b{rule.keyword}\b", rule.pattern), rule
 
 
+def test_each_signature_by_a_text():
+    texts = [text for _, text in license_texts.TEXTS]
+    for (labels, text), row in zip(license_texts.TEXTS, zip(*licenses._scanner()(texts))):
+        assert set(labels.split(",")) <= set(row[5]), (text, row[5])
+    padded = [f" {' '.join(licenses.TOKEN.findall(lower_az(text)))} " for text in texts]
+    by_hand = (*licenses.SENTENCES, *NOTICES)
+    assert len({pattern for _, _, pattern in by_hand}) == len(by_hand) >= 200
+    for label, keyword, pattern in by_hand:
+        met = [re.search(rf"(?<= )(?:{pattern})(?= )", words) for words in padded]
+        assert any(met), (label, pattern)
+        assert all(keyword in m[0].split() for m in met if m), (label, keyword)
+    clean = ["We deal with art and a common game, and hope that either version of the package will sell.", "The user may choose the header; no fee for the open module."]
+    assert all(row[5] == [] for row in zip(*licenses._scanner()(clean)))
+
+
 def test_models(spark, docs):
     all_docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     held = crc_mod("doc_id", 3) == 1
