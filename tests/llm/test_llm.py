@@ -6,6 +6,7 @@ import re
 import struct
 import tracemalloc
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers as P
@@ -62,9 +63,9 @@ def test_bpe(docs):
     assert bpe.bpe_round_trip(empty(docs), path).count() == 0
 
 
-def test_bpe_refuses_other_files(docs):
+def test_bpe_refuses_other_files():
     with pytest.raises(ValueError, match="another normalizer"):
-        bpe.bpe_round_trip(docs, P.path("byte_bpe_50k.json"))
+        bpe.Backtracker(P.path("byte_bpe_50k.json"))
     spec = json.load(open(P.path("word_bpe_49k.json"), encoding="utf-8"))
     bpe.refuse(spec)
     added, split, last = spec["added_tokens"], *spec["pre_tokenizer"]["pretokenizers"]
@@ -352,6 +353,31 @@ def test_mix(spark, docs):
     assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
 
 
+def slow_targets(sizes, cap=3):
+    """Targets by filling up in exact fractions: sources that reach their cap leave one by one, the rest share anew by weight."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: [*map(ord, s)]) + [None] * (None in sizes)
+    weight = {s: k % 3 + 1 for k, s in enumerate(names)}
+    target, open_ = {}, set(names)
+    while open_:
+        left = sum(sizes.values()) - sum(target.values())
+        share = {s: Fraction(left * weight[s], sum(weight[x] for x in open_)) for s in open_}
+        over = [s for s in open_ if share[s] > cap * sizes[s]]
+        if not over:
+            return target | share
+        target[over[0]] = Fraction(cap * sizes[over[0]])
+        open_.remove(over[0])
+    return target
+
+
+def test_targets_by_filling_up(spark):
+    draw = random.Random(8)
+    for n in (1, 2, 3, 7, 30):
+        sizes = {f"{chr(draw.choice([65, 97, 0xE9, 0x1F600]))}{k}": int(draw.expovariate(1) ** 4 * 100) for k in range(n)} | ({None: draw.randint(0, 50)} if n != 2 else {})
+        df = spark.createDataFrame([(s, part) for s, size in sizes.items() for part in (size // 2, size - size // 2)], "source string, size long")
+        got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
+        assert got == {s: pytest.approx(float(t)) for s, t in slow_targets(sizes).items()}
+
+
 def test_mix_of_repeated_rows(spark, monkeypatch):
     monkeypatch.setattr(mixing, "CHUNK", 1000)
     many = spark.range(100_000).select(F.lit(7).alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s0").alias("source"))
