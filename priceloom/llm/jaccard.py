@@ -29,7 +29,8 @@ SAMPLE = 64
 REACH = 0.1
 #: Sketches of counts that one task adds up.
 FAN = 16
-#: 64-bit words of the bitmaps that bound the differences of two documents from below: in rows of a bucket, and for pairs.
+#: 64-bit words of the bitmaps that bound the differences of two documents from below: in rows of counted shingles, and in rows of
+#: neighbourhoods and for pairs. Bits of a set must be few among them, or sets that differ by little more than they may seem close.
 SKETCH, WIDE = 8, 64
 #: Low bits of a key that hold its partition.
 PARTITION_BITS = 8
@@ -405,7 +406,7 @@ class Neighbourhoods:
         return need, {number: order[: max(0, most.get(number, 0))] for number, order in orders.items()}
 
     def rows(self, chosen: dict[int, np.ndarray]) -> DataFrame:
-        """rep, key, kind, size, map: of the chosen segments, those that aren't crowded whole (kind 0) and with an element taken out (1)."""
+        """rep, key, kind, size, x0..: of the chosen segments, those that aren't crowded whole (kind 0) and with an element taken out (1)."""
         shared = self.spark.sparkContext.broadcast(chosen)
 
         def make(s: np.ndarray, b: Budget) -> tuple:
@@ -413,10 +414,10 @@ class Neighbourhoods:
             wanted[shared.value[b.p.number]] = True
             whole, taken = b.keys[wanted & ~b.skipped], np.unique(b.taken[wanted[b.of]])
             n = len(whole) + len(taken)
-            maps = np.tile(np.array(_bitmap(s, SKETCH), np.int64), (n, 1))
+            maps = np.tile(np.array(_bitmap(s, WIDE), np.int64), (n, 1))
             return np.concatenate([whole, taken]), np.repeat([0, 1], [len(whole), len(taken)]), np.full(n, len(s)), *maps.T
 
-        fields = ["key", "kind", "size", *_MAP]
+        fields = ["key", "kind", "size", *_map(WIDE)]
         return self._heavy(make, StructType([*_schema(self.texts, "rep"), *(StructField(n, LongType()) for n in fields)]))
 
 
@@ -425,20 +426,21 @@ def _within(b: Budget, order: np.ndarray) -> int:
     return reach if reach and reach <= REACH * b.p.segments else -1
 
 
-_MAP = [f"x{k}" for k in range(SKETCH)]
+def _map(words: int) -> list[str]:
+    return [f"x{k}" for k in range(words)]
 
 
-def _close(num: int, other: str) -> Column:
+def _close(num: int, other: str, words: int) -> Column:
     """Whether sizes and bitmaps of two rows, the other's columns with a suffix, allow similar sets."""
-    differ = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(x + other))) for x in _MAP), F.lit(0))
+    differ = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(x + other))) for x in _map(words)), F.lit(0))
     sizes = F.col("size"), F.col("size" + other)
     return (differ * (100 + num) <= (sizes[0] + sizes[1]) * (100 - num)) & (F.least(*sizes) * 100 >= F.greatest(*sizes) * num)
 
 
-def _met(left: DataFrame, right: DataFrame, on: str, where: str, num: int) -> DataFrame:
+def _met(left: DataFrame, right: DataFrame, on: str, where: str, num: int, words: int = SKETCH) -> DataFrame:
     """a, b: pairs of rows with equal keys for which where holds (columns of right end in _2), of different components and close."""
     other = right.select(*[F.col(c).alias(f"{c}_2") for c in right.columns])
-    met = left.join(other, (left[on] == other[f"{on}_2"]) & F.expr(f"c <> c_2 AND ({where})") & _close(num, "_2"))
+    met = left.join(other, (left[on] == other[f"{on}_2"]) & F.expr(f"c <> c_2 AND ({where})") & _close(num, "_2", words))
     return met.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b"))
 
 
@@ -474,7 +476,7 @@ def _cell(s: np.ndarray, bits: int) -> np.ndarray:
 def _prefixes(texts: DataFrame, shared, bits: int, width: int, num: int, bucket: int) -> DataFrame:
     """rep, g, count, size, common, x0..: the shingles by which a document meets similar ones, its size, a hash of its common
     shingles (those that count over bucket), and its bitmap."""
-    names = ["g", "count", "size", "common", *_MAP]
+    names = ["g", "count", "size", "common", *_map(SKETCH)]
     schema = StructType([*_schema(texts, "rep"), *(StructField(n, LongType()) for n in names)])
 
     def run(batches):
@@ -506,7 +508,7 @@ def _residual(texts: DataFrame, rows: int, comps: DataFrame, width: int, num: in
     docs = _prefixes(texts, shared, bits, width, num, bucket).join(comps, "rep", "left").withColumn("c", F.coalesce("comp", "rep")).drop("comp")
     prefix = scratch.save(docs, "prefixes")
     rare, often = prefix.where(F.col("count") <= bucket), prefix.where(F.col("count") > bucket)
-    least = often.groupBy("g", "common").agg(F.min(F.struct("size", "rep", "c", *_MAP)).alias("m")).select("g", "m.*")
+    least = often.groupBy("g", "common").agg(F.min(F.struct("size", "rep", "c", *_map(SKETCH))).alias("m")).select("g", "m.*")
     return _met(rare, rare, "g", "rep < rep_2", num).unionByName(_met(often, scratch.save(least, "least"), "g", "true", num))
 
 
@@ -568,7 +570,7 @@ class Links:
         need, chosen = made.allocate()
         rows = made.rows(chosen).distinct().join(comps, "rep", "left").withColumn("c", F.coalesce("comp", "rep")).drop("comp")
         rows = self.scratch.save(rows, "deletions")
-        found = _met(rows.where("kind = 0"), rows.where("kind = 1"), "key", "true", self.num)
+        found = _met(rows.where("kind = 0"), rows.where("kind = 1"), "key", "true", self.num, WIDE)
         beyond = self.scratch.save(need.where("reach < 0").select("rep").distinct(), "beyond")
         if not noted(beyond)["rows"]:
             return found

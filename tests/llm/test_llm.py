@@ -278,6 +278,22 @@ def test_jaccard_of_families_near_the_threshold(spark, monkeypatch, sample):
     assert got == brute(rows)
 
 
+def test_jaccard_neighbourhood_rows_tell_sets_beyond_the_threshold_apart(spark):
+    """Rows carry bitmaps that rule out sets of 390 shingles with 110 differences or more, and none with 40 (up to 86 are similar)."""
+    draw = np.random.default_rng(23)
+    base, made = draw.integers(0, 1 << 62, 370).astype(np.uint64), []
+    for i in range(40):
+        own = draw.integers(0, 1 << 62, 20).astype(np.uint64)  # 40 differences between two of the first ten, over 110 between others
+        s = np.concatenate([base, own]) if i < 10 else np.concatenate([base[: 370 - 35], draw.integers(0, 1 << 62, 55).astype(np.uint64)])
+        made.append((i, i, 7, i % 2, len(s), *jaccard._bitmap(s, jaccard.WIDE)))
+    rows = spark.createDataFrame(made, "rep long, c long, key long, kind long, size long, " + ", ".join(f"{x} long" for x in jaccard._map(jaccard.WIDE)))
+    met = jaccard._met(rows.where("kind = 0"), rows.where("kind = 1"), "key", "true", 80, jaccard.WIDE)
+    assert sorted(map(tuple, met.collect())) == sorted((min(a, b), max(a, b)) for a in range(0, 10, 2) for b in range(1, 10, 2))
+    texts = spark.createDataFrame([(1, "a b c d e f")], "rep long, text string")
+    job = jaccard.Neighbourhoods(texts, rows.select("key").limit(0), 5, 80, jaccard.Scratch(spark))
+    assert job.rows({}).columns[-1] == f"x{jaccard.WIDE - 1}"
+
+
 def test_jaccard_links_no_texts_without_words(spark):
     rows = [(i, t) for i, t in enumerate(["", "", " ", " ", "\n", "\n", None, None, "a", "a", "\u00a0", "\u00a0"])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
