@@ -74,3 +74,15 @@ def test_many_names_meet_by_gram(spark):
     made = match.match_pages(few, names, "page")
     assert "NestedLoop" not in made._jdf.queryExecution().toString()
     assert {r["page"]: r["ord"] for r in made.collect()} == {i: 31 * i for i in range(200)}
+
+
+def test_patterns_with_common_pieces_meet_by_themselves(spark, monkeypatch):
+    """Numbered names share all their pieces of a few characters: what meets is what is contained, not all that share a piece."""
+    monkeypatch.setattr(contain, "AUTOMATON_ROWS", 0)
+    names = spark.range(3000).select(F.format_string("customer%09d", F.col("id") * 111).alias("pattern"))
+    texts = spark.range(3000).select(F.col("id").alias("key"), F.format_string("fiyat customer%09d und mehr", F.col("id") * 111).alias("text"))
+    found = contain.contained(texts, names)
+    assert sorted(map(tuple, found.collect())) == [(i, f"customer{i * 111:09d}") for i in range(3000)]
+    known = contain.Filter(names, 3000)
+    passed = sum(len(known.may(contain.Substrings(f"fiyat customer{i * 111:09d} und mehr").of(17))) for i in range(0, 3000, 10))
+    assert 300 <= passed <= 330
