@@ -13,7 +13,7 @@ from ..functions.html import parse_pages
 from ..sources.documents import Rounds, written
 from .match import kind_filter, pick_facility
 from .runs import COLUMNS
-from .search import first_success, visits
+from .search import first_candidates, first_success, visits
 from .tariff import SCAN, YEAR, Profile, entries
 from .upsert import upsert
 
@@ -60,8 +60,10 @@ def crawl(candidates: DataFrame, look: Look, folder: str, key: str, width: int =
     several keys share is asked for once; a larger width takes fewer rounds and asks for some pages in vain. The result is the same.
     Rounds are kept in the folder. A crawl that broke off goes on from its last whole round, given the same candidates and folder.
     A key's visits, at most most * (1 + most_links), are folded as one row; keys that have ended take no part in later rounds.
+    Candidates are cut to the first `most` of each key, as visits does, and written: each round and the result read them.
     """
     spark = candidates.sparkSession
+    candidates = written(first_candidates(candidates, key, most), "candidates")
     rounds = Rounds(spark, folder)
     none = spark.createDataFrame([], "url string, ok boolean, hit boolean, links array<string>")
     number, active = rounds.done(), candidates

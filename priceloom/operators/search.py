@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 VISIT = "struct<ord:int,link_ord:int,url:string>"
 
 
+def _ranked(candidates: DataFrame, key: str) -> DataFrame:
+    return candidates.withColumn("k", F.row_number().over(Window.partitionBy(key).orderBy("ord", "url")))
+
+
+def first_candidates(candidates: DataFrame, key: str, most: int) -> DataFrame:
+    """key, ord and url of the candidates that visits takes: the first `most` of each key; null keys and URLs are left out."""
+    named = candidates.where(F.col(key).isNotNull() & F.col("url").isNotNull()).select(key, F.col("ord").cast("long").alias("ord"), "url")
+    return _ranked(named, key).where(F.col("k") <= most).drop("k")
+
+
 def visits(candidates: DataFrame, pages: DataFrame, key: str, most: int = 35, most_links: int = 10) -> DataFrame:
     """key, ord, link_ord, url, ok: the URLs that a search without success would visit, in the order of (ord, link_ord).
 
@@ -18,7 +28,7 @@ def visits(candidates: DataFrame, pages: DataFrame, key: str, most: int = 35, mo
     folded as one array, of at most most * (most_links + 1) URLs.
     """
     named = candidates.where(F.col(key).isNotNull() & F.col("url").isNotNull()).select(F.col(key).alias("key"), F.col("ord").cast("long").alias("ord"), "url")
-    first = named.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy("ord", "url"))).where(F.col("k") <= most)
+    first = _ranked(named, "key").where(F.col("k") <= most)
     known = pages.select("url", F.coalesce("ok", F.lit(False)).alias("ok"), "links")
     links = F.when(F.col("ok"), F.slice(F.filter("links", lambda x: x.isNotNull()), 1, most_links))
     opened = first.join(known, "url", "left").select("key", F.struct("k", "url", F.coalesce(links, F.array().cast("array<string>")).alias("links")).alias("c"))

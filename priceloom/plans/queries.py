@@ -537,6 +537,7 @@ def _frontier(spark, sf_dir):
     items, parts, orders = (_t(spark, sf_dir, t) for t in ("lineitem", "part", "orders"))
     tops, links, pages = _pages_of(items, parts, orders)
     known = pages.join(orders.where("o_totalprice > 300000").select(F.concat(F.lit("order"), "o_orderkey").alias("url"), F.lit(True).alias("hit")), "url", "left")
+    known = documents.written(known, "known")  # each round asks it
     return tops, lambda asked: known.join(asked, "url", "left_semi")
 
 

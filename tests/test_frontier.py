@@ -139,3 +139,19 @@ def test_run_provinces_over_http(spark, tmp_path):
 
 def test_written_needs_no_partition(spark):
     assert documents.written(spark.range(0), "none").count() == 0
+
+
+def test_candidates_of_a_crawl_are_computed_once(spark, tmp_path):
+    """Each round reads what was written: the candidates' source is read in one job, however many rounds follow."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    listed = spark.createDataFrame([(k, n, f"u{k}-{n}") for k in (1, 2) for n in range(50)], "key int, ord int, url string").mapInArrow(counted, "key int, ord int, url string")
+    look = lambda asked: asked.select("url", F.lit(True).alias("ok"), (F.col("url") == "u1-9").alias("hit"), F.array().cast("array<string>").alias("links"))
+    made = frontier.crawl(listed, look, str(tmp_path / "crawl"), "key", 20)
+    assert {r["key"]: (r["url"], r["n_tried"]) for r in made.first().collect()} == {1: ("u1-9", 10), 2: (None, 35)}
+    assert made.rounds > 1 and seen.value == 100
