@@ -357,7 +357,7 @@ def stacked_line_prices(spark, sf_dir):
     base = F.col("o_orderkey") % 300
     group = lambda k: F.concat(F.lit(f"Oda {chr(65 + k)} kişilik\n"), *[F.concat(money.format_tl(base + lo + 100 * k), F.lit(" TL\n")) for lo in (500, 700, 900)])
     said = F.concat(F.lit("2026 Teşkilat / Kamu / Onaylı misafir\n"), *[group(k) for k in range(3)], F.lit("Aile odası\n900 TL\nOda\n"))
-    orders = documents.spread(_t(spark, sf_dir, "orders").select("o_orderkey"))
+    orders = documents.spread(_t(spark, sf_dir, "orders").select("o_orderkey"), 50_000)
     made = tariff.stacked_prices(orders.select("o_orderkey", said.alias("text")))
     total = lambda c: F.aggregate(F.col(c), F.lit(0.0), lambda a, x: a + x)
     return made.select("o_orderkey", F.size("stacked.sivil").alias("n_triples"), total("stacked.kurum").alias("kurum_sum"), total("stacked.sivil").alias("sivil_sum"))

@@ -53,10 +53,15 @@ class Rounds:
         return self.spark.read.parquet(*[f"{self.folder}/round{k}" for k in range(number)])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df in as many partitions as there are cores, if it has fewer: for costly work on small files, which one task would read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """df in as many partitions as there are cores, if it has fewer: for costly work on small files, which one task would read.
+
+    With rows, in as many more as leave about that many rows, which are counted, to a task: so no task grows with the input.
+    """
+    least = df.sparkSession.sparkContext.defaultParallelism
+    if rows:
+        least = max(least, -(-df.count() // rows))
+    return df.repartition(least) if df.rdd.getNumPartitions() < least else df
 
 
 def facilities(spark: SparkSession, paths: list[str], required: bool = True) -> DataFrame:
