@@ -250,3 +250,22 @@ def test_report(spark, tmp_path):
     said = json.loads((tmp_path / "r.json").read_text())
     assert datetime.fromisoformat(said.pop("finished_at")).tzinfo is not None
     assert said == {"started_note": "n", "iller_scanned": 2, "found_count": 1, "found": [{"il": "a", "isim": "x"}], "results": [{"il": "a", "isim": "x", "status": "found", "n_tried": 1}, {"il": "b", "status": "not_found", "n_tried": 3}]}
+
+
+def test_pages_are_parsed_in_parts_of_bounded_size():
+    import pyarrow as pa
+
+    from priceloom.functions import html
+
+    sizes = [10] * 300 + [html.PART_BYTES + 5, 0] + [html.PART_BYTES // 4] * 20
+    batch = pa.record_batch({"html": pa.array(["x" * n for n in sizes] + [None])})
+    parts = list(html._parts(batch, "html"))
+    assert [x for p in parts for x in p.column("html").to_pylist()] == batch.column("html").to_pylist()
+    assert all(p.num_rows <= 256 and (p.num_rows == 1 or sum(len(x or "") for x in p.column("html").to_pylist()) <= html.PART_BYTES) for p in parts)
+
+
+def test_spread_leaves_so_many_rows_to_a_task(spark):
+    from priceloom.sources import documents
+
+    few, many = (documents.spread(spark.range(0, n, 1, 1), 50) for n in (10, 5000))
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and many.rdd.getNumPartitions() == 100
