@@ -204,6 +204,7 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[list], Sequence]], fie
                 out = work(part.column(text).to_pylist())
                 made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(out, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), *made], names)
+            batch = part = out = made = None  # else they stay beside the next batch
 
     return source.mapInArrow(freeing(run), schema)
 

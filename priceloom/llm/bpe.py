@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
 from .arrow import Memo, map_texts
-from .tokens import byte_chars, load
+from .tokens import byte_chars
 
 #: Up to here letters, digits and white space are the same in every version of Unicode that the libraries use.
 _SETTLED = re.compile(r"[^\x00-\x1b\x20-\x84\x86-ɏ‐-‧]")
@@ -26,8 +26,9 @@ NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Rep
 SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
 BYTES = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
 PLAIN = ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")
-#: Bytes that the newer half of the cache of encoded words may hold; twice as many are held at most.
-WORD_BYTES = 48 << 20
+#: Bytes that the newer half of a task's cache of encoded words may hold, and that of its cache of pairs; twice as many are held at most.
+WORD_BYTES = 24 << 20
+PAIR_BYTES = 16 << 20
 
 
 def refuse(spec: dict) -> None:
@@ -60,34 +61,33 @@ class Backtracker:
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"] or ""
         vocab: dict[str, int] = model["vocab"]
-        self.vocab = vocab
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.merged = {}
-        self.halves = {i: (i, i) for i in vocab.values()}
-        for a, b in pairs:
+        added = sorted(spec.get("added_tokens") or [], key=lambda x: x["id"])
+        self.special = {x["content"]: x["id"] for x in added}
+        names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        # A worker keeps these tables, so they are lists by id, and pairs are single numbers.
+        self.size = len(names)
+        self.merged: dict[int, int] = {}
+        self.left, self.right = list(range(self.size)), list(range(self.size))
+        for m in model["merges"]:
+            a, b = m if isinstance(m, list) else m.split(" ")
             whole = vocab[(a.removesuffix(self.suffix) if self.suffix else a) + b]
             left, right = vocab[a], vocab[b]
             if whole <= max(left, right):
                 raise ValueError("ids don't rise with the rank of merges")
-            self.merged[left, right] = whole
-            self.halves[whole] = (left, right)
+            self.merged[left * self.size + right] = whole
+            self.left[whole], self.right[whole] = left, right
         # A word's last character is another symbol than the same one inside the word, if the vocabulary marks ends.
         self.trie = ahocorasick.Automaton()
-        self.length, key_of = {}, {}
+        self.length, self.shorter, key_of = [0] * self.size, [None] * self.size, {}
         for token, i in vocab.items():
             key = self._key(token.removesuffix(self.suffix), True) if self.suffix and token.endswith(self.suffix) and token != self.suffix else token
-            self.trie.add_word(key, (i, len(key)))
+            self.trie.add_word(key, i)
             key_of[key], self.length[i] = i, len(key)
         self.trie.make_automaton()
-        self.shorter = {}
         for key, i in key_of.items():
             self.shorter[i] = next((key_of[key[:n]] for n in range(len(key) - 1, 0, -1) if key[:n] in key_of), None)
-        self.fits = Memo(self._fits)
         self.bytes = byte_chars()
-        added = sorted(spec.get("added_tokens") or [], key=lambda x: x["id"])
-        self.special = {x["content"]: x["id"] for x in added}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         table = [names[i].encode() + b" " for i in range(len(names))]
         self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in table])]).astype(np.int64)
         self.blob = np.frombuffer(b"".join(table), np.uint8)
@@ -95,14 +95,14 @@ class Backtracker:
     def _key(self, symbols: str, end: bool) -> str:
         return symbols[:-1] + chr(ord(symbols[-1]) + 0x1000) if end else symbols
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
+    def fits(self, pair: tuple[int, int]) -> bool:
         """Whether merging leaves the two tokens side by side: no merge of a suffix of one and a prefix of the other comes early enough."""
         left, right = pair
         limit = 1 << 60
         while True:
-            if self.merged.get((left, right), limit) < limit:
+            if self.merged.get(left * self.size + right, limit) < limit:
                 return False
-            last, first = self.halves[left][1], self.halves[right][0]
+            last, first = self.right[left], self.left[right]
             if left > right:
                 if last != left:
                     limit, left = left, last
@@ -117,15 +117,15 @@ class Backtracker:
             else:
                 return True
 
-    def word(self, piece: str) -> bytes:
-        """The ids of one pre-token, as little-endian 32-bit integers."""
+    def word(self, fits: dict, piece: str) -> bytes:
+        """The ids of one pre-token, as little-endian 32-bit integers. fits: answers of fits() by pair."""
         text = "".join(map(self.bytes.__getitem__, piece.encode("utf-8")))
         if self.suffix:
             text = text[:-1] + chr(ord(text[-1]) + 0x1000)
         n, lengths = len(text), self.length
         longest = [None] * n
-        for end, (token, length) in self.trie.iter(text):  # ends only grow, so the last token of a start is its longest
-            longest[end - length + 1] = token
+        for end, token in self.trie.iter(text):  # ends only grow, so the last token of a start is its longest
+            longest[end - lengths[token] + 1] = token
         out: list[int] = []
         open_at = [True] * (n + 1)
         at, token = 0, longest[0]
@@ -133,7 +133,7 @@ class Backtracker:
             before = out[-1] if out else None
             while token is not None:
                 end = at + lengths[token]
-                if open_at[end] and (before is None or self.fits[before, token]):
+                if open_at[end] and (before is None or fits[before, token]):
                     break
                 token = self.shorter[token]
             if token is not None:
@@ -166,13 +166,18 @@ def backtracker(path: str) -> Backtracker:
 
 
 @lru_cache(2)
-def _words(path: str) -> Memo:
-    return Memo(backtracker(path).word, WORD_BYTES)
+def _splitter(path: str):
+    """The library's tokenizer without its vocabulary: normalizer and pre-tokenizer are all that is used of it."""
+    from tokenizers import Tokenizer
+
+    spec = json.load(open(path, encoding="utf-8"))
+    return Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "post_processor": None, "model": {"type": "BPE", "vocab": {}, "merges": []}}))
 
 
-def _pieces(tok, text: str) -> list[str]:
-    """Pre-tokens, as the file's normalizer and pre-tokenizer give them."""
+def _pieces(path: str, text: str) -> list[str]:
+    """Pre-tokens, as the file's normalizer and pre-tokenizer give them; the library is loaded where characters ask for it."""
     if _SETTLED.search(text):
+        tok = _splitter(path)
         normal = tok.normalizer.normalize_str(text) if tok.normalizer else text
         back = {c: b for b, c in byte_chars().items()}
         return [bytes(map(back.__getitem__, x)).decode("utf-8", "surrogateescape") for x, _ in tok.pre_tokenizer.pre_tokenize_str(normal)]
@@ -180,7 +185,9 @@ def _pieces(tok, text: str) -> list[str]:
 
 
 def _encoder(path: str, keep_ids: bool, keep_text: bool):
-    tok, bpe, words = load(path), backtracker(path), _words(path)
+    bpe = backtracker(path)
+    # The caches are the task's own: kept by the worker, they would stand beside what later stages need.
+    words = Memo(partial(bpe.word, Memo(bpe.fits, PAIR_BYTES)), WORD_BYTES)
     special = {t: np.array([i], "<u4").tobytes() for t, i in bpe.special.items()}
 
     def ids_of(text: str) -> bytes:
@@ -193,7 +200,7 @@ def _encoder(path: str, keep_ids: bool, keep_text: bool):
             if part in special:
                 made.append(special[part])
             elif part:
-                made.extend(map(words.__getitem__, _pieces(tok, part)))
+                made.extend(map(words.__getitem__, _pieces(path, part)))
         return b"".join(made)
 
     def encode(texts: list) -> list:

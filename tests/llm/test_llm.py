@@ -91,6 +91,24 @@ def test_bpe_random_words():
     assert [x.as_py() for x in encode(texts)[3]] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_bpe_caches_end_with_their_task():
+    path = P.path("word_bpe_49k.json")
+    lib, draw = Tokenizer.from_file(path), random.Random(6)
+    texts = [" ".join("".join(draw.choices("abdeghilmnorstu", k=9)) for _ in range(100)) + " 日本 ΑΣ" for _ in range(200)]
+    bpe._encoder(path, True, False)(["ΑΣ"])  # the tables, which a worker keeps
+    tracemalloc.start()
+    try:
+        encode = bpe._encoder(path, True, False)
+        made = [x.as_py() for x in encode(texts)[3]]
+        assert made == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+        del made
+        held = tracemalloc.get_traced_memory()[0]
+        del encode
+        assert held > 2_000_000 and tracemalloc.get_traced_memory()[0] < held / 10
+    finally:
+        tracemalloc.stop()
+
+
 def test_chat(spark):
     rows = [(1, 2, "assistant", "<|im_end|>x"), (1, 1, "user", None), (1, None, None, "<\\\\|im_sep|>"), (2, 0, "assistant", None), (None, 0, "user", "é"), (1, 2, "assistant", "<|im_end|>x"), (3, 0, "assistant", "\n日本😀 " * 3)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
